@@ -7,10 +7,12 @@ repeats (order, line) keys, and its ship date is the version's update time.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.functions import measures, rating
+from freightlens.functions import rating
 from freightlens.functions.measures import plus
 from freightlens.operators.dims import date_dim
 from freightlens.operators.shaping import dedupe_latest
@@ -54,88 +56,78 @@ def legs(lines: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
     merge hint keeps Spark from broadcasting a line table it underestimates.
     """
     header = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
-        customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey"
-    )
-    order, part, supp, line = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    h = F.col("_h")
-    step1 = lines.join(header.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).withColumns(
-        {
-            "_h": (part * 7 + supp * 13 + line * 29 + order * 3) % 1000,
-            "origin_loc_id": F.col("c_nationkey").cast("bigint"),
-            "dest_loc_id": (F.col("c_nationkey") + 1 + part % 24) % 25,
-            "_mode": _pick(supp % 3, _MODES),
-        }
-    )
-    cancelled = F.col("cancel_flag")
-    open_leg = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")
-    step2 = step1.withColumns(
-        {
-            "lane_id": F.col("origin_loc_id") * 25 + F.col("dest_loc_id"),
-            "planned_miles": (F.abs(F.col("origin_loc_id") - F.col("dest_loc_id")) * 110 + 150).cast("decimal(10,2)"),
-            "cancel_flag": h % 100 < 8,
-            "tender_ts": plus(F.col("o_orderdate"), hours=h % 20),
-        }
-    ).withColumns(
-        {
-            "_exception": (h % 13 == 0) & ~cancelled,
-            "_days": rating.transit_bucket(F.col("planned_miles"), F.col("_mode")),
-            "pickup_plan_ts": plus(F.col("tender_ts"), hours=part % 21 + 4),
-            "status": F.when(cancelled, "Cancelled")
-            .when(open_leg, _pick(h % 10, ("Tendered", "Accepted", *["In-Transit"] * 8)))
-            .when(h % 13 == 0, "Exception")
-            .otherwise("Delivered"),
-        }
+        customer.selectExpr("c_custkey AS o_custkey", "c_nationkey"), "o_custkey"
     )
-    late = F.when(F.col("_exception"), h % 31 + 6).otherwise(0)
-    step3 = step2.withColumns(
-        {
-            "delivery_plan_ts": plus(F.col("pickup_plan_ts"), hours=F.col("_days") * 24 + 1 + h % 8),
-            "pickup_actual_ts": F.when(
-                F.col("status").isin("In-Transit", "Exception", "Delivered"),
-                plus(F.col("pickup_plan_ts"), hours=supp % 4),
-            ),
-        }
-    ).withColumns(
-        {
-            "delivery_actual_ts": F.when(
-                F.col("status").isin("Exception", "Delivered"),
-                plus(F.col("pickup_actual_ts"), hours=F.col("_days") * 24 + h % 17 - 6 + late, minutes=h % 60),
-            ),
-            "revenue": _money(F.col("l_extendedprice")),
-        }
-    )
-    share = (h % 17 + 72).cast("decimal(4,0)")
-    on_time = measures.on_time(F.col("delivery_actual_ts"), F.col("delivery_plan_ts"), (h % 4 + 1) * 30)
-    full = step3.withColumns(
-        {
-            "shipment_id": F.concat(
-                F.lit("S"),
-                F.lpad(order.cast("string"), F.greatest(F.lit(9), F.length(order.cast("string"))), F.lit("0")),
-            ),
-            "leg_id": line,
-            "customer_id": F.col("o_custkey"),
-            "carrier_id": supp,
-            "equipment_id": part % 3 + 1,
-            "actual_miles": F.when(cancelled, F.lit(0)).otherwise(F.col("planned_miles") + h % 7).cast("decimal(10,2)"),
-            "pieces": (h % 24 + 1).cast("int"),
-            "weight_lbs": (h * 43 + 500).cast("decimal(10,2)"),
-            "cube": (h * 3 + 50).cast("decimal(10,2)"),
-            "total_cost": _money(F.col("revenue") * share * F.lit("0.01").cast("decimal(3,2)")),
-            "fuel_surcharge": rating.fuel_surcharge(
-                F.col("planned_miles"), (h % 10).cast("decimal(4,1)") * F.lit("0.1").cast("decimal(2,1)") + 3
-            ),
-            "accessorial_cost": F.when((h % 10 == 3) & ~cancelled, _money(h % 300 + 50)).otherwise(_money(0)),
-            "isdeliveredontime": on_time,
-            "isinfull": F.when(h % 40 != 7, h % 25 != 0),
-            "load_date": F.col("o_orderdate"),
-            "update_date": F.col("l_shipdate"),
-        }
-    ).withColumn("isotif", measures.otif(F.col("isdeliveredontime"), F.col("isinfull"), null_is_false=True))
-    return full.select(*[f.name for f in typed_schema("fact_shipment")], "_h", "_exception", "_mode")
+    columns = lines.join(header.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+    for step in _LEG_STEPS:
+        columns = columns.selectExpr("*", *[f"{rule} AS {name}" for name, rule in step.items()])
+    return columns.selectExpr(*typed_schema("fact_shipment").names, "_h", "_exception", "_mode")
+
+
+def _hours(ts: str, hours: str, minutes: str = "0") -> str:
+    return f"{ts} + make_dt_interval(0, CAST({hours} AS INT), CAST({minutes} AS INT))"
+
+
+# The shipment rules, each step over the columns of the one before.
+_LEG_STEPS: tuple[dict[str, str], ...] = (
+    {
+        "_h": "(l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29 + l_orderkey * 3) % 1000",
+        "origin_loc_id": "CAST(c_nationkey AS BIGINT)",
+        "dest_loc_id": "(c_nationkey + 1 + l_partkey % 24) % 25",
+        "_mode": "element_at(array('TL', 'LTL', 'Intermodal'), CAST(l_suppkey % 3 + 1 AS INT))",
+    },
+    {
+        "lane_id": "origin_loc_id * 25 + dest_loc_id",
+        "planned_miles": "CAST(abs(origin_loc_id - dest_loc_id) * 110 + 150 AS DECIMAL(10,2))",
+        "cancel_flag": "_h % 100 < 8",
+        "_exception": "_h % 13 = 0 AND _h % 100 >= 8",
+        "tender_ts": _hours("o_orderdate", "_h % 20"),
+        "_open": "l_linestatus = 'O' AND l_returnflag = 'N'",
+    },
+    {
+        "_days": "CASE WHEN planned_miles < 300 THEN 1 WHEN planned_miles < 600 THEN 2 WHEN planned_miles < 1000 THEN 3 "
+        "ELSE 4 END + IF(_mode = 'Intermodal', 1, 0)",
+        "pickup_plan_ts": _hours("tender_ts", "l_partkey % 21 + 4"),
+        "status": "CASE WHEN cancel_flag THEN 'Cancelled' WHEN _open AND _h % 10 = 0 THEN 'Tendered' "
+        "WHEN _open AND _h % 10 = 1 THEN 'Accepted' WHEN _open THEN 'In-Transit' "
+        "WHEN _exception THEN 'Exception' ELSE 'Delivered' END",
+    },
+    {
+        "delivery_plan_ts": _hours("pickup_plan_ts", "_days * 24 + 1 + _h % 8"),
+        "pickup_actual_ts": "IF(status IN ('In-Transit', 'Exception', 'Delivered'), "
+        + _hours("pickup_plan_ts", "l_suppkey % 4") + ", NULL)",
+    },
+    {
+        "delivery_actual_ts": "IF(status IN ('Exception', 'Delivered'), "
+        + _hours("pickup_actual_ts", "_days * 24 + _h % 17 - 6 + IF(_exception, _h % 31 + 6, 0)", "_h % 60") + ", NULL)",
+        "revenue": "CAST(l_extendedprice AS DECIMAL(12,2))",
+        "isinfull": "IF(_h % 40 = 7, NULL, _h % 25 <> 0)",
+    },
+    {
+        "shipment_id": "concat('S', lpad(CAST(l_orderkey AS STRING), greatest(9, length(CAST(l_orderkey AS STRING))), '0'))",
+        "leg_id": "l_linenumber",
+        "customer_id": "o_custkey",
+        "carrier_id": "l_suppkey",
+        "equipment_id": "l_partkey % 3 + 1",
+        "actual_miles": "CAST(IF(cancel_flag, 0, planned_miles + _h % 7) AS DECIMAL(10,2))",
+        "pieces": "CAST(_h % 24 + 1 AS INT)",
+        "weight_lbs": "CAST(_h * 43 + 500 AS DECIMAL(10,2))",
+        "cube": "CAST(_h * 3 + 50 AS DECIMAL(10,2))",
+        "total_cost": "CAST(revenue * CAST(_h % 17 + 72 AS DECIMAL(4,0)) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(12,2))",
+        "fuel_surcharge": "CAST(planned_miles * (CAST('0.095' AS DECIMAL(5,3)) "
+        "+ CAST(_h % 10 AS DECIMAL(4,0)) * CAST('0.005' AS DECIMAL(4,3))) AS DECIMAL(12,2))",
+        "accessorial_cost": "CAST(IF(_h % 10 = 3 AND NOT cancel_flag, _h % 300 + 50, 0) AS DECIMAL(12,2))",
+        "isdeliveredontime": "coalesce(delivery_actual_ts <= "
+        + _hours("delivery_plan_ts", "0", "(_h % 4 + 1) * 30") + ", false)",
+        "load_date": "o_orderdate",
+        "update_date": "l_shipdate",
+    },
+    {"isotif": "coalesce(isdeliveredontime AND isinfull, false)"},
+)
 
 
 def shipments_of(leg: DataFrame) -> DataFrame:
-    return leg.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in typed_schema("fact_shipment")])
+    return leg.select(*typed_schema("fact_shipment").names)
 
 
 def events_of(leg: DataFrame) -> DataFrame:
@@ -323,21 +315,44 @@ def source_legs(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
     return legs(latest_lines(lines), table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
 
 
-def bind_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine star tables over the test tables, all lazy."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    supplier = table(spark, sf_dir, "supplier")
-    leg = source_legs(spark, sf_dir)
-    ship = shipments_of(leg)
-    star = {
-        "dim_customer": dim_customer(table(spark, sf_dir, "customer"), nation, region),
-        "dim_carrier": dim_carrier(supplier),
-        "dim_equipment": dim_equipment(supplier),
-        "dim_location": dim_location(nation, region),
-        "dim_lane": dim_lane(nation),
-        "dim_date": calendar_of(ship),
-        "fact_shipment": ship,
-        "fact_event": events_of(leg),
-        "fact_cost": costs_of(leg),
-    }
-    return {t: star[t] for t in TABLES}
+class BoundStar(Mapping):
+    """The nine star tables over the test tables; each is planned when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
+
+    def source(self, name: str) -> DataFrame:
+        return table(self._spark, self._sf_dir, name)
+
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
+
+    def legs(self) -> DataFrame:
+        return self._once("legs", lambda: source_legs(self._spark, self._sf_dir))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        makers = {
+            "dim_customer": lambda: dim_customer(*map(self.source, ("customer", "nation", "region"))),
+            "dim_carrier": lambda: dim_carrier(self.source("supplier")),
+            "dim_equipment": lambda: dim_equipment(self.source("supplier")),
+            "dim_location": lambda: dim_location(*map(self.source, ("nation", "region"))),
+            "dim_lane": lambda: dim_lane(self.source("nation")),
+            "dim_date": lambda: calendar_of(self["fact_shipment"]),
+            "fact_shipment": lambda: shipments_of(self.legs()),
+            "fact_event": lambda: events_of(self.legs()),
+            "fact_cost": lambda: costs_of(self.legs()),
+        }
+        return self._once(name, makers[name])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+
+def bind_star(spark: SparkSession, sf_dir: str) -> BoundStar:
+    return BoundStar(spark, sf_dir)

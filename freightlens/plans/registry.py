@@ -26,12 +26,12 @@ class Bound:
         return binding.table(self.spark, self.sf_dir, name)
 
     @cached_property
-    def star(self) -> dict[str, DataFrame]:
+    def star(self) -> binding.BoundStar:
         return binding.bind_star(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def legs(self) -> DataFrame:
-        return binding.source_legs(self.spark, self.sf_dir)
+        return self.star.legs()
 
     @property
     def ship(self) -> DataFrame:

@@ -25,6 +25,8 @@ def build_session(app: str = "freightlens", cores: int | str = "*", memory: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Call-site capture per expression only serves error messages and slows down building large plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
