@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 def all_queries() -> tuple[dict[str, Callable], dict[str, str]]:
     """Registered queries and their oracle SQL, by name."""
-    from freightlens.plans import columns, reports, stars  # noqa: F401
+    from freightlens.plans import columns, loads, reports, stars  # noqa: F401
     from freightlens.plans.registry import ORACLE, QUERIES
 
     return dict(QUERIES), dict(ORACLE)

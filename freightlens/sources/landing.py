@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from freightlens.functions.clean import null_markers, typed
 from freightlens.schemas import raw_schema, typed_schema
 
-CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+CSV_OPTIONS = {
+    "header": "true",
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    # Spark's writer trims text unless told not to.
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def strictly_typed(df: DataFrame, table: str, audit: bool = True) -> DataFrame:

@@ -27,9 +27,9 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
     )
 
 
-def current_version(spark: SparkSession, root: str, table: str, before: int | None = None) -> int | None:
-    """Number of the latest complete snapshot, or of the latest one below ``before``."""
-    known = [v for v in _versions(spark, f"{root}/{table}") if before is None or v < before]
+def current_version(spark: SparkSession, root: str, table: str) -> int | None:
+    """Number of the latest complete snapshot."""
+    known = _versions(spark, f"{root}/{table}")
     return known[-1] if known else None
 
 
@@ -37,11 +37,9 @@ def _snapshot(root: str, table: str, version: int) -> str:
     return f"{root}/{table}/v{version:010d}"
 
 
-def read_edw(
-    spark: SparkSession, root: str, table: str, before: int | None = None, audit: bool = True
-) -> DataFrame:
-    """The current snapshot of a warehouse table; a star table without one reads as empty."""
-    version = current_version(spark, root, table, before)
+def read_edw(spark: SparkSession, root: str, table: str, audit: bool = True) -> DataFrame:
+    """The current snapshot of a warehouse table; a star table that was never written reads as empty."""
+    version = current_version(spark, root, table)
     if version is None:
         if table not in TABLES:
             raise FileNotFoundError(f"no snapshot of {table} below {root}")
@@ -50,26 +48,20 @@ def read_edw(
 
 
 def write_table(
-    df: DataFrame,
-    root: str,
-    table: str,
-    mode: str = "overwrite",
-    partition_by: Sequence[str] = (),
-    version: int | None = None,
+    df: DataFrame, root: str, table: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> int:
     """Write the next snapshot of a table and return its number.
 
-    ``overwrite`` replaces the content, ``append`` keeps the current rows too.  A given ``version`` that is already
-    complete is left alone, so a repeated write is a no-op.
+    ``overwrite`` replaces the content, ``append`` keeps the current rows too.  ``partition_by`` should name columns
+    that updates do not change, such as a month of the tender time.
     """
     spark = df.sparkSession
-    folder = f"{root}/{table}"
-    if version is None:
-        version = (current_version(spark, root, table) or 0) + 1
-    elif version in _versions(spark, folder):
-        return version
-    if mode == "append" and current_version(spark, root, table, before=version) is not None:
-        df = read_edw(spark, root, table, before=version).unionByName(df)
+    current = current_version(spark, root, table)
+    if mode == "append" and current is not None:
+        df = read_edw(spark, root, table).unionByName(df)
+    elif mode not in ("append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
+    version = (current or 0) + 1
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

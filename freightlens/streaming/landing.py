@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from freightlens.operators.merge import latest_source, merge_dim, merge_fact, merge_table
-from freightlens.operators.shaping import dedupe_latest
-from freightlens.schemas import DIM_TABLES, KEYS, TABLES, raw_schema
+from freightlens.operators.merge import latest_source, merge_table
+from freightlens.schemas import raw_schema
 from freightlens.sources.landing import CSV_OPTIONS, strictly_typed
 from freightlens.sources.warehouse import read_edw, write_table
 
@@ -25,38 +24,17 @@ def stream_landing(
     return strictly_typed(reader.csv(folder), table, audit)
 
 
-def upsert_batch(
-    root: str,
-    table: str,
-    keys: Sequence[str],
-    now: datetime | Column,
-    guarded: bool = True,
-    empty: DataFrame | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """The action of one micro-batch: latest row per key, merged into the snapshot before this batch's own.
+def upsert_batch(root: str, table: str, now: datetime | Column) -> Callable[[DataFrame, int], None]:
+    """The action of one micro-batch: its latest row per key, merged into the current snapshot.
 
-    The snapshot number follows from the batch number, so a replayed batch finds its snapshot complete and stops.
+    Spark may run a batch again after a failure.  A repeated merge gives the same table, so the replay is harmless.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        spark = batch.sparkSession
-        if table in TABLES or empty is None:
-            target = read_edw(spark, root, table, before=version)
-        else:
-            try:
-                target = read_edw(spark, root, table, before=version)
-            except FileNotFoundError:
-                target = empty
-        star_table = table in KEYS and tuple(keys) == KEYS[table]
-        latest = latest_source(batch, table) if star_table else dedupe_latest(batch, keys, ["update_date"])
-        source = latest.persist()
+        source = latest_source(batch, table).persist()
         try:
-            if star_table:
-                merged = merge_table(target, source, table, now)
-            else:
-                merged = (merge_fact if guarded else merge_dim)(target, source, keys, now)
-            write_table(merged, root, table, version=version)
+            target = read_edw(batch.sparkSession, root, table)
+            write_table(merge_table(target, source, table, now), root, table)
         finally:
             source.unpersist()
 
@@ -64,23 +42,15 @@ def upsert_batch(
 
 
 def stream_upsert(
-    stream: DataFrame,
-    root: str,
-    table: str,
-    checkpoint: str,
-    now: datetime | Column,
-    keys: Sequence[str] | None = None,
-    empty: DataFrame | None = None,
+    stream: DataFrame, root: str, table: str, checkpoint: str, now: datetime | Column
 ) -> StreamingQuery:
-    """Upsert everything that has landed, then stop; the checkpoint remembers which files are done.
+    """Upsert everything that has landed into a warehouse table, then stop.
 
-    Late rows are settled by ``update_date``: an older row never replaces a newer one.
+    The checkpoint remembers which files are done.  Late rows are settled by ``update_date``: an older fact row never
+    replaces a newer one, whatever order the files arrive in.
     """
-    action = upsert_batch(
-        root, table, tuple(keys or KEYS[table]), now, guarded=table not in DIM_TABLES, empty=empty
-    )
     return (
-        stream.writeStream.foreachBatch(action)
+        stream.writeStream.foreachBatch(upsert_batch(root, table, now))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
