@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from freightlens.operators.merge import latest_source, merge_table
 from freightlens.schemas import raw_schema
-from freightlens.sources.landing import CSV_OPTIONS, strictly_typed
+from freightlens.sources.landing import READ_OPTIONS, strictly_typed
 from freightlens.sources.warehouse import read_edw, write_table
 
 
@@ -18,7 +18,7 @@ def stream_landing(
     spark: SparkSession, folder: str, table: str, max_files: int | None = None, audit: bool = True
 ) -> DataFrame:
     """New landing CSV files of one table as they arrive, typed."""
-    reader = spark.readStream.schema(raw_schema(table, audit)).options(**CSV_OPTIONS).option("mode", "FAILFAST")
+    reader = spark.readStream.schema(raw_schema(table, audit)).options(**READ_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return strictly_typed(reader.csv(folder), table, audit)
