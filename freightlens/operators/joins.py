@@ -131,12 +131,12 @@ def monday(ts: Column) -> Column:
 def asof_weekly_price(ship: DataFrame, prices: DataFrame, ts_col: str = "pickup_plan_ts") -> DataFrame:
     """Latest weekly price (Monday anchors) at or before each shipment's week; null before the first anchor.
 
-    The price list is filled to one row per calendar week: each anchor is repeated up to the next one, the last one
-    up to the latest shipment week.  Its length is set by the calendar, so ordering it is a small task, and the
-    shipments then need only an equality join on the week.
+    The price list is reduced to one row per week, so its length is set by the calendar and ordering it is a small
+    task.  It is then filled: each anchor is repeated up to the next one, the last one up to the latest shipment
+    week.  The shipments need only an equality join on the week.
     """
     last_week = ship.agg(monday(F.max(ts_col)).alias("w")).scalar()
-    anchors = prices.select(monday(F.col("week")).alias("_anchor"), "price")
+    anchors = prices.groupBy(monday(F.col("week")).alias("_anchor")).agg(F.max_by("price", "week").alias("price"))
     following = F.lead("_anchor").over(Window.orderBy("_anchor"))
     weekly = (
         anchors.withColumn("_until", F.coalesce(F.date_sub(following, 7), F.greatest("_anchor", last_week)))

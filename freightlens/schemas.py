@@ -94,9 +94,23 @@ DOMAINS: tuple[tuple[str, str, tuple[str, ...]], ...] = (
 )
 
 
+_TYPES: dict[str, T.DataType] = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "DECIMAL(10,2)": T.DecimalType(10, 2),
+    "DECIMAL(12,2)": T.DecimalType(12, 2),
+}
+
+
 def typed_schema(table: str, audit: bool = True) -> T.StructType:
-    ddl = TABLE_DDL[table]
-    return T.StructType.fromDDL(f"{ddl}, {_AUDIT_DDL}" if audit else ddl)
+    """Declared columns of a table.  Needs no Spark session."""
+    ddl = f"{TABLE_DDL[table]}, {_AUDIT_DDL}" if audit else TABLE_DDL[table]
+    fields = (column.split(" ", 1) for column in ddl.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 def raw_schema(table: str, audit: bool = True) -> T.StructType:

@@ -69,6 +69,17 @@ def write_table(
     return version
 
 
+def expire_snapshots(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[int]:
+    """Delete all but the latest ``keep`` snapshots and return their numbers.  Run it when no reader uses them."""
+    if keep < 1:
+        raise ValueError("the current snapshot cannot expire")
+    old = _versions(spark, f"{root}/{table}")[:-keep]
+    for version in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_snapshot(root, table, version))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return old
+
+
 def publish_snapshot(spark: SparkSession, src: str, dst: str, tables: Sequence[str] = TABLES) -> DataFrame:
     """Copy warehouse tables to a reporting zone and list their row counts there."""
     for table in tables:

@@ -33,6 +33,8 @@ def upsert_batch(root: str, table: str, now: datetime | Column) -> Callable[[Dat
     def apply(batch: DataFrame, batch_id: int) -> None:
         source = latest_source(batch, table).persist()
         try:
+            if source.isEmpty():
+                return
             target = read_edw(batch.sparkSession, root, table)
             write_table(merge_table(target, source, table, now), root, table)
         finally:
@@ -47,7 +49,8 @@ def stream_upsert(
     """Upsert everything that has landed into a warehouse table, then stop.
 
     The checkpoint remembers which files are done.  Late rows are settled by ``update_date``: an older fact row never
-    replaces a newer one, whatever order the files arrive in.
+    replaces a newer one, whatever order the files arrive in.  A merge writes a new snapshot of the table, so leave
+    the stream's file limit unset on large tables: everything that is waiting is then merged at once.
     """
     return (
         stream.writeStream.foreachBatch(upsert_batch(root, table, now))

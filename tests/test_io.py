@@ -80,6 +80,8 @@ def test_snapshots(spark, make, tmp_path):
     assert rows(warehouse.read_edw(spark, root, "dim_customer"), "customer_id") == [(1,), (2,)]
     (tmp_path / "edw" / "dim_customer" / "v0000000009").mkdir()  # an unfinished write is not visible
     assert warehouse.current_version(spark, root, "dim_customer") == 4
+    assert warehouse.expire_snapshots(spark, root, "dim_customer", keep=1) == [1, 2, 3]
+    assert warehouse.read_edw(spark, root, "dim_customer").count() == 2
     counts = warehouse.publish_snapshot(spark, root, str(tmp_path / "bi"))
     assert dict(rows(counts))["DIM_CUSTOMER"] == 2 and counts.count() == 9
 
