@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.functions.rating import week_of_year_sunday
+from freightlens.functions import rating
 from freightlens.operators.joins import lane_pairs
 from freightlens.session import shared_dir
 
@@ -19,12 +22,18 @@ def date_dim(span: DataFrame) -> DataFrame:
         F.year(d).alias("year"),
         F.quarter(d).alias("quarter"),
         F.month(d).alias("month"),
-        week_of_year_sunday(d).alias("week"),
+        rating.week_of_year_sunday(d).alias("week"),
         F.weekday(d).alias("dow"),
         (F.weekday(d) >= 5).alias("is_weekend"),
     )
 
 
+def weighted_dates(calendar: DataFrame, holidays: Sequence[date], eom_ramp: float) -> DataFrame:
+    """Calendar rows repeated in proportion to the shipping volume of their day."""
+    repeats = rating.volume_repeats(rating.volume_weight(F.col("date"), holidays, eom_ramp))
+    return calendar.select("*", F.explode(F.sequence(F.lit(1), repeats)).alias("copy"))
+
+
 def lane_dim(loc: DataFrame) -> DataFrame:
     """Lanes between origins and destinations of different cities, numbered by (origin, destination).
 

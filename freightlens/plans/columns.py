@@ -265,14 +265,18 @@ def base_rate_per_mile(b: Bound) -> DataFrame:
     )
 
 
-_HOLIDAYS = (date(1996, 1, 1), date(1997, 7, 4), date(1999, 12, 25))
-_NEAR = " OR ".join(f"abs(date - DATE '{h}') <= 1" for h in _HOLIDAYS)
+HOLIDAYS = (date(1996, 1, 1), date(1997, 7, 4), date(1999, 12, 25))
+_NEAR = " OR ".join(f"abs(date - DATE '{h}') <= 1" for h in HOLIDAYS)
 
 
-@register(f"""SELECT date, weight, CAST(greatest(1, round_even(weight*10, 0)) AS INTEGER) AS repeats
-FROM (SELECT date, (1.0::DOUBLE + CASE WHEN day(date) >= 27 THEN 0.12::DOUBLE ELSE 0 END
-        + CASE WHEN {_NEAR} THEN 0.10::DOUBLE ELSE 0 END) * CASE WHEN isodow(date) >= 6 THEN 0.8::DOUBLE ELSE 1 END
-        AS weight FROM dim_date)""")
+WEIGHT_SQL = f"""SELECT date, year, (1.0::DOUBLE + CASE WHEN day(date) >= 27 THEN 0.12::DOUBLE ELSE 0 END
+  + CASE WHEN {_NEAR} THEN 0.10::DOUBLE ELSE 0 END) * CASE WHEN isodow(date) >= 6 THEN 0.8::DOUBLE ELSE 1 END
+  AS weight FROM dim_date"""
+
+
+@register(
+    f"SELECT date, weight, CAST(greatest(1, round_even(weight*10, 0)) AS INTEGER) AS repeats FROM ({WEIGHT_SQL})"
+)
 def volume_weight(b: Bound) -> DataFrame:
-    weight = rating.volume_weight(F.col("date"), _HOLIDAYS, 0.12)
+    weight = rating.volume_weight(F.col("date"), HOLIDAYS, 0.12)
     return b.star["dim_date"].select("date", weight.alias("weight"), rating.volume_repeats(weight).alias("repeats"))

@@ -66,9 +66,9 @@ def write_csv(b: Bound) -> DataFrame:
 
 @register(f"SELECT {_columns_sql('fact_cost')} FROM fact_cost")
 def write_table(b: Bound) -> DataFrame:
-    """Costs written twice as a full replacement, split by method, and read back."""
+    """Costs written twice as a full replacement, the second time split by method, and read back."""
     root = scratch_path(b.spark, "edw")
-    warehouse.write_table(b.cost.limit(10), root, "fact_cost")
+    warehouse.write_table(b.cost, root, "fact_cost")
     warehouse.write_table(b.cost, root, "fact_cost", partition_by=["calc_method"])
     return warehouse.read_edw(b.spark, root, "fact_cost")
 
@@ -141,44 +141,34 @@ def _merge_sql(table: str, guarded: bool, stamp: bool, fill: bool) -> str:
     return f"SELECT {', '.join(column(n) for n in names)} FROM t FULL JOIN s ON {match}"
 
 
-# Two overlapping halves of each dimension: the target has older attributes, the source some missing audit times.
-_OLD, _NEW = "{key} % 4 <> 1", "{key} % 3 <> 2"
-
-
-def _dim_change(table: str, name: str) -> str:
-    """Text attributes get a suffix in the source, so that a change shows."""
-    kind = typed_schema(table)[name].dataType.simpleString()
-    return f"{name} || ' v2' AS {name}" if kind == "string" else name
-
-
-def _dim_source(table: str, columns: tuple[str, ...]) -> list[str]:
+# The source is the whole dimension with keys moved up by one, so that most rows change, the rows of new keys are
+# inserted and the first key keeps its row; text gets a suffix and some audit times are missing.
+def _dim_source(table: str, ntz: str) -> list[str]:
     key = KEYS[table][0]
-    out = [_dim_change(table, c) for c in columns]
-    out.append(f"CASE WHEN {key} % 5 > 0 THEN TIMESTAMP_NTZ '2024-02-01' END AS load_date")
-    out.append(f"CASE WHEN {key} % 7 > 0 THEN TIMESTAMP_NTZ '2023-02-01' END AS update_date")
-    return out
+    kinds = {f.name: f.dataType.simpleString() for f in typed_schema(table, audit=False)}
+    return [
+        *[
+            f"{c} + 1 AS {c}" if c == key else f"{c} || ' v2' AS {c}" if kind == "string" else c
+            for c, kind in kinds.items()
+        ],
+        f"CASE WHEN {key} % 5 > 0 THEN {ntz} '2024-02-01' END AS load_date",
+        f"CASE WHEN {key} % 7 > 0 THEN {ntz} '2023-02-01' END AS update_date",
+    ]
 
 
 def _dim_ctes(table: str) -> str:
-    key = KEYS[table][0]
-    columns = typed_schema(table, audit=False).names
-    changed = ", ".join(_dim_source(table, columns)).replace("TIMESTAMP_NTZ", "TIMESTAMP")
-    return (
-        f"t AS (SELECT * FROM {table} WHERE {_OLD.format(key=key)}), "
-        f"s AS (SELECT {changed} FROM {table} WHERE {_NEW.format(key=key)})"
-    )
+    changed = ", ".join(_dim_source(table, "TIMESTAMP"))
+    return f"t AS (SELECT * FROM {table}), s AS (SELECT {changed} FROM {table})"
 
 
-def _dim_halves(b: Bound, table: str) -> tuple[DataFrame, DataFrame]:
-    key = KEYS[table][0]
-    columns = typed_schema(table, audit=False).names
+def _dim_sides(b: Bound, table: str) -> tuple[DataFrame, DataFrame]:
     full = b.star[table]
-    return full.filter(_OLD.format(key=key)), full.filter(_NEW.format(key=key)).selectExpr(*_dim_source(table, columns))
+    return full, full.selectExpr(*_dim_source(table, "TIMESTAMP_NTZ"))
 
 
 def _register_dim_merge(table: str) -> None:
     def merged(b: Bound) -> DataFrame:
-        target, source = _dim_halves(b, table)
+        target, source = _dim_sides(b, table)
         return merge.merge_dim(target, source, KEYS[table], NOW)
 
     merged.__name__ = f"merge_{table}"
@@ -191,7 +181,6 @@ for _table in DIM_TABLES:
 
 
 # Facts: the target holds the line versions already returned or accepted, the source the new ones.
-_GAPS = "CASE WHEN {h} % 31 > 0 THEN update_date END AS update_date"
 _TARGET_LINES, _SOURCE_LINES = "l_returnflag <> 'N'", "l_returnflag = 'N'"
 
 
@@ -279,7 +268,7 @@ def curate_fact_shipment(b: Bound) -> DataFrame:
 @register(_merge_sql("dim_carrier", guarded=False, stamp=False, fill=True), extra=_dim_ctes("dim_carrier"))
 def curate_dim_carrier(b: Bound) -> DataFrame:
     """Curation copies update times as they are on a match and fills them on an insert."""
-    target, source = _dim_halves(b, "dim_carrier")
+    target, source = _dim_sides(b, "dim_carrier")
     same = {"fact_shipment": b.ship}
     return curate({"dim_carrier": source, **same}, {"dim_carrier": target, **same}, now=NOW)["dim_carrier"]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from freightlens.operators import dims, filters, joins, kpis, quality
 from freightlens.plans import binding
-from freightlens.plans.columns import HUB_SQL, arc_sql
+from freightlens.plans.columns import HOLIDAYS, HUB_SQL, WEIGHT_SQL, arc_sql
 from freightlens.plans.registry import Bound, register
 from freightlens.schemas import KEYS, SHIPMENT_FKS, TABLES
 
@@ -161,6 +161,14 @@ def date_dim(b: Bound) -> DataFrame:
     return dims.date_dim(span)
 
 
+@register(
+    "SELECT date, year FROM (SELECT date, year, unnest(range(CAST(greatest(1, round_even(weight*10, 0)) AS INTEGER))) "
+    f"FROM ({WEIGHT_SQL}))"
+)
+def weighted_dates(b: Bound) -> DataFrame:
+    return dims.weighted_dates(b.star["dim_date"], HOLIDAYS, 0.12).select("date", "year")
+
+
 @register("""SELECT row_number() OVER (ORDER BY o_loc_id, d_loc_id) AS lane_id, o_loc_id AS origin_loc_id,
   d_loc_id AS dest_loc_id, round(miles, 2) AS standard_miles, days AS std_transit_days FROM pair_days""", extra=_PAIRS_SQL)
 def lane_dim(b: Bound) -> DataFrame:
@@ -194,7 +202,7 @@ _DOUBLED = ("dim_customer", "dim_carrier", "dim_location", "dim_lane")
 def _duplicates_sql(table: str) -> str:
     keys = ", ".join(KEYS[table])
     if table in _DOUBLED:
-        source = f"(SELECT {keys} FROM {table} UNION ALL SELECT {keys} FROM {table} WHERE {KEYS[table][0]} % 3 = 1)"
+        source = f"(SELECT {keys} FROM {table} UNION ALL SELECT {keys} FROM {table})"
     elif table == "fact_shipment":
         source = "(SELECT l_orderkey AS shipment_id, l_linenumber AS leg_id FROM lineitem)"
     else:
@@ -208,8 +216,7 @@ def pk_duplicates(b: Bound) -> DataFrame:
     """Duplicates in repeated dimension rows and in the unreduced line versions."""
     tables = dict(b.star)
     for t in _DOUBLED:
-        again = F.col(KEYS[t][0]) % 3 == 1
-        tables[t] = tables[t].unionByName(tables[t].filter(again))
+        tables[t] = tables[t].unionByName(tables[t])
     versions = binding.legs(b.table("lineitem"), b.table("orders"), b.table("customer"))
     tables["fact_shipment"] = binding.shipments_of(versions)
     return quality.pk_duplicates(tables)
@@ -242,7 +249,7 @@ def invalid_fks(b: Bound) -> DataFrame:
     return quality.invalid_fks(damaged(b), b.star)
 
 
-_KEPT = "status <> 'Cancelled' AND carrier_id % 7 <> 3"
+_KEPT = "status NOT IN ('Cancelled', 'In-Transit')"
 _KEPT_SQL = f"kept AS (SELECT * FROM fact_shipment WHERE {_KEPT})"
 
 
