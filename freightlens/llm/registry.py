@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from freightlens.llm.common import documents
 from freightlens.llm.exact_dedup import exact_duplicates
 from freightlens.llm.packing import pack_documents
+from freightlens.llm.simhash import near_duplicates
 from freightlens.llm.token_files import with_crc32, with_start, written
 
 
@@ -27,9 +28,15 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(with_start(ids).select("doc_id", "start", "n_tokens", "ids"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir), words=3, distance=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op10_simhash": op10_simhash,
     "op9_token_files": op9_token_files,
 }
 
