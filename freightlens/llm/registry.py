@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from freightlens.llm.common import documents
 from freightlens.llm.exact_dedup import exact_duplicates
+from freightlens.llm.language import identify
 from freightlens.llm.packing import pack_documents
 from freightlens.llm.simhash import near_duplicates
 from freightlens.llm.token_files import with_crc32, with_start, written
@@ -23,6 +24,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = written(spark, documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return with_crc32(with_start(ids).select("doc_id", "start", "n_tokens", "ids"))
@@ -36,6 +41,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_language": op8_language,
     "op10_simhash": op10_simhash,
     "op9_token_files": op9_token_files,
 }
