@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import documents
+from freightlens.llm.decontaminate import contaminated
 from freightlens.llm.exact_dedup import exact_duplicates
 from freightlens.llm.language import identify
 from freightlens.llm.packing import pack_documents
@@ -20,6 +21,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
 
@@ -40,6 +45,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_decontaminate": op3_decontaminate,
+    "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_language": op8_language,
     "op10_simhash": op10_simhash,
