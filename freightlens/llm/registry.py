@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import documents
+from freightlens.llm.common import documents, materialize
 from freightlens.llm.decontaminate import contaminated
 from freightlens.llm.exact_dedup import exact_duplicates
 from freightlens.llm.language import identify
 from freightlens.llm.packing import pack_documents
 from freightlens.llm.simhash import near_duplicates
+from freightlens.llm.token_counts import Rollup, change, count_tokens, revision
 from freightlens.llm.token_files import with_crc32, with_start, written
+from freightlens.llm.url_queries import ORACLE as URL_ORACLE
+from freightlens.llm.url_queries import op2_url_filter
+from freightlens.session import scratch_path
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +33,23 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents join; then one in ten leaves, and one in ten loses its first line.  Each batch is sent twice."""
+    versions = {name: public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k")}
+    docs = documents(spark, sf_dir).withColumn("rest", F.regexp_replace("text", r"\A[^\n]*\n?", ""))
+    docs = docs.withColumn("rest", F.when(F.col("doc_id") % 10 == 1, F.col("rest")))
+    counts = materialize(count_tokens(docs, versions, ("text", "rest")), "token-counts")
+    rollup = Rollup(spark, scratch_path(spark, "rollup"))
+    batches = {
+        "0-load": change(counts, 1),
+        "1-leave": change(counts.where("doc_id % 10 = 0"), -1),
+        "2-revise": revision(counts.where("doc_id % 10 = 1"), "n_text", "n_rest"),
+    }
+    for name, rows in [*batches.items(), *batches.items()]:
+        rollup.commit(name, rows)
+    return rollup.totals()
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
@@ -45,9 +66,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
-    "op3_decontaminate": op3_decontaminate,
+    "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_counts": op6_token_counts,
     "op8_language": op8_language,
     "op10_simhash": op10_simhash,
     "op9_token_files": op9_token_files,
@@ -56,6 +78,7 @@ QUERIES = {
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op2_url_filter": URL_ORACLE,
     "op5_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORM} AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
