@@ -10,6 +10,7 @@ from freightlens.llm.common import documents, materialize
 from freightlens.llm.decontaminate import contaminated
 from freightlens.llm.exact_dedup import exact_duplicates
 from freightlens.llm.language import identify
+from freightlens.llm.language_model import score
 from freightlens.llm.packing import pack_documents
 from freightlens.llm.simhash import near_duplicates
 from freightlens.llm.token_counts import Rollup, change, count_tokens, revision
@@ -50,6 +51,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(documents(spark, sf_dir))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_language_model": op7_language_model,
     "op8_language": op8_language,
     "op10_simhash": op10_simhash,
     "op9_token_files": op9_token_files,
