@@ -13,6 +13,7 @@ from freightlens.llm.language import identify
 from freightlens.llm.language_model import score
 from freightlens.llm.packing import pack_documents
 from freightlens.llm.simhash import near_duplicates
+from freightlens.llm.substring_dedup import remove_repeats
 from freightlens.llm.token_counts import Rollup, change, count_tokens, revision
 from freightlens.llm.token_files import with_crc32, with_start, written
 from freightlens.llm.url_queries import ORACLE as URL_ORACLE
@@ -30,6 +31,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(documents(spark, sf_dir), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
 
@@ -73,6 +79,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_language_model": op7_language_model,
