@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,19 +73,19 @@ def apply_filters(
     return ship
 
 
+def typed_times(ship: DataFrame) -> DataFrame:
+    """Shipments with their time columns as timestamps; reports take typed columns, so text tables go through this."""
+    text = [c for c, t in ship.dtypes if c.endswith("_ts") and t == "string"]
+    return ship.withColumns({c: clean.safe_ts(F.col(c)) for c in text}) if text else ship
+
+
 def delivered(ship: DataFrame) -> DataFrame:
-    """Shipments with a delivery time; text columns count when they are not blank."""
-    c = F.col("delivery_actual_ts")
-    if dict(ship.dtypes)["delivery_actual_ts"] == "string":
-        c = clean.clean_str(c)
-    return ship.filter(c.isNotNull())
+    """Shipments with a delivery time."""
+    return ship.filter(F.col("delivery_actual_ts").isNotNull())
 
 
 def in_flight(ship: DataFrame) -> DataFrame:
-    c = F.col("delivery_actual_ts")
-    if dict(ship.dtypes)["delivery_actual_ts"] == "string":
-        c = clean.clean_str(c)
-    return ship.filter(c.isNull())
+    return ship.filter(F.col("delivery_actual_ts").isNull())
 
 
 def bounds(ship: DataFrame, days: int = BOUNDS_DAYS) -> DataFrame:
@@ -97,16 +97,19 @@ def bounds(ship: DataFrame, days: int = BOUNDS_DAYS) -> DataFrame:
 def within_bounds(df: DataFrame, ts_col: str, window: Bounds | None) -> DataFrame:
     """Rows whose timestamp falls on a day inside the window, both ends included.
 
-    A window frame has one row and enters as scalar subqueries: no join, and computed once per query.
+    A window frame has one row and enters as scalar subqueries: no join, and computed once per query.  The finished
+    timestamps are made in that row, so that the column is compared with a plain value and the filter reaches the scan.
     """
     if window is None:
         return df
     if isinstance(window, DataFrame):
-        start, end = window.select("start_d").scalar(), window.select("end_d").scalar()
+        low = F.col("start_d").cast("timestamp_ntz").alias("t")
+        high = F.date_add("end_d", 1).cast("timestamp_ntz").alias("t")
+        start, end = window.select(low).scalar(), window.select(high).scalar()
     else:
-        start, end = (F.lit(d) for d in window)
+        start, end = (F.lit(d).cast("timestamp_ntz") for d in (window[0], window[1] + timedelta(days=1)))
     ts = F.col(ts_col)
-    return df.filter((ts >= start.cast("timestamp_ntz")) & (ts < F.date_add(end, 1).cast("timestamp_ntz")))
+    return df.filter((ts >= start) & (ts < end))
 
 
 def min_shipments(lane_perf: DataFrame, n: int = 5) -> DataFrame:

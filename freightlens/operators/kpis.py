@@ -184,14 +184,15 @@ def daily_trend(ship: DataFrame, grace: int = GRACE_MINUTES, days: int = 60) ->
     )
 
 
-def daily_deliveries(ship: DataFrame, limit: int = 100) -> DataFrame:
+def _first(df: DataFrame, limit: int | None) -> DataFrame:
+    """All rows, or the first ``limit`` of an ordered frame where the caller asks for a top list."""
+    return df if limit is None else df.limit(limit)
+
+
+def daily_deliveries(ship: DataFrame, limit: int | None = None) -> DataFrame:
     """Deliveries per day, earliest days first."""
-    return (
-        _per_day(ship, delivered_cnt=F.count(F.lit(1)))
-        .select(F.col("d").alias("delivery_date"), "delivered_cnt")
-        .orderBy("delivery_date")
-        .limit(limit)
-    )
+    daily = _per_day(ship, delivered_cnt=F.count(F.lit(1))).select(F.col("d").alias("delivery_date"), "delivered_cnt")
+    return _first(daily.orderBy("delivery_date"), limit)
 
 
 # --- margin -------------------------------------------------------------------------------------------------------
@@ -222,6 +223,18 @@ def gm_per_mile_ytd(ship: DataFrame, target: float = GM_TARGET) -> DataFrame:
     )
 
 
+def gm_per_mile_ytd_calendar(ship: DataFrame, dim_date: DataFrame, target: float = GM_TARGET) -> DataFrame:
+    """Margin per mile from the start of the year of the calendar's last day up to that day, against a target."""
+    last = dim_date.agg(F.max("date").alias("d")).select(F.trunc("d", "year").alias("start_d"), F.col("d").alias("end_d"))
+    totals = within_bounds(ship, "delivery_actual_ts", last).agg(*[F.sum(c).alias(c) for c in _MONEY])
+    value = measures.gm_per_mile(*[F.col(c) for c in _MONEY])
+    return totals.select(
+        value.alias("gm_per_mile_ytd"),
+        F.lit(target).alias("target_gm_per_mile"),
+        (value - F.lit(target)).alias("variance_pp"),
+    )
+
+
 # --- tendering ----------------------------------------------------------------------------------------------------
 
 
@@ -296,8 +309,7 @@ def lane_performance(
 ) -> DataFrame:
     """Shipments, mean transit days and on-time rate per lane, busiest lanes first.
 
-    ``by`` groups by lane and label (``lane_id``, top 100), by label alone (``label``, top 50), or gives one overall
-    row (None).
+    ``by`` groups by lane and label (``lane_id``), by label alone (``label``), or gives one overall row (None).
     """
     counts = _lane_counts(within_bounds(ship, "delivery_actual_ts", window), grace)
     labelled = counts.join(joins.lane_labels(lane, loc), "lane_id")
@@ -314,25 +326,32 @@ def lane_performance(
     )
     if by is None:
         return perf
-    top = limit or {"lane_id": 100, "label": 50}[by]
-    return perf.orderBy(F.desc("shipments"), *reversed(groups)).limit(top)
+    return _first(perf.orderBy(F.desc("shipments"), *reversed(groups)), limit)
 
 
-def _exceptions_per(events: DataFrame, ship: DataFrame, by: str) -> DataFrame:
+def _exceptions_per(events: DataFrame, ship: DataFrame, by: str, window: Bounds | None = None) -> DataFrame:
     """Exception events per ``by`` value, each event once per value its shipment touches."""
-    typed = joins.exception_events(events)
-    return (
-        joins.join_events_to_shipments(typed, ship, by, dedupe_legs=True)
-        .groupBy(by)
-        .agg(F.sum("exceptions").alias("exceptions"))
-    )
+    exceptions = within_bounds(events.filter(F.col("event_type") == "Exception"), "event_ts", window)
+    per_shipment = exceptions.groupBy("shipment_id").agg(F.count(F.lit(1)).alias("exceptions"))
+    touched = ship.select("shipment_id", by).distinct()
+    return per_shipment.join(touched, "shipment_id").groupBy(by).agg(F.sum("exceptions").alias("exceptions"))
 
 
 def lane_tooltips(
-    ship: DataFrame, events: DataFrame, lane: DataFrame, loc: DataFrame, grace: int = GRACE_MINUTES
+    ship: DataFrame,
+    events: DataFrame,
+    lane: DataFrame,
+    loc: DataFrame,
+    grace: int = GRACE_MINUTES,
+    window: Bounds | None = None,
 ) -> DataFrame:
-    """Lane figures with margin per mile and exception counts.  Margin covers all shipments of the lane."""
-    moved = _moved()
+    """Lane figures with margin per mile and exception counts.
+
+    Margin covers all shipments of the lane.  A window takes shipments by delivery and exceptions by event date; a
+    shipment's lanes are known from all its legs.
+    """
+    moved, legs = _moved(), ship
+    ship = within_bounds(ship, "delivery_actual_ts", window)
     per_lane = ship.groupBy("lane_id").agg(
         _count(moved).alias("shipments"),
         F.sum(F.when(moved, _transit())).alias("_days"),
@@ -342,7 +361,7 @@ def lane_tooltips(
     return (
         per_lane.filter(F.col("shipments") > 0)
         .join(joins.lane_labels(lane, loc), "lane_id")
-        .join(_exceptions_per(events, ship, "lane_id"), "lane_id", "left")
+        .join(_exceptions_per(events, legs, "lane_id", window), "lane_id", "left")
         .select(
             "lane_id",
             "lane_label",
@@ -380,7 +399,7 @@ def exception_heatmap(
         .agg(F.sum("exceptions").alias("exceptions"))
         .orderBy("customer_name", "exception_type")
     )
-    return heat.limit(limit) if limit else heat
+    return _first(heat, limit)
 
 
 def heatmap_matrix(heat: DataFrame, types: Sequence[str]) -> DataFrame:
@@ -388,22 +407,26 @@ def heatmap_matrix(heat: DataFrame, types: Sequence[str]) -> DataFrame:
     return heat.groupBy("customer_name").pivot("exception_type", list(types)).agg(F.sum("exceptions"))
 
 
-def exception_count(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("event_type") == "Exception").agg(F.count(F.lit(1)).alias("exceptions"))
+def exception_count(events: DataFrame, window: Bounds | None = None) -> DataFrame:
+    exceptions = within_bounds(events.filter(F.col("event_type") == "Exception"), "event_ts", window)
+    return exceptions.agg(F.count(F.lit(1)).alias("exceptions"))
 
 
-def exceptions_by_carrier(events: DataFrame, ship: DataFrame, carrier: DataFrame) -> DataFrame:
+def exceptions_by_carrier(
+    events: DataFrame, ship: DataFrame, carrier: DataFrame, window: Bounds | None = None
+) -> DataFrame:
     return (
-        _exceptions_per(events, ship, "carrier_id")
+        _exceptions_per(events, ship, "carrier_id", window)
         .join(carrier.select("carrier_id", F.col("name").alias("carrier_name")), "carrier_id")
         .groupBy("carrier_name")
         .agg(F.sum("exceptions").alias("exceptions"))
     )
 
 
-def top_exception_types(events: DataFrame, n: int = 10) -> DataFrame:
+def top_exception_types(events: DataFrame, n: int, window: Bounds | None = None) -> DataFrame:
+    """The ``n`` most frequent exception types."""
     return (
-        joins.exception_events(events)
+        within_bounds(joins.exception_events(events), "event_ts", window)
         .groupBy("exception_type")
         .agg(F.count(F.lit(1)).alias("exceptions"))
         .orderBy(F.desc("exceptions"), "exception_type")
@@ -419,7 +442,7 @@ def shipment_detail(
     star: Mapping[str, DataFrame],
     grace: int = GRACE_MINUTES,
     window: Bounds | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
     """The drill-through rows, ordered by shipment and leg."""
     rows = joins.enrich_shipments(
@@ -436,15 +459,15 @@ def shipment_detail(
         "planned_miles", "actual_miles", "revenue", "total_cost",
         measures.gm_per_mile(*[F.col(c) for c in _MONEY]).alias("gm_per_mile"),
     ).orderBy("shipment_id", "leg_id")
-    return detail.limit(limit) if limit else detail
+    return _first(detail, limit)
 
 
-def filter_options(star: Mapping[str, DataFrame], limit: int = 5000) -> DataFrame:
-    """(k, v) choices of the report filters: the first ``limit`` names of each kind, all equipment types."""
+def filter_options(star: Mapping[str, DataFrame], limit: int | None = None) -> DataFrame:
+    """(k, v) choices of the report filters; with ``limit`` the first names of each kind, and all equipment types."""
 
     def options(kind: str, values: DataFrame, top: int | None) -> DataFrame:
         named = values.select(F.lit(kind).alias("k"), F.col(values.columns[0]).alias("v"))
-        return named.orderBy("v").limit(top) if top else named
+        return named if top is None else named.orderBy("v").limit(top)
 
     labels = joins.lane_labels(star["dim_lane"], star["dim_location"])
     return (

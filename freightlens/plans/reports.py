@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from freightlens.operators import filters, kpis
 from freightlens.plans.registry import Bound, register
+from freightlens.schemas import STATUS_ACCEPTED, STATUS_TENDERED
 
 
 def _ratio(num: str, den: str) -> str:
@@ -105,11 +106,19 @@ def daily_trend(b: Bound) -> DataFrame:
     return kpis.daily_trend(b.ship)
 
 
-@register("SELECT d AS delivery_date, count(*) AS delivered_cnt FROM delivered GROUP BY d ORDER BY d LIMIT 100")
+_DAILY = "SELECT d AS delivery_date, count(*) AS delivered_cnt FROM delivered GROUP BY d"
+
+
+@register(_DAILY)
 def daily_deliveries(b: Bound) -> DataFrame:
     return kpis.daily_deliveries(b.ship)
 
 
+@register(f"{_DAILY} ORDER BY d LIMIT 100")
+def daily_deliveries_top(b: Bound) -> DataFrame:
+    return kpis.daily_deliveries(b.ship, limit=100)
+
+
 # --- margin -------------------------------------------------------------------------------------------------------
 
 
@@ -128,6 +137,13 @@ def gm_per_mile_ytd(b: Bound) -> DataFrame:
     return kpis.gm_per_mile_ytd(b.ship)
 
 
+@register(f"""SELECT {_per_mile()} AS gm_per_mile_ytd, CAST(0.40 AS DOUBLE) AS target_gm_per_mile,
+  {_per_mile()} - CAST(0.40 AS DOUBLE) AS variance_pp
+FROM delivered, (SELECT max(date) AS a FROM dim_date) WHERE d BETWEEN CAST(date_trunc('year', a) AS DATE) AND a""")
+def gm_per_mile_ytd_calendar(b: Bound) -> DataFrame:
+    return kpis.gm_per_mile_ytd_calendar(b.ship, b.star["dim_date"])
+
+
 # --- tendering ----------------------------------------------------------------------------------------------------
 
 
@@ -149,9 +165,8 @@ def tender_acceptance_events_bounded(b: Bound) -> DataFrame:
 
 
 def _status_sql(counted: str) -> str:
-    accepted = f"count({counted}) FILTER (WHERE status IN ('Accepted','In-Transit','Delivered','Exception'))"
-    tendered = f"""count({counted}) FILTER (WHERE status IN
-      ('Tendered','Accepted','In-Transit','Delivered','Exception','Cancelled'))"""
+    accepted = f"count({counted}) FILTER (WHERE status IN {STATUS_ACCEPTED})"
+    tendered = f"count({counted}) FILTER (WHERE status IN {STATUS_TENDERED})"
     return f"SELECT {_ratio(accepted, tendered)} AS tender_acceptance_status FROM fact_shipment"
 
 
@@ -188,18 +203,34 @@ _LANE_AGGS = f"""count(*) AS shipments, avg(transit) AS avg_transit_days,
   {_ratio('count(*) FILTER (WHERE on_time)', 'count(*)')} AS otd_rate"""
 
 
-@register(f"""SELECT lane_id, lane_label, {_LANE_AGGS} FROM delivered JOIN lane_label USING (lane_id)
-GROUP BY lane_id, lane_label ORDER BY shipments DESC, lane_label, lane_id LIMIT 100""")
+_BY_LANE = f"""SELECT lane_id, lane_label, {_LANE_AGGS} FROM delivered JOIN lane_label USING (lane_id)
+GROUP BY lane_id, lane_label"""
+_BY_LABEL = f"""SELECT lane_label, {_LANE_AGGS} FROM delivered JOIN lane_label USING (lane_id), bounds
+WHERE d BETWEEN start_d AND end_d GROUP BY lane_label"""
+
+
+def _lanes(b: Bound, **options) -> DataFrame:
+    return kpis.lane_performance(b.ship, b.star["dim_lane"], b.star["dim_location"], **options)
+
+
+@register(_BY_LANE)
 def lane_performance(b: Bound) -> DataFrame:
-    return kpis.lane_performance(b.ship, b.star["dim_lane"], b.star["dim_location"])
+    return _lanes(b)
+
+
+@register(f"{_BY_LANE} ORDER BY shipments DESC, lane_label, lane_id LIMIT 100")
+def lane_performance_top(b: Bound) -> DataFrame:
+    return _lanes(b, limit=100)
 
 
-@register(f"""SELECT lane_label, {_LANE_AGGS} FROM delivered JOIN lane_label USING (lane_id), bounds
-WHERE d BETWEEN start_d AND end_d GROUP BY lane_label ORDER BY shipments DESC, lane_label LIMIT 50""")
+@register(_BY_LABEL)
 def lane_performance_by_label(b: Bound) -> DataFrame:
-    return kpis.lane_performance(
-        b.ship, b.star["dim_lane"], b.star["dim_location"], by="label", window=filters.bounds(b.ship)
-    )
+    return _lanes(b, by="label", window=filters.bounds(b.ship))
+
+
+@register(f"{_BY_LABEL} ORDER BY shipments DESC, lane_label LIMIT 50")
+def lane_performance_by_label_top(b: Bound) -> DataFrame:
+    return _lanes(b, by="label", window=filters.bounds(b.ship), limit=50)
 
 
 @register(f"SELECT {_LANE_AGGS} FROM delivered JOIN lane_label USING (lane_id)")
@@ -207,24 +238,39 @@ def lane_performance_overall(b: Bound) -> DataFrame:
     return kpis.lane_performance(b.ship, b.star["dim_lane"], b.star["dim_location"], by=None)
 
 
-@register(f"""SELECT * FROM (SELECT lane_id, lane_label, {_LANE_AGGS} FROM delivered JOIN lane_label USING (lane_id)
-GROUP BY lane_id, lane_label ORDER BY shipments DESC, lane_label, lane_id LIMIT 100) WHERE shipments >= 100""")
+@register(f"SELECT * FROM ({_BY_LANE}) WHERE shipments >= 100")
 def min_shipments(b: Bound) -> DataFrame:
-    return filters.min_shipments(kpis.lane_performance(b.ship, b.star["dim_lane"], b.star["dim_location"]), 100)
+    return filters.min_shipments(_lanes(b), 100)
 
 
-@register(f"""SELECT lane_id, lane_label, shipments, avg_transit_days, otd_rate, gm_per_mile,
+def _tooltip_sql(delivered: str = "delivered", shipped: str = "fact_shipment", event: str = "") -> str:
+    return f"""SELECT lane_id, lane_label, shipments, avg_transit_days, otd_rate, gm_per_mile,
   coalesce(exceptions, 0) AS exceptions
-FROM (SELECT lane_id, {_LANE_AGGS} FROM delivered GROUP BY lane_id)
+FROM (SELECT lane_id, {_LANE_AGGS} FROM {delivered} GROUP BY lane_id)
 JOIN lane_label USING (lane_id)
-JOIN (SELECT lane_id, {_per_mile()} AS gm_per_mile FROM fact_shipment GROUP BY lane_id) USING (lane_id)
+JOIN (SELECT lane_id, {_per_mile()} AS gm_per_mile FROM {shipped} GROUP BY lane_id) USING (lane_id)
 LEFT JOIN (SELECT lane_id, count(*) AS exceptions
            FROM (SELECT DISTINCT shipment_id, lane_id FROM fact_shipment) JOIN fact_event USING (shipment_id)
-           WHERE event_type = 'Exception' GROUP BY lane_id) USING (lane_id)""")
+           WHERE event_type = 'Exception' {event} GROUP BY lane_id) USING (lane_id)"""
+
+
+_SPAN = "BETWEEN (SELECT start_d FROM bounds) AND (SELECT end_d FROM bounds)"
+_IN_BOUNDS = f"AND CAST(event_ts AS DATE) {_SPAN}"
+
+
+@register(_tooltip_sql())
 def lane_tooltips(b: Bound) -> DataFrame:
     return kpis.lane_tooltips(b.ship, b.events, b.star["dim_lane"], b.star["dim_location"])
 
 
+@register(_tooltip_sql(f"delivered WHERE d {_SPAN}", f"delivered WHERE d {_SPAN}", _IN_BOUNDS))
+def lane_tooltips_bounded(b: Bound) -> DataFrame:
+    star = b.star
+    return kpis.lane_tooltips(
+        b.ship, b.events, star["dim_lane"], star["dim_location"], window=filters.bounds(b.ship)
+    )
+
+
 # --- exceptions ---------------------------------------------------------------------------------------------------
 
 _TYPED = "coalesce(nullif(trim(notes), ''), 'Unknown')"
@@ -236,16 +282,18 @@ FROM fact_event e JOIN {ships} f ON f.shipment_id = e.shipment_id JOIN dim_custo
 WHERE event_type = 'Exception' {more} GROUP BY 1, 2"""
 
 
-_IN_BOUNDS = """AND CAST(event_ts AS DATE) BETWEEN (SELECT start_d FROM bounds) AND (SELECT end_d FROM bounds)"""
-
-
 @register(_heat_sql("fact_shipment"))
 def exception_heatmap(b: Bound) -> DataFrame:
     return kpis.exception_heatmap(b.events, b.ship, b.star["dim_customer"])
 
 
-@register(_heat_sql("fact_shipment", _IN_BOUNDS) + " ORDER BY 1, 2 LIMIT 500")
+@register(_heat_sql("fact_shipment", _IN_BOUNDS))
 def exception_heatmap_bounded(b: Bound) -> DataFrame:
+    return kpis.exception_heatmap(b.events, b.ship, b.star["dim_customer"], filters.bounds(b.ship))
+
+
+@register(_heat_sql("fact_shipment", _IN_BOUNDS) + " ORDER BY 1, 2 LIMIT 500")
+def exception_heatmap_bounded_top(b: Bound) -> DataFrame:
     return kpis.exception_heatmap(b.events, b.ship, b.star["dim_customer"], filters.bounds(b.ship), limit=500)
 
 
@@ -268,24 +316,50 @@ def heatmap_matrix(b: Bound) -> DataFrame:
     return wide.toDF(*[c.lower() for c in wide.columns])
 
 
-@register("SELECT count(*) AS exceptions FROM fact_event WHERE event_type = 'Exception'")
+_EXCEPTIONS = "SELECT count(*) AS exceptions FROM fact_event WHERE event_type = 'Exception'"
+
+
+@register(_EXCEPTIONS)
 def exception_count(b: Bound) -> DataFrame:
     return kpis.exception_count(b.events)
 
 
-@register("""SELECT c.name AS carrier_name, count(*) AS exceptions
+@register(f"{_EXCEPTIONS} {_IN_BOUNDS}")
+def exception_count_bounded(b: Bound) -> DataFrame:
+    return kpis.exception_count(b.events, filters.bounds(b.ship))
+
+
+def _carrier_sql(more: str = "") -> str:
+    return f"""SELECT c.name AS carrier_name, count(*) AS exceptions
 FROM (SELECT DISTINCT shipment_id, carrier_id FROM fact_shipment) JOIN fact_event USING (shipment_id)
-JOIN dim_carrier c USING (carrier_id) WHERE event_type = 'Exception' GROUP BY 1""")
+JOIN dim_carrier c USING (carrier_id) WHERE event_type = 'Exception' {more} GROUP BY 1"""
+
+
+@register(_carrier_sql())
 def exceptions_by_carrier(b: Bound) -> DataFrame:
     return kpis.exceptions_by_carrier(b.events, b.ship, b.star["dim_carrier"])
 
 
-@register(f"""SELECT {_TYPED} AS exception_type, count(*) AS exceptions FROM fact_event
-WHERE event_type = 'Exception' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""")
+@register(_carrier_sql(_IN_BOUNDS))
+def exceptions_by_carrier_bounded(b: Bound) -> DataFrame:
+    return kpis.exceptions_by_carrier(b.events, b.ship, b.star["dim_carrier"], filters.bounds(b.ship))
+
+
+def _types_sql(more: str = "") -> str:
+    return f"""SELECT {_TYPED} AS exception_type, count(*) AS exceptions FROM fact_event
+WHERE event_type = 'Exception' {more} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"""
+
+
+@register(_types_sql())
 def top_exception_types(b: Bound) -> DataFrame:
     return kpis.top_exception_types(b.events, 5)
 
 
+@register(_types_sql(_IN_BOUNDS))
+def top_exception_types_bounded(b: Bound) -> DataFrame:
+    return kpis.top_exception_types(b.events, 5, filters.bounds(b.ship))
+
+
 # --- detail and options -------------------------------------------------------------------------------------------
 
 _DETAIL = """SELECT f.shipment_id, f.leg_id, c.name AS customer_name, cr.name AS carrier_name, lane_label, f.status,
@@ -299,25 +373,46 @@ FROM (SELECT *, coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MI
 JOIN dim_customer c USING (customer_id) JOIN dim_carrier cr USING (carrier_id) JOIN lane_label USING (lane_id)"""
 
 
-@register(f"{_DETAIL} ORDER BY shipment_id, leg_id LIMIT 1000")
+_DETAIL_BOUNDED = f"{_DETAIL} WHERE CAST(f.delivery_actual_ts AS DATE) {_SPAN}"
+
+
+@register(_DETAIL)
 def shipment_detail(b: Bound) -> DataFrame:
     return kpis.shipment_detail(b.ship, b.star)
 
 
-@register(f"""{_DETAIL} WHERE CAST(f.delivery_actual_ts AS DATE) BETWEEN (SELECT start_d FROM bounds)
-  AND (SELECT end_d FROM bounds) ORDER BY shipment_id, leg_id LIMIT 1000""")
+@register(f"{_DETAIL} ORDER BY shipment_id, leg_id LIMIT 1000")
+def shipment_detail_top(b: Bound) -> DataFrame:
+    return kpis.shipment_detail(b.ship, b.star, limit=1000)
+
+
+@register(_DETAIL_BOUNDED)
 def shipment_detail_bounded(b: Bound) -> DataFrame:
     return kpis.shipment_detail(b.ship, b.star, window=filters.bounds(b.ship))
 
 
-@register("""(SELECT 'customer' AS k, name AS v FROM dim_customer ORDER BY name LIMIT 5000)
-UNION ALL (SELECT 'carrier', name FROM dim_carrier ORDER BY name LIMIT 5000)
+@register(f"{_DETAIL_BOUNDED} ORDER BY shipment_id, leg_id LIMIT 1000")
+def shipment_detail_bounded_top(b: Bound) -> DataFrame:
+    return kpis.shipment_detail(b.ship, b.star, window=filters.bounds(b.ship), limit=1000)
+
+
+def _options_sql(limit: str = "") -> str:
+    return f"""(SELECT 'customer' AS k, name AS v FROM dim_customer {limit})
+UNION ALL (SELECT 'carrier', name FROM dim_carrier {limit})
 UNION ALL SELECT DISTINCT 'equipment', type FROM dim_equipment
-UNION ALL (SELECT DISTINCT 'lane', lane_label FROM lane_label ORDER BY 2 LIMIT 5000)""")
+UNION ALL (SELECT DISTINCT 'lane', lane_label FROM lane_label {limit})"""
+
+
+@register(_options_sql())
 def filter_options(b: Bound) -> DataFrame:
     return kpis.filter_options(b.star)
 
 
+@register(_options_sql("ORDER BY 2 LIMIT 50"))
+def filter_options_top(b: Bound) -> DataFrame:
+    return kpis.filter_options(b.star, limit=50)
+
+
 # --- events and costs ---------------------------------------------------------------------------------------------
 
 
@@ -409,9 +504,8 @@ def within_bounds(b: Bound) -> DataFrame:
     )
 
 
-@register("""SELECT status, count(*) AS legs, status IN ('Accepted','In-Transit','Delivered','Exception') AS accepted,
-  status IN ('Tendered','Accepted','In-Transit','Delivered','Exception','Cancelled') AS tendered
-FROM fact_shipment GROUP BY status""")
+@register(f"""SELECT status, count(*) AS legs, status IN {STATUS_ACCEPTED} AS accepted,
+  status IN {STATUS_TENDERED} AS tendered FROM fact_shipment GROUP BY status""")
 def status_sets(b: Bound) -> DataFrame:
     return (
         b.ship.groupBy("status")
