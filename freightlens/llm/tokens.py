@@ -21,9 +21,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words a worker keeps; the cache starts anew beyond it.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 _RUNS = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
+_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 #: Characters that one call encodes at most, but for a single longer text: bounds a worker's memory.
 CHUNK = 8_000_000
 
@@ -46,6 +47,12 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         self.mode, self.cache_words, self.cache = _mode(rules), cache_words, {}
+        self.mark = {"spaced": "\n", "dropped": "."}.get(self.mode, "")
+        ids = self.library.encode(self.mark, add_special_tokens=False).ids if self.mark else []
+        if len(ids) == 1:
+            self.mark_id = ids[0]
+        else:
+            self.mark = ""
 
     def parts(self, text: str) -> str:
         """``text`` cut by NUL characters into parts whose ids, in order, are the ids of ``text``.  It holds no NUL."""
@@ -59,19 +66,56 @@ class Encoder:
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ")
 
     def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of each word."""
         if len(self.cache) > self.cache_words:
             self.cache = {}
         cache = self.cache
-        new = [w for w in words if w not in cache]
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                cache[w] = np.asarray(e.ids, "<u4").tobytes()
+        split = {w: self._stem(w) for w in words if w not in cache}
+        new = {part for parts in split.values() for part in parts if part not in cache}
+        if split:
+            self._learn(list(new))
+        for w, (stem, tail) in split.items():
+            cache[w] = cache[stem] + cache[tail]
         found = [cache[w] for w in words]
         if self.mode == "whole":
             self.cache = {}
         return found
 
+    def _stem(self, word: str) -> tuple[str, str]:
+        """A word without the full stop or comma after its last letter, and that: always two parts to the rules.
+
+        Rules that lower-case see no difference between cases of plain letters.
+        """
+        tail = ""
+        if self.mode != "whole" and len(word) > 1 and word[-1] in ".," and word[-2].isascii() and word[-2].isalpha():
+            word, tail = word[:-1], word[-1]
+        if self.mode == "dropped" and word.isascii() and word.isalpha():
+            word = word.lower()
+        return word, tail
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words; words of letters alone go in one text with a mark between them that is always a part."""
+        cache, plain, other = self.cache, [], [""]
+        for w in words:
+            (plain if self.mark and _LETTERS.fullmatch(w) else other).append(w)
+        groups = [plain[at : at + 64] for at in range(0, len(plain), 64)]
+        texts = [self.mark.join(g) for g in groups]
+        for at in range(0, len(groups), 64):
+            encoded = self.library.encode_batch_fast(texts[at : at + 64], add_special_tokens=False)
+            for group, e in zip(groups[at : at + 64], encoded):
+                ids = np.array(e.ids, "<u4")
+                cuts = np.flatnonzero(ids == self.mark_id)
+                if len(cuts) != len(group) - 1:
+                    other += group
+                    continue
+                raw, begin = ids.tobytes(), [0, *(4 * cuts + 4).tolist()]
+                for w, a, z in zip(group, begin, [*(4 * cuts).tolist(), len(raw)]):
+                    cache[w] = raw[a:z]
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
+                cache[w] = np.array(e.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text begins in it (one more entry: the end)."""
         if not texts:
