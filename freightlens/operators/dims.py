@@ -34,28 +34,16 @@ def weighted_dates(calendar: DataFrame, holidays: Sequence[date], eom_ramp: floa
     return calendar.select("*", F.explode(F.sequence(F.lit(1), repeats)).alias("copy"))
 
 
-def lane_dim(loc: DataFrame) -> DataFrame:
-    """Lanes between origins and destinations of different cities, numbered by (origin, destination).
-
-    Numbers are the rank within an origin plus the lanes of earlier origins, so no task orders more than one
-    origin's lanes or one row per origin.
-    """
-    lanes = lane_pairs(loc)
-    within = F.row_number().over(Window.partitionBy("o_loc_id").orderBy("d_loc_id"))
-    per_origin = lanes.groupBy(F.col("o_loc_id").alias("origin_loc_id")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = F.sum("_n").over(Window.orderBy("origin_loc_id").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_origin.select("origin_loc_id", F.coalesce(earlier, F.lit(0)).alias("_offset"))
-    return (
-        lanes.withColumn("_rank", within)
-        .withColumnsRenamed({"o_loc_id": "origin_loc_id", "d_loc_id": "dest_loc_id"})
-        .join(offsets, "origin_loc_id")
-        .select(
-            (F.col("_offset") + F.col("_rank")).alias("lane_id"),
-            "origin_loc_id",
-            "dest_loc_id",
-            F.round("miles", 2).cast("decimal(10,2)").alias("standard_miles"),
-            "std_transit_days",
-        )
+def lane_dim(routes: DataFrame, loc: DataFrame) -> DataFrame:
+    """Lanes of the given routes between different cities, numbered by (origin, destination)."""
+    lanes = lane_pairs(routes, loc).withColumnsRenamed({"o_loc_id": "origin_loc_id", "d_loc_id": "dest_loc_id"})
+    lanes = lanes.select("origin_loc_id", "dest_loc_id", "miles", "std_transit_days")
+    return with_ordinal(lanes, "origin_loc_id", "dest_loc_id", name="lane_id").select(
+        "lane_id",
+        "origin_loc_id",
+        "dest_loc_id",
+        F.round("miles", 2).cast("decimal(10,2)").alias("standard_miles"),
+        "std_transit_days",
     )
 
 
@@ -80,27 +68,33 @@ def with_ordinal(df: DataFrame, *order: str, name: str = "ordinal") -> DataFrame
 
 
 def surrogate_names(names: DataFrame, n: int) -> DataFrame:
-    """``n`` unique names as (ordinal, name), from the seed names in alphabetical order.
+    """``n`` unique names as (ordinal, name), from the distinct seed names in alphabetical order.
 
-    When seeds run out they repeat with their ordinal appended, as do repeated seeds; without seeds the names are
-    ``Company 001`` and so on.
+    When seeds run out they repeat with their ordinal appended.  Such a name differs from all others with an ordinal, as
+    its last word is its own; where it equals a seed, the ordinal is padded to more digits than any seed has
+    characters.  Without seeds the names are ``Company 001`` and so on.
     """
     spark = names.sparkSession
-    column = names.columns[0]
-    seeds = with_ordinal(names.select(F.col(column).alias("seed")), "seed")
-    first = seeds.groupBy("seed").agg(F.min("ordinal").alias("first_at"))
+    # One row per name first: a name that repeats a billion times must not sort in one task.
+    distinct = names.select(F.col(names.columns[0]).alias("seed")).filter("seed IS NOT NULL").distinct()
+    seeds = with_ordinal(distinct, "seed")
     size = seeds.agg(F.count(F.lit(1)).alias("n")).scalar()
-    wanted = spark.range(1, n + 1).withColumnRenamed("id", "ordinal")
+    longest = seeds.agg(F.max(F.length("seed")).alias("n")).scalar()
     slot = F.pmod(F.col("ordinal") - 1, F.nullif(size, F.lit(0))) + 1
-    return (
-        wanted.withColumn("_slot", slot)
+    wanted = (
+        spark.range(1, n + 1)
+        .withColumnRenamed("id", "ordinal")
+        .withColumn("_slot", slot)
         .join(seeds.select(F.col("ordinal").alias("_slot"), "seed"), "_slot", "left")
-        .join(first, "seed", "left")
-        .select(
-            "ordinal",
-            F.when(F.col("seed").isNull(), F.format_string("Company %03d", F.col("ordinal")))
-            .when(F.col("ordinal") == F.col("first_at"), F.col("seed"))
-            .otherwise(F.concat("seed", F.lit(" "), F.col("ordinal").cast("string")))
-            .alias("name"),
-        )
+        .withColumn("_variant", F.concat("seed", F.lit(" "), F.col("ordinal").cast("string")))
+    )
+    taken = seeds.select(F.col("seed").alias("_taken"))
+    padded = F.concat("seed", F.lit(" "), F.lpad(F.col("ordinal").cast("string"), longest + 1, F.lit("0")))
+    return wanted.join(taken, F.col("_variant") == F.col("_taken"), "left").select(
+        "ordinal",
+        F.when(F.col("seed").isNull(), F.format_string("Company %03d", F.col("ordinal")))
+        .when(F.col("ordinal") == F.col("_slot"), F.col("seed"))
+        .when(F.col("_taken").isNull(), F.col("_variant"))
+        .otherwise(padded)
+        .alias("name"),
     )

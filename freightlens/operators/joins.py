@@ -104,45 +104,45 @@ def null_equal(a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit("")) == F.coalesce(b, F.lit(""))
 
 
-def lane_pairs(loc: DataFrame) -> DataFrame:
-    """Origin and destination locations of different cities, with distance and planned truckload days.
+def lane_pairs(routes: DataFrame, loc: DataFrame) -> DataFrame:
+    """The routes (origin_loc_id, dest_loc_id) between different cities, with distance and planned truckload days.
 
-    The result itself is every such pair: it is the lane dimension, whose size is set by the number of hubs and not
-    by the shipment volume.
+    ``routes`` is any table that names pairs in use, such as shipments; repeated pairs count once.  Locations join it by
+    key, so the result is as long as the list of pairs, never the square of the hubs.
     """
+
     def side(kind: str, prefix: str) -> DataFrame:
         return loc.filter(F.col("type") == kind).select(
             *[F.col(c).alias(f"{prefix}_{c}") for c in ("loc_id", "city", "lat", "lon")]
         )
 
+    pairs = routes.select(F.col("origin_loc_id").alias("o_loc_id"), F.col("dest_loc_id").alias("d_loc_id")).distinct()
     miles = rating.haversine_miles(F.col("o_lat"), F.col("o_lon"), F.col("d_lat"), F.col("d_lon"))
     return (
-        side("Origin", "o")
-        .join(side("Dest", "d"), F.col("o_city") != F.col("d_city"))
+        pairs.join(side("Origin", "o"), "o_loc_id")
+        .join(side("Dest", "d"), "d_loc_id")
+        .filter(F.col("o_city") != F.col("d_city"))
         .withColumn("miles", miles)
         .withColumn("std_transit_days", rating.transit_bucket(F.col("miles"), F.lit("TL")))
     )
 
 
-def monday(ts: Column) -> Column:
-    return F.to_date(F.date_trunc("week", ts))
-
-
 def asof_weekly_price(ship: DataFrame, prices: DataFrame, ts_col: str = "pickup_plan_ts") -> DataFrame:
-    """Latest weekly price (Monday anchors) at or before each shipment's week; null before the first anchor.
+    """Latest quoted price (week, price) dated on or before each shipment's day; null before the first quote.
 
-    The price list is reduced to one row per week, so its length is set by the calendar and ordering it is a small
-    task.  It is then filled: each anchor is repeated up to the next one, the last one up to the latest shipment
-    week.  The shipments need only an equality join on the week.
+    Of prices of one date the highest counts.  The price list is reduced to one row per date, so its length is set by
+    the calendar and ordering it is a small task.  It is then filled: each quote is repeated daily up to the next one,
+    the last one up to the latest shipment day.  The shipments need only an equality join on the day.
     """
-    last_week = ship.agg(monday(F.max(ts_col)).alias("w")).scalar()
-    anchors = prices.groupBy(monday(F.col("week")).alias("_anchor")).agg(F.max_by("price", "week").alias("price"))
-    following = F.lead("_anchor").over(Window.orderBy("_anchor"))
-    weekly = (
-        anchors.withColumn("_until", F.coalesce(F.date_sub(following, 7), F.greatest("_anchor", last_week)))
-        .select(F.explode(F.sequence("_anchor", "_until", F.expr("INTERVAL 7 DAY"))).alias("_week"), "price")
+    last_day = ship.agg(F.to_date(F.max(ts_col)).alias("d")).scalar()
+    quotes = prices.groupBy(F.to_date("week").alias("_from")).agg(F.max("price").alias("price"))
+    following = F.lead("_from").over(Window.orderBy("_from"))
+    daily = (
+        quotes.filter(F.col("_from").isNotNull())
+        .withColumn("_until", F.coalesce(F.date_sub(following, 1), F.greatest("_from", last_day)))
+        .select(F.explode(F.sequence("_from", "_until", F.expr("INTERVAL 1 DAY"))).alias("_day"), "price")
     )
-    return ship.withColumn("_week", monday(F.col(ts_col))).join(weekly, "_week", "left").drop("_week")
+    return ship.withColumn("_day", F.to_date(F.col(ts_col))).join(daily, "_day", "left").drop("_day")
 
 
 _ROLES = {"tender": "tender_ts", "pickup": "pickup_actual_ts", "delivery": "delivery_actual_ts"}

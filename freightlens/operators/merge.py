@@ -1,8 +1,7 @@
 """Incremental upserts.
 
-A merge is a left join of the target with the source (changed rows) plus the source rows whose key the target lacks
-(new rows).  When the source batch is small Spark broadcasts it and the target is not shuffled at all; for large
-batches both sides shuffle on the key.  Sources must be unique per key: run ``dedupe_latest`` first.
+A merge is one full outer join of the target with the source on the key: both are read once and shuffled once.  A source
+that repeats a key has no single answer, so such a merge fails; run :func:`latest_source` first where it can happen.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions import measures
@@ -18,7 +17,8 @@ from freightlens.operators.shaping import curate_shipments, dedupe_latest, now_l
 from freightlens.schemas import AUDIT_COLUMNS, DIM_TABLES, KEYS, NULL_EQUALS_EMPTY
 
 
-def _key_expr(name: str) -> Column:
+def key_column(name: str) -> Column:
+    """A key column as it is compared: null and empty are the same in keys that may be either."""
     return F.coalesce(F.col(name), F.lit("")) if name in NULL_EQUALS_EMPTY else F.col(name)
 
 
@@ -31,44 +31,41 @@ def _merge(
     insert_now: Column | None,
 ) -> DataFrame:
     columns = target.columns
-    attributes = [c for c in columns if c not in keys and c not in AUDIT_COLUMNS]
     probe = [f"_k{i}" for i in range(len(keys))]
-    keyed = {p: _key_expr(k) for p, k in zip(probe, keys)}
-
-    change = source.select(
-        *[e.alias(p) for p, e in keyed.items()],
-        *[F.col(c).alias(f"_s_{c}") for c in attributes],
-        F.col("update_date").alias("_s_update_date"),
-        F.lit(True).alias("_hit"),
+    keyed = [key_column(k).alias(p) for p, k in zip(probe, keys)]
+    # The window needs the partitioning that the join needs, so it costs no shuffle.
+    repeats = F.count(F.lit(1)).over(Window.partitionBy(*probe))
+    complete = F.lit(True)
+    for p in probe:
+        complete = complete & F.col(p).isNotNull()
+    once = F.when(~complete | (repeats == 1), True).otherwise(
+        F.raise_error(F.lit(f"the merge source repeats a key of ({', '.join(keys)})")).cast("boolean")
     )
-    take = F.coalesce(F.col("_hit"), F.lit(False))
+    new = source.select(*keyed, *[F.col(c).alias(f"_s_{c}") for c in columns]).withColumn("_in_source", once)
+    old = target.select(*keyed, *columns, F.lit(True).alias("_in_target"))
+    joined = old.join(new, probe, "full_outer")
+
+    kept = F.col("_in_target").isNotNull()
+    take = kept & F.col("_in_source").isNotNull()
     if guarded:
         take = take & F.coalesce(F.col("_s_update_date") >= F.col("update_date"), F.lit(False))
-    stamp = F.col("_s_update_date")
-    if update_now is not None:
-        stamp = F.coalesce(stamp, update_now)
+
+    def stamped(value: Column, now: Column | None) -> Column:
+        return value if now is None else F.coalesce(value, now)
 
     def merged(name: str) -> Column:
-        if name in attributes:
-            return F.when(F.col("_take"), F.col(f"_s_{name}")).otherwise(F.col(name)).alias(name)
+        was, comes = F.col(name), F.col(f"_s_{name}")
+        changed, fresh = comes, comes
+        if name in keys or name == "load_date":
+            changed = was
         if name == "update_date":
-            return F.when(F.col("_take"), stamp).otherwise(F.col(name)).alias(name)
-        return F.col(name)
-
-    kept = (
-        target.withColumns(keyed)
-        .join(change, probe, "left")
-        .withColumn("_take", take)
-        .select(*[merged(c) for c in columns])
-    )
-    known = (
-        target.select(*[e.alias(p) for p, e in keyed.items()])
-        .join(change.select(*probe), probe, "left_semi")
-    )
-    fresh = source.withColumns(keyed).join(known, probe, "left_anti").select(*columns)
-    if insert_now is not None:
-        fresh = fresh.withColumns({c: F.coalesce(F.col(c), insert_now) for c in AUDIT_COLUMNS})
-    return kept.unionByName(fresh)
+            changed = stamped(comes, update_now)
+        if name in AUDIT_COLUMNS:
+            fresh = stamped(comes, insert_now)
+        return F.when(take, changed).when(kept, was).otherwise(fresh).alias(name)
+
+    # Reading the flag of every source row keeps the check from being optimised away.
+    return joined.filter(kept | F.col("_in_source")).select(*[merged(c) for c in columns])
 
 
 def merge_dim(target: DataFrame, source: DataFrame, keys: Sequence[str], now: datetime | Column) -> DataFrame:
@@ -106,7 +103,7 @@ def merge_table(
 def latest_source(df: DataFrame, table: str) -> DataFrame:
     """The latest row per declared key, ready to be a merge source (null and empty key parts are the same)."""
     keys = {k: f"_key_{k}" if k in NULL_EQUALS_EMPTY else k for k in KEYS[table]}
-    extra = {alias: _key_expr(k) for k, alias in keys.items() if alias != k}
+    extra = {alias: key_column(k) for k, alias in keys.items() if alias != k}
     return dedupe_latest(df.withColumns(extra), list(keys.values()), ["update_date"]).select(*df.columns)
 
 

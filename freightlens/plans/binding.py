@@ -16,17 +16,16 @@ from freightlens.functions import rating
 from freightlens.functions.measures import plus
 from freightlens.operators.dims import date_dim
 from freightlens.operators.shaping import dedupe_latest
-from freightlens.schemas import TABLES, typed_schema
+from freightlens.schemas import COST_TYPES, TABLES, typed_schema
 
 _VERSION_ORDER = (
-    "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+    "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_discount",
+    "l_tax",
 )
 _LINE_COLUMNS = ("l_orderkey", "l_linenumber", *_VERSION_ORDER)
 _MODES = ("TL", "LTL", "Intermodal")
-_TIERS = ("Bronze", "Silver", "Gold", "Platinum")
-_EQUIPMENT = (("Van", 45000), ("Reefer", 44000), ("Flat", 48000))
-_NOTES = ("Weather", "Mechanical", "Traffic", "Facility Delay", "Capacity", "  ", None)
-_ACCESSORIALS = ("Detention", "Lumper", "Layover")
+_TIERS = ("A", "B", "C", "D")
+_EQUIPMENT = (("Box", 10000), ("Tank", 20000), ("Deck", 30000))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,75 +49,74 @@ def latest_lines(lines: DataFrame) -> DataFrame:
 
 
 def legs(lines: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Shipment legs of the given line items, with the internal columns ``_h``, ``_exception`` and ``_mode``.
+    """Shipment legs of the given line items, with the internal columns ``_h``, ``_qty``, ``_reason`` and ``_mode``.
 
-    Orders take their customer's nation first, so the much longer line table is shuffled once for this join.  The
-    merge hint keeps Spark from broadcasting a line table it underestimates.
+    Orders take their customer's nation first, so the much longer line table meets one other table.
     """
-    header = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
+    header = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority").join(
         customer.selectExpr("c_custkey AS o_custkey", "c_nationkey"), "o_custkey"
     )
-    columns = lines.join(header.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+    columns = lines.join(header, F.expr("l_orderkey = o_orderkey"))
     for step in _LEG_STEPS:
         columns = columns.selectExpr("*", *[f"{rule} AS {name}" for name, rule in step.items()])
-    return columns.selectExpr(*typed_schema("fact_shipment").names, "_h", "_exception", "_mode")
+    return columns.selectExpr(*typed_schema("fact_shipment").names, *_INTERNAL)
 
 
-def _hours(ts: str, hours: str, minutes: str = "0") -> str:
+_INTERNAL = ("_h", "_qty", "_reason", "_mode")
+
+
+def _after(ts: str, hours: str = "0", minutes: str = "0") -> str:
     return f"{ts} + make_dt_interval(0, CAST({hours} AS INT), CAST({minutes} AS INT))"
 
 
-# The shipment rules, each step over the columns of the one before.
+# What a line item says as a shipment leg, each step over the columns of the one before.  Goods travel from the
+# customer's nation to the hub of the customer's route; quantities decide what is small (cancelled) or large (an
+# exception), discount and tax how late pickup and delivery are.
 _LEG_STEPS: tuple[dict[str, str], ...] = (
     {
-        "_h": "(l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29 + l_orderkey * 3) % 1000",
-        "origin_loc_id": "CAST(c_nationkey AS BIGINT)",
-        "dest_loc_id": "(c_nationkey + 1 + l_partkey % 24) % 25",
+        "_h": "(l_partkey + 3 * l_orderkey + l_linenumber) % 1000",
+        "_qty": "CAST(l_quantity AS INT)",
         "_mode": "element_at(array('TL', 'LTL', 'Intermodal'), CAST(l_suppkey % 3 + 1 AS INT))",
+        "_reason": "CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN '  ' "
+        "ELSE substr(o_orderpriority, 3) END",
+        "origin_loc_id": "CAST(c_nationkey AS BIGINT)",
+        "dest_loc_id": "o_custkey % 25",
     },
     {
         "lane_id": "origin_loc_id * 25 + dest_loc_id",
-        "planned_miles": "CAST(abs(origin_loc_id - dest_loc_id) * 110 + 150 AS DECIMAL(10,2))",
-        "cancel_flag": "_h % 100 < 8",
-        "_exception": "_h % 13 = 0 AND _h % 100 >= 8",
-        "tender_ts": _hours("o_orderdate", "_h % 20"),
-        "_done": "_h % 100 >= 8 AND (l_linestatus <> 'O' OR l_returnflag <> 'N')",
+        "planned_miles": "CAST(abs(origin_loc_id - dest_loc_id) * 40 + 90 AS DECIMAL(10,2))",
+        "cancel_flag": "_qty <= 3",
+        "_done": "_qty > 3 AND (l_linestatus <> 'O' OR l_returnflag <> 'N')",
+        "tender_ts": _after("o_orderdate", "l_linenumber"),
+        "pickup_plan_ts": _after("o_orderdate", "24 + _qty"),
+        "revenue": "CAST(l_extendedprice AS DECIMAL(12,2))",
     },
     {
-        "_days": "CASE WHEN planned_miles < 300 THEN 1 WHEN planned_miles < 600 THEN 2 WHEN planned_miles < 1000 THEN 3 "
-        "ELSE 4 END + IF(_mode = 'Intermodal', 1, 0)",
-        "pickup_plan_ts": _hours("tender_ts", "l_partkey % 21 + 4"),
-        "status": "CASE WHEN cancel_flag THEN 'Cancelled' WHEN _done AND _exception THEN 'Exception' "
-        "WHEN _done THEN 'Delivered' WHEN _h % 10 = 0 THEN 'Tendered' WHEN _h % 10 = 1 THEN 'Accepted' "
+        "status": "CASE WHEN cancel_flag THEN 'Cancelled' WHEN _done AND _qty >= 47 THEN 'Exception' "
+        "WHEN _done THEN 'Delivered' WHEN o_orderstatus = 'O' THEN 'Tendered' WHEN o_orderstatus = 'P' THEN 'Accepted' "
         "ELSE 'In-Transit' END",
+        "delivery_plan_ts": _after("pickup_plan_ts", "24 * (2 + l_linenumber % 3)"),
     },
     {
-        "delivery_plan_ts": _hours("pickup_plan_ts", "_days * 24 + 1 + _h % 8"),
-        "pickup_actual_ts": "IF(_done OR (NOT cancel_flag AND _h % 10 > 1), "
-        + _hours("pickup_plan_ts", "l_suppkey % 4") + ", NULL)",
-        # Not built on pickup_actual_ts: a pushed-down null test would repeat nested conditions.
-        "delivery_actual_ts": "IF(_done, "
-        + _hours("pickup_plan_ts", "l_suppkey % 4 + _days * 24 + _h % 17 - 6 + IF(_exception, _h % 31 + 6, 0)", "_h % 60")
-        + ", NULL)",
-        "revenue": "CAST(l_extendedprice AS DECIMAL(12,2))",
-        "isinfull": "IF(_h % 40 = 7, NULL, _h % 25 <> 0)",
+        "pickup_actual_ts": "IF(status IN ('In-Transit', 'Delivered', 'Exception'), "
+        + _after("pickup_plan_ts", minutes="20 * round(l_discount * 100)") + ", NULL)",
+        "delivery_actual_ts": "IF(_done, " + _after("delivery_plan_ts", minutes="30 * (round(l_tax * 100) - 4)") + ", NULL)",
+        "isinfull": "IF(l_linenumber = 7, NULL, l_returnflag <> 'R')",
     },
     {
         "shipment_id": "concat('S', lpad(CAST(l_orderkey AS STRING), greatest(9, length(CAST(l_orderkey AS STRING))), '0'))",
         "leg_id": "l_linenumber",
         "customer_id": "o_custkey",
         "carrier_id": "l_suppkey",
-        "equipment_id": "l_partkey % 3 + 1",
-        "actual_miles": "CAST(IF(cancel_flag, 0, planned_miles + _h % 7) AS DECIMAL(10,2))",
-        "pieces": "CAST(_h % 24 + 1 AS INT)",
-        "weight_lbs": "CAST(_h * 43 + 500 AS DECIMAL(10,2))",
-        "cube": "CAST(_h * 3 + 50 AS DECIMAL(10,2))",
-        "total_cost": "CAST(revenue * CAST(_h % 17 + 72 AS DECIMAL(4,0)) * CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(12,2))",
-        "fuel_surcharge": "CAST(planned_miles * (CAST('0.095' AS DECIMAL(5,3)) "
-        "+ CAST(_h % 10 AS DECIMAL(4,0)) * CAST('0.005' AS DECIMAL(4,3))) AS DECIMAL(12,2))",
-        "accessorial_cost": "CAST(IF(_h % 10 = 3 AND NOT cancel_flag, _h % 300 + 50, 0) AS DECIMAL(12,2))",
-        "isdeliveredontime": "coalesce(delivery_actual_ts <= "
-        + _hours("delivery_plan_ts", "0", "(_h % 4 + 1) * 30") + ", false)",
+        "equipment_id": "l_suppkey % 3 + 1",
+        "actual_miles": "CAST(IF(cancel_flag, 0, planned_miles + l_linenumber) AS DECIMAL(10,2))",
+        "pieces": "_qty",
+        "weight_lbs": "CAST(_qty * 12 AS DECIMAL(10,2))",
+        "cube": "CAST(_qty * 2 AS DECIMAL(10,2))",
+        "total_cost": "CAST(revenue * CAST(1 - l_discount - l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2))",
+        "fuel_surcharge": "CAST(revenue * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2))",
+        "accessorial_cost": "CAST(IF(status = 'Exception', 3 * _qty, 0) AS DECIMAL(12,2))",
+        "isdeliveredontime": "coalesce(delivery_actual_ts <= delivery_plan_ts, false)",
         "load_date": "o_orderdate",
         "update_date": "l_shipdate",
     },
@@ -132,25 +130,24 @@ def shipments_of(leg: DataFrame) -> DataFrame:
 
 def events_of(leg: DataFrame) -> DataFrame:
     """Up to nine events per leg, built as one array per row and exploded: no repeated scan, no shuffle."""
-    h, tender = F.col("_h"), F.col("tender_ts")
+    qty, cancelled = F.col("_qty"), F.col("cancel_flag")
     pickup, delivery = F.col("pickup_actual_ts"), F.col("delivery_actual_ts")
     origin, dest = F.col("origin_loc_id"), F.col("dest_loc_id")
-    cancelled, exception = F.col("cancel_flag"), F.col("_exception")
-    dwell_start = plus(pickup, hours=h % 12 + 1)
     none = F.lit(None).cast("string")
+    docked = qty % 4 == 0
+    apart = cancelled | (F.col("status") == "Exception")
     rows = (
-        (1, "Tendered", tender, origin, none),
-        (2, "Accepted", F.when(~F.col("status").isin("Cancelled", "Tendered"), plus(tender, hours=h % 3 + 1)), origin,
-         none),
-        (3, "AtOrigin", plus(pickup, hours=-1), origin, none),
+        (1, "Tendered", F.col("tender_ts"), origin, none),
+        (2, "Accepted", F.when(~F.col("status").isin("Cancelled", "Tendered"), plus(F.col("pickup_plan_ts"), hours=-12)),
+         origin, none),
+        (3, "AtOrigin", F.when(pickup.isNotNull(), F.col("pickup_plan_ts")), origin, none),
         (4, "PickedUp", pickup, origin, none),
-        (5, "DwellStart", F.when(h % 4 == 0, dwell_start), origin, F.lit("Facility dwell")),
-        (6, "DwellEnd", F.when((h % 4 == 0) & (h % 20 != 0), plus(dwell_start, minutes=h % 37 * 10)), origin, none),
-        (7, "AtDest", plus(delivery, hours=-(h % 6 + 1)), dest, none),
+        (5, "DwellStart", F.when(docked, plus(delivery, hours=-3)), dest, F.lit("Dock")),
+        (6, "DwellEnd", F.when(docked & (F.col("leg_id") != 2), plus(delivery, minutes=qty - 180)), dest, none),
+        (7, "AtDest", plus(delivery, hours=-1), dest, none),
         (8, "Delivered", delivery, dest, none),
-        (9, "Exception", F.when(cancelled | exception, plus(tender, hours=2)),
-         F.when(cancelled, origin).otherwise(dest),
-         F.when(cancelled, F.lit("Tender Not Used")).otherwise(_pick(h % 7, _NOTES))),
+        (9, "Exception", F.when(apart, F.col("pickup_plan_ts")), F.when(cancelled, origin).otherwise(dest),
+         F.col("_reason")),
     )
     built = [
         F.struct(
@@ -171,22 +168,19 @@ def events_of(leg: DataFrame) -> DataFrame:
 
 
 def costs_of(leg: DataFrame) -> DataFrame:
-    """Base, fuel and accessorial lines of moved legs, a flat fee for cancelled ones."""
-    h, moved = F.col("_h"), ~F.col("cancel_flag")
-    fuel, extra = F.col("fuel_surcharge"), F.col("accessorial_cost")
-    extra_kind = _pick(h % 3, _ACCESSORIALS)
-    base = F.greatest(_money(0), _money(F.col("total_cost") - fuel - extra))
+    """Cost lines of a leg: what it cost, its fuel and its extras if it moved, and a fee by quantity if not."""
+    moved, extra = ~F.col("cancel_flag"), F.col("accessorial_cost")
     rows = (
-        (F.lit("Base"), "per-mile", F.lit("RPM"), F.when(moved, base)),
-        (F.lit("Fuel"), "index", F.lit("DOE"), F.when(moved, fuel)),
-        (F.concat(F.lit("Accessorial: "), extra_kind), "flat", F.upper(extra_kind), F.when(extra > 0, extra)),
-        (F.lit("Accessorial: TONU"), "flat", F.lit("TONU"), F.when(~moved, _money(h % 126 + 75))),
+        (COST_TYPES[0], "per-mile", "PM", F.when(moved, F.col("total_cost"))),
+        (COST_TYPES[1], "index", "IX", F.when(moved, F.col("fuel_surcharge"))),
+        (COST_TYPES[2], "flat", "EX", F.when(extra > 0, extra)),
+        (COST_TYPES[4], "flat", "FEE", F.when(~moved, _money(F.col("_qty") * 10))),
     )
     built = [
         F.struct(
-            kind.alias("cost_type"),
+            F.lit(kind).alias("cost_type"),
             F.lit(method).alias("calc_method"),
-            F.concat(ref, F.lit(" L"), F.col("leg_id").cast("string")).alias("rate_ref"),
+            F.concat(F.lit(f"{ref} L"), F.col("leg_id").cast("string")).alias("rate_ref"),
             amount.alias("cost_amount"),
         )
         for kind, method, ref, amount in rows
@@ -224,7 +218,7 @@ def dim_carrier(supplier: DataFrame) -> DataFrame:
             key.alias("carrier_id"),
             F.col("s_name").alias("name"),
             _pick(key % 3, _MODES).alias("mode"),
-            F.concat(F.lit("MC"), (key + 100000).cast("string")).alias("mc_number"),
+            F.concat(F.lit("No. "), key.cast("string")).alias("mc_number"),
             _pick(key % 4, _TIERS).alias("score_tier"),
         ),
         "dim_carrier",
@@ -260,14 +254,19 @@ def dim_location(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-def dim_lane(nation: DataFrame) -> DataFrame:
-    """Lanes between different nations; the size is fixed by the nation table, not by the shipments."""
-    origin = nation.select(F.col("n_nationkey").cast("bigint").alias("origin_loc_id"))
-    dest = nation.select(F.col("n_nationkey").cast("bigint").alias("dest_loc_id"))
+def routes(customer: DataFrame) -> DataFrame:
+    """The (origin, destination) pairs that customers ship on."""
+    return customer.select(
+        F.col("c_nationkey").cast("bigint").alias("origin_loc_id"), (F.col("c_custkey") % 25).alias("dest_loc_id")
+    ).distinct()
+
+
+def dim_lane(customer: DataFrame) -> DataFrame:
+    """A lane for each route in use."""
     o, d = F.col("origin_loc_id"), F.col("dest_loc_id")
-    miles = (F.abs(o - d) * 110 + 150).cast("decimal(10,2)")
+    miles = (F.abs(o - d) * 40 + 90).cast("decimal(10,2)")
     return _stamped(
-        origin.join(dest, o != d).select(
+        routes(customer).select(
             (o * 25 + d).alias("lane_id"), o, d, miles.alias("standard_miles"),
             rating.transit_bucket(miles, F.lit("TL")).alias("std_transit_days"),
         ),
@@ -275,6 +274,13 @@ def dim_lane(nation: DataFrame) -> DataFrame:
     )
 
 
+def hub_routes(customer: DataFrame) -> DataFrame:
+    """The routes between the locations of :func:`hubs`: from an origin hub to a destination hub."""
+    return routes(customer).select(
+        (F.col("origin_loc_id") * 2 + 1).alias("origin_loc_id"), (F.col("dest_loc_id") * 2 + 2).alias("dest_loc_id")
+    )
+
+
 def hubs(nation: DataFrame) -> DataFrame:
     """An origin and a destination location per nation, with coordinates, for building lanes."""
     key = F.col("n_nationkey").cast("bigint")
@@ -339,7 +345,7 @@ class BoundStar(Mapping):
             "dim_carrier": lambda: dim_carrier(self.source("supplier")),
             "dim_equipment": lambda: dim_equipment(self.source("supplier")),
             "dim_location": lambda: dim_location(*map(self.source, ("nation", "region"))),
-            "dim_lane": lambda: dim_lane(self.source("nation")),
+            "dim_lane": lambda: dim_lane(self.source("customer")),
             "dim_date": lambda: calendar_of(self["fact_shipment"]),
             "fact_shipment": lambda: shipments_of(self.legs()),
             "fact_event": lambda: events_of(self.legs()),

@@ -66,10 +66,11 @@ def write_csv(b: Bound) -> DataFrame:
 
 @register(f"SELECT {_columns_sql('fact_cost')} FROM fact_cost")
 def write_table(b: Bound) -> DataFrame:
-    """Costs written twice as a full replacement, the second time split by method, and read back."""
+    """Costs written as a full replacement split by method, half of them again as an append, and read back."""
     root = scratch_path(b.spark, "edw")
-    warehouse.write_table(b.cost, root, "fact_cost")
-    warehouse.write_table(b.cost, root, "fact_cost", partition_by=["calc_method"])
+    half = F.expr("length(shipment_id) % 2 = 0 OR right(shipment_id, 1) < '5'")
+    warehouse.write_table(b.cost.filter(half), root, "fact_cost", part=F.col("calc_method"))
+    warehouse.write_table(b.cost.filter(~half), root, "fact_cost", mode="append")
     return warehouse.read_edw(b.spark, root, "fact_cost")
 
 
@@ -250,9 +251,9 @@ def merge_fact_cost(b: Bound) -> DataFrame:
     return merge_table(_leg_costs(target, "CAST(NULL AS STRING)"), _leg_costs(source, "''"), "fact_cost", NOW)
 
 
-_CURATED = """SELECT * REPLACE (coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MINUTE, false)
-  AS isdeliveredontime, coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MINUTE AND isinfull, false)
-  AS isotif) FROM s_legs"""
+_FLAGS = """coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MINUTE, false) AS isdeliveredontime,
+  coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MINUTE AND isinfull, false) AS isotif"""
+_CURATED = f"SELECT * REPLACE ({_FLAGS}) FROM s_legs"
 
 
 @register(
@@ -265,12 +266,47 @@ def curate_fact_shipment(b: Bound) -> DataFrame:
     return curate(*sides, now=NOW)["fact_shipment"]
 
 
-@register(_merge_sql("dim_carrier", guarded=False, stamp=False, fill=True), extra=_dim_ctes("dim_carrier"))
-def curate_dim_carrier(b: Bound) -> DataFrame:
-    """Curation copies update times as they are on a match and fills them on an insert."""
-    target, source = _dim_sides(b, "dim_carrier")
-    same = {"fact_shipment": b.ship}
-    return curate({"dim_carrier": source, **same}, {"dim_carrier": target, **same}, now=NOW)["dim_carrier"]
+def _register_dim_curation(table: str) -> None:
+    def curated(b: Bound) -> DataFrame:
+        target, source = _dim_sides(b, table)
+        same = {"fact_shipment": b.ship}
+        return curate({table: source, **same}, {table: target, **same}, now=NOW)[table]
+
+    curated.__name__ = f"curate_{table}"
+    curated.__doc__ = f"Curation of {table}: update times are copied as they are on a match and filled on an insert."
+    register(_merge_sql(table, guarded=False, stamp=False, fill=True), extra=_dim_ctes(table))(curated)
+
+
+for _table in DIM_TABLES:
+    _register_dim_curation(_table)
+
+
+def _register_fact_curation(table: str, rows_of, target_sql: str, source_sql: str) -> None:
+    def curated(b: Bound) -> DataFrame:
+        target, source = _versions(b)
+        same = {"fact_shipment": b.ship}
+        return curate({table: rows_of(source, 1), **same}, {table: rows_of(target, 0), **same}, now=NOW)[table]
+
+    curated.__name__ = f"curate_{table}"
+    curated.__doc__ = f"Curation of {table}: audit times are copied as they are."
+    register(
+        _merge_sql(table, guarded=True, stamp=False, fill=False),
+        extra=f"{_version_ctes()}, t AS ({target_sql}), s AS ({source_sql})",
+    )(curated)
+
+
+_register_fact_curation(
+    "fact_event",
+    lambda leg, _: _status_events(leg),
+    _TENDER_EVENTS.format(legs="t_legs"),
+    _TENDER_EVENTS.format(legs="s_legs"),
+)
+_register_fact_curation(
+    "fact_cost",
+    lambda leg, new: _leg_costs(leg, "''" if new else "CAST(NULL AS STRING)"),
+    _LEG_COSTS.format(legs="t_legs", empty="CAST(NULL AS VARCHAR)"),
+    _LEG_COSTS.format(legs="s_legs", empty="''"),
+)
 
 
 # --- incremental --------------------------------------------------------------------------------------------------
@@ -347,3 +383,41 @@ def load_model(b: Bound) -> DataFrame:
     return refreshing.load_model(b.spark, _landing_zone(b), scratch_path(b.spark, "model"))
 
 
+# A second delivery after the first: some rows again, each changed, half of them too old to count.
+_SECOND = {
+    "fact_shipment": ("leg_id % 3 = 0", "leg_id % 2 = 0", {"status": "'In-Transit'", "pieces": "pieces + 1"}),
+    "fact_event": ("event_seq % 3 = 0", "event_seq % 2 = 0", {"notes": "'again'", "event_ts": "event_ts + INTERVAL '40' DAY"}),
+    "fact_cost": ("calc_method = 'flat'", "right(rate_ref, 1) IN ('2', '4', '6')", {"currency": "'EUR'"}),
+}
+
+
+def _register_refreshed(table: str) -> None:
+    which, late, changes = _SECOND[table]
+    stamp = f"update_date + (CASE WHEN {late} THEN INTERVAL '-1' DAY ELSE INTERVAL '1' DAY END)"
+    changed = {**changes, "update_date": stamp}
+
+    def refreshed(b: Bound) -> DataFrame:
+        zone, root = _landing_zone(b), scratch_path(b.spark, "warehouse")
+        refreshing.refresh(b.spark, zone, root, NOW)
+        again = b.star[table].filter(which)
+        kept = [f"{changed.get(c, c)} AS {c}" for c in again.columns]
+        for name in _SECOND:
+            landing.write_csv(again.selectExpr(*kept) if name == table else b.star[name].limit(0), f"{zone}/{name}.csv")
+        refreshing.refresh(b.spark, zone, root, NOW)
+        return warehouse.read_edw(b.spark, f"{root}/edw", table)
+
+    refreshed.__name__ = f"refresh_{table}"
+    refreshed.__doc__ = f"{table} after a second landing with changed and late rows."
+    replaced = ", ".join(f"{e} AS {c}" for c, e in changed.items())
+    # What landing does on the way: flags of shipments are recomputed, blank text is missing.
+    blank = "nullif(trim(notes), '') AS notes"
+    flags = {
+        "fact_shipment": f"SELECT * REPLACE ({_FLAGS}) FROM ",
+        "fact_event": f"SELECT * REPLACE ({blank}) FROM ",
+    }.get(table, "SELECT * FROM ")
+    second = f"{flags}(SELECT * REPLACE ({replaced}) FROM {table} WHERE {which})"
+    register(_merge_sql(table, True, False, False), extra=f"t AS ({flags}{table}), s AS ({second})")(refreshed)
+
+
+for _table in _SECOND:
+    _register_refreshed(_table)

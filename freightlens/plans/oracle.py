@@ -6,70 +6,60 @@ in Spark.
 
 from __future__ import annotations
 
+from freightlens.schemas import COST_TYPES
+
 _LEG_RULES = """
 {name}_src AS (
-  SELECT l.*, o_custkey, o_orderdate, c_nationkey,
-         (7*l_partkey + 13*l_suppkey + 29*l_linenumber + 3*l_orderkey) % 1000 AS h,
-         CAST(c_nationkey AS BIGINT) AS origin_loc_id,
-         (c_nationkey + 1 + l_partkey % 24) % 25 AS dest_loc_id
+  SELECT l.*, o_custkey, o_orderdate, o_orderstatus, o_orderpriority,
+         (l_partkey + 3*l_orderkey + l_linenumber) % 1000 AS h, CAST(l_quantity AS INTEGER) AS qty,
+         CAST(c_nationkey AS BIGINT) AS origin_loc_id, o_custkey % 25 AS dest_loc_id,
+         l_linestatus <> 'O' OR l_returnflag <> 'N' AS closed
   FROM (SELECT * FROM {lines}
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC,
-          l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_returnflag DESC, l_linestatus DESC) = 1) l
+          l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_returnflag DESC, l_linestatus DESC,
+          l_discount DESC, l_tax DESC) = 1) l
   JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-), {name}_rules AS (
-  SELECT *, origin_loc_id*25 + dest_loc_id AS lane_id,
-         CAST(150 + 110*abs(origin_loc_id - dest_loc_id) AS DECIMAL(10,2)) AS planned_miles,
-         CASE l_suppkey % 3 WHEN 0 THEN 'TL' WHEN 1 THEN 'LTL' ELSE 'Intermodal' END AS mode,
-         h % 100 < 8 AS cancel_flag, h % 13 = 0 AND h % 100 >= 8 AS exc,
-         o_orderdate + (h % 20) * INTERVAL 1 HOUR AS tender_ts
+), {name}_plan AS (
+  SELECT *, CASE WHEN qty <= 3 THEN 'Cancelled' WHEN closed AND qty >= 47 THEN 'Exception' WHEN closed THEN 'Delivered'
+                 WHEN o_orderstatus = 'O' THEN 'Tendered' WHEN o_orderstatus = 'P' THEN 'Accepted' ELSE 'In-Transit' END
+           AS status,
+         o_orderdate + l_linenumber * INTERVAL 1 HOUR AS tender_ts,
+         o_orderdate + (24 + qty) * INTERVAL 1 HOUR AS pickup_plan_ts,
+         o_orderdate + (24 + qty + 24*(2 + l_linenumber % 3)) * INTERVAL 1 HOUR AS delivery_plan_ts,
+         CAST(90 + 40*abs(origin_loc_id - dest_loc_id) AS DECIMAL(10,2)) AS planned_miles,
+         CAST(l_extendedprice AS DECIMAL(12,2)) AS revenue,
+         CASE WHEN l_linenumber <> 7 THEN l_returnflag <> 'R' END AS isinfull
   FROM {name}_src
-), {name}_planned AS (
-  SELECT *, CASE WHEN planned_miles < 300 THEN 1 WHEN planned_miles < 600 THEN 2 WHEN planned_miles < 1000 THEN 3
-            ELSE 4 END + CASE WHEN mode = 'Intermodal' THEN 1 ELSE 0 END AS days,
-         tender_ts + (4 + l_partkey % 21) * INTERVAL 1 HOUR AS pickup_plan_ts,
-         CASE WHEN cancel_flag THEN 'Cancelled'
-              WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN
-                CASE h % 10 WHEN 0 THEN 'Tendered' WHEN 1 THEN 'Accepted' ELSE 'In-Transit' END
-              WHEN h % 13 = 0 THEN 'Exception' ELSE 'Delivered' END AS status
-  FROM {name}_rules
-), {name}_timed AS (
-  SELECT *, pickup_plan_ts + (24*days + 1 + h % 8) * INTERVAL 1 HOUR AS delivery_plan_ts,
-         CASE WHEN status IN ('In-Transit','Exception','Delivered')
-              THEN pickup_plan_ts + (l_suppkey % 4) * INTERVAL 1 HOUR END AS pickup_actual_ts
-  FROM {name}_planned
-), {name}_legs AS (
-  SELECT *, CASE WHEN status IN ('Exception','Delivered') THEN pickup_actual_ts
-              + (24*days + h % 17 - 6 + CASE WHEN exc THEN 6 + h % 31 ELSE 0 END) * INTERVAL 1 HOUR
-              + (h % 60) * INTERVAL 1 MINUTE END AS delivery_actual_ts,
-         CAST(l_extendedprice AS DECIMAL(12,2)) AS revenue
-  FROM {name}_timed
-), {name}_flagged AS (
-  SELECT *, coalesce(delivery_actual_ts <= delivery_plan_ts + (30*(1 + h % 4)) * INTERVAL 1 MINUTE, false) AS ontime,
-         CASE WHEN h % 40 <> 7 THEN h % 25 <> 0 END AS isinfull
-  FROM {name}_legs
+), {name}_done AS (
+  SELECT *, CASE WHEN status IN ('In-Transit','Delivered','Exception')
+              THEN pickup_plan_ts + CAST(20*round(l_discount*100) AS INTEGER) * INTERVAL 1 MINUTE END AS pickup_actual_ts,
+         CASE WHEN status IN ('Delivered','Exception')
+              THEN delivery_plan_ts + CAST(30*(round(l_tax*100) - 4) AS INTEGER) * INTERVAL 1 MINUTE END
+           AS delivery_actual_ts
+  FROM {name}_plan
 ), {name} AS (
   SELECT 'S' || lpad(CAST(l_orderkey AS VARCHAR), CAST(greatest(9, length(CAST(l_orderkey AS VARCHAR))) AS INTEGER),
            '0') AS shipment_id,
-         l_linenumber AS leg_id, o_custkey AS customer_id, l_suppkey AS carrier_id, 1 + l_partkey % 3 AS equipment_id,
-         origin_loc_id, dest_loc_id, lane_id, tender_ts, pickup_plan_ts, pickup_actual_ts, delivery_plan_ts,
-         delivery_actual_ts, planned_miles,
-         CAST(CASE WHEN cancel_flag THEN 0 ELSE planned_miles + h % 7 END AS DECIMAL(10,2)) AS actual_miles,
-         CAST(1 + h % 24 AS INTEGER) AS pieces, CAST(500 + 43*h AS DECIMAL(10,2)) AS weight_lbs,
-         CAST(50 + 3*h AS DECIMAL(10,2)) AS cube, revenue,
-         CAST(revenue * CAST(72 + h % 17 AS DECIMAL(4,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS total_cost,
-         CAST(planned_miles * greatest(CAST(0.05 AS DECIMAL(6,5)), CAST(0.12 AS DECIMAL(6,5))
-           + CAST(0.05 AS DECIMAL(3,2)) * (CAST(h % 10 AS DECIMAL(4,0)) * CAST(0.1 AS DECIMAL(2,1))
-           + CAST(3 AS DECIMAL(2,1)) - CAST(3.5 AS DECIMAL(2,1)))) AS DECIMAL(12,2)) AS fuel_surcharge,
-         CAST(CASE WHEN h % 10 = 3 AND NOT cancel_flag THEN 50 + h % 300 ELSE 0 END AS DECIMAL(12,2))
-           AS accessorial_cost,
-         status, ontime AS isdeliveredontime, isinfull, coalesce(ontime AND isinfull, false) AS isotif, cancel_flag,
-         o_orderdate AS load_date, l_shipdate AS update_date, h, exc, mode
-  FROM {name}_flagged
+         l_linenumber AS leg_id, o_custkey AS customer_id, l_suppkey AS carrier_id, 1 + l_suppkey % 3 AS equipment_id,
+         origin_loc_id, dest_loc_id, origin_loc_id*25 + dest_loc_id AS lane_id, tender_ts, pickup_plan_ts,
+         pickup_actual_ts, delivery_plan_ts, delivery_actual_ts, planned_miles,
+         CAST(CASE WHEN qty <= 3 THEN 0 ELSE planned_miles + l_linenumber END AS DECIMAL(10,2)) AS actual_miles,
+         qty AS pieces, CAST(12*qty AS DECIMAL(10,2)) AS weight_lbs, CAST(2*qty AS DECIMAL(10,2)) AS cube, revenue,
+         CAST(revenue * CAST(1 - l_discount - l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS total_cost,
+         CAST(revenue * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS fuel_surcharge,
+         CAST(CASE WHEN status = 'Exception' THEN 3*qty ELSE 0 END AS DECIMAL(12,2)) AS accessorial_cost,
+         status, coalesce(delivery_actual_ts <= delivery_plan_ts, false) AS isdeliveredontime, isinfull,
+         coalesce(delivery_actual_ts <= delivery_plan_ts AND isinfull, false) AS isotif, qty <= 3 AS cancel_flag,
+         o_orderdate AS load_date, l_shipdate AS update_date, h, qty,
+         CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN '  ' ELSE substr(o_orderpriority, 3) END
+           AS reason,
+         CASE l_suppkey % 3 WHEN 0 THEN 'TL' WHEN 1 THEN 'LTL' ELSE 'Intermodal' END AS mode
+  FROM {name}_done
 )"""
 
 
 def legs_sql(name: str, lines: str) -> str:
-    """The shipment rules over a line-item relation, as the CTE ``name`` (with columns h, exc and mode)."""
+    """The shipment rules over a line-item relation, as the CTE ``name`` (with columns h, qty, reason, mode)."""
     return _LEG_RULES.format(name=name, lines=lines)
 
 
@@ -78,50 +68,43 @@ _STAMP = "TIMESTAMP '2024-01-01' AS load_date, TIMESTAMP '2024-01-01' AS update_
 BINDING = (
     legs_sql("legs", "lineitem").lstrip()
     + f""",
-fact_shipment AS (SELECT * EXCLUDE (h, exc, mode) FROM legs),
+fact_shipment AS (SELECT * EXCLUDE (h, qty, reason, mode) FROM legs),
 fact_event AS (
   SELECT shipment_id, CAST(leg_id*10 + k AS INTEGER) AS event_seq, event_type, event_ts, facility_loc_id, notes,
          load_date, event_ts AS update_date
   FROM (
     SELECT shipment_id, leg_id, load_date, 1 AS k, 'Tendered' AS event_type, tender_ts AS event_ts,
            origin_loc_id AS facility_loc_id, CAST(NULL AS VARCHAR) AS notes FROM legs
-    UNION ALL SELECT shipment_id, leg_id, load_date, 2, 'Accepted', tender_ts + (1 + h % 3) * INTERVAL 1 HOUR,
+    UNION ALL SELECT shipment_id, leg_id, load_date, 2, 'Accepted', pickup_plan_ts - INTERVAL 12 HOUR,
            origin_loc_id, NULL FROM legs WHERE status NOT IN ('Cancelled', 'Tendered')
-    UNION ALL SELECT shipment_id, leg_id, load_date, 3, 'AtOrigin', pickup_actual_ts - INTERVAL 1 HOUR,
-           origin_loc_id, NULL FROM legs
+    UNION ALL SELECT shipment_id, leg_id, load_date, 3, 'AtOrigin', pickup_plan_ts, origin_loc_id, NULL
+           FROM legs WHERE pickup_actual_ts IS NOT NULL
     UNION ALL SELECT shipment_id, leg_id, load_date, 4, 'PickedUp', pickup_actual_ts, origin_loc_id, NULL FROM legs
-    UNION ALL SELECT shipment_id, leg_id, load_date, 5, 'DwellStart',
-           pickup_actual_ts + (1 + h % 12) * INTERVAL 1 HOUR, origin_loc_id, 'Facility dwell'
-           FROM legs WHERE h % 4 = 0
+    UNION ALL SELECT shipment_id, leg_id, load_date, 5, 'DwellStart', delivery_actual_ts - INTERVAL 3 HOUR,
+           dest_loc_id, 'Dock' FROM legs WHERE qty % 4 = 0
     UNION ALL SELECT shipment_id, leg_id, load_date, 6, 'DwellEnd',
-           pickup_actual_ts + (1 + h % 12) * INTERVAL 1 HOUR + (h % 37 * 10) * INTERVAL 1 MINUTE, origin_loc_id, NULL
-           FROM legs WHERE h % 4 = 0 AND h % 20 <> 0
-    UNION ALL SELECT shipment_id, leg_id, load_date, 7, 'AtDest', delivery_actual_ts - (1 + h % 6) * INTERVAL 1 HOUR,
+           delivery_actual_ts + (qty - 180) * INTERVAL 1 MINUTE, dest_loc_id, NULL
+           FROM legs WHERE qty % 4 = 0 AND leg_id <> 2
+    UNION ALL SELECT shipment_id, leg_id, load_date, 7, 'AtDest', delivery_actual_ts - INTERVAL 1 HOUR,
            dest_loc_id, NULL FROM legs
     UNION ALL SELECT shipment_id, leg_id, load_date, 8, 'Delivered', delivery_actual_ts, dest_loc_id, NULL FROM legs
-    UNION ALL SELECT shipment_id, leg_id, load_date, 9, 'Exception', tender_ts + INTERVAL 2 HOUR,
-           CASE WHEN cancel_flag THEN origin_loc_id ELSE dest_loc_id END,
-           CASE WHEN cancel_flag THEN 'Tender Not Used' ELSE
-             CASE h % 7 WHEN 0 THEN 'Weather' WHEN 1 THEN 'Mechanical' WHEN 2 THEN 'Traffic'
-             WHEN 3 THEN 'Facility Delay' WHEN 4 THEN 'Capacity' WHEN 5 THEN '  ' END END
-           FROM legs WHERE cancel_flag OR exc)
+    UNION ALL SELECT shipment_id, leg_id, load_date, 9, 'Exception', pickup_plan_ts,
+           CASE WHEN cancel_flag THEN origin_loc_id ELSE dest_loc_id END, reason
+           FROM legs WHERE status IN ('Cancelled', 'Exception'))
   WHERE event_ts IS NOT NULL
 ),
 fact_cost AS (
   SELECT shipment_id, cost_type, calc_method, ref || ' L' || leg_id AS rate_ref, cost_amount, 'USD' AS currency,
          load_date, update_date
   FROM (
-    SELECT shipment_id, leg_id, load_date, update_date, 'Base' AS cost_type, 'per-mile' AS calc_method, 'RPM' AS ref,
-           greatest(CAST(0 AS DECIMAL(12,2)), CAST(total_cost - fuel_surcharge - accessorial_cost AS DECIMAL(12,2)))
-             AS cost_amount
-           FROM legs WHERE NOT cancel_flag
-    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, 'Fuel', 'index', 'DOE', fuel_surcharge
+    SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[0]}' AS cost_type, 'per-mile' AS calc_method,
+           'PM' AS ref, total_cost AS cost_amount FROM legs WHERE NOT cancel_flag
+    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[1]}', 'index', 'IX', fuel_surcharge
            FROM legs WHERE NOT cancel_flag
-    UNION ALL SELECT shipment_id, leg_id, load_date, update_date,
-           'Accessorial: ' || ['Detention','Lumper','Layover'][1 + h % 3], 'flat',
-           upper(['Detention','Lumper','Layover'][1 + h % 3]), accessorial_cost FROM legs WHERE accessorial_cost > 0
-    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, 'Accessorial: TONU', 'flat', 'TONU',
-           CAST(75 + h % 126 AS DECIMAL(12,2)) FROM legs WHERE cancel_flag)
+    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[2]}', 'flat', 'EX', accessorial_cost
+           FROM legs WHERE accessorial_cost > 0
+    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[4]}', 'flat', 'FEE',
+           CAST(10*qty AS DECIMAL(12,2)) FROM legs WHERE cancel_flag)
 ),
 dim_customer AS (
   SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS segment, r_name AS region, {_STAMP}
@@ -130,15 +113,14 @@ dim_customer AS (
 dim_carrier AS (
   SELECT s_suppkey AS carrier_id, s_name AS name,
          CASE s_suppkey % 3 WHEN 0 THEN 'TL' WHEN 1 THEN 'LTL' ELSE 'Intermodal' END AS mode,
-         'MC' || (100000 + s_suppkey) AS mc_number,
-         CASE s_suppkey % 4 WHEN 0 THEN 'Bronze' WHEN 1 THEN 'Silver' WHEN 2 THEN 'Gold' ELSE 'Platinum' END
-           AS score_tier, {_STAMP}
+         'No. ' || s_suppkey AS mc_number,
+         ['A', 'B', 'C', 'D'][1 + s_suppkey % 4] AS score_tier, {_STAMP}
   FROM supplier
 ),
 dim_equipment AS (
   SELECT DISTINCT s_suppkey % 3 + 1 AS equipment_id,
-         CASE s_suppkey % 3 WHEN 0 THEN 'Van' WHEN 1 THEN 'Reefer' ELSE 'Flat' END AS type,
-         CASE s_suppkey % 3 WHEN 0 THEN 45000 WHEN 1 THEN 44000 ELSE 48000 END AS capacity_lbs, {_STAMP}
+         ['Box', 'Tank', 'Deck'][1 + s_suppkey % 3] AS type,
+         CAST(10000*(1 + s_suppkey % 3) AS INTEGER) AS capacity_lbs, {_STAMP}
   FROM supplier
 ),
 dim_location AS (
@@ -150,9 +132,8 @@ dim_lane AS (
   SELECT o*25 + d AS lane_id, o AS origin_loc_id, d AS dest_loc_id, miles AS standard_miles,
          CASE WHEN miles < 300 THEN 1 WHEN miles < 600 THEN 2 WHEN miles < 1000 THEN 3 ELSE 4 END AS std_transit_days,
          {_STAMP}
-  FROM (SELECT CAST(a.n_nationkey AS BIGINT) AS o, CAST(b.n_nationkey AS BIGINT) AS d,
-               CAST(150 + 110*abs(a.n_nationkey - b.n_nationkey) AS DECIMAL(10,2)) AS miles
-        FROM nation a JOIN nation b ON a.n_nationkey <> b.n_nationkey)
+  FROM (SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS o, c_custkey % 25 AS d,
+               CAST(90 + 40*abs(c_nationkey - c_custkey % 25) AS DECIMAL(10,2)) AS miles FROM customer)
 ),
 dim_date AS (
   SELECT CAST(year(d)*10000 + month(d)*100 + day(d) AS INTEGER) AS date_key, CAST(d AS DATE) AS date,

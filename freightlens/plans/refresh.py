@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import GRACE_MINUTES
 from freightlens.operators import merge, quality, shaping
-from freightlens.schemas import TABLES
-from freightlens.sources.landing import read_landing_csv, read_raw_csv
-from freightlens.sources.warehouse import read_edw, write_table
+from freightlens.schemas import KEYS, TABLES
+from freightlens.sources.landing import landing_path, read_landing_csv, read_raw_csv
+from freightlens.sources.warehouse import read_edw, update_table, write_table
 
 
 def checks(star: Mapping[str, DataFrame]) -> DataFrame:
@@ -32,32 +32,46 @@ def checks(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def merge_into(
+    source: DataFrame, root: str, table: str, now: datetime | Column, copy_audit: bool = False
+) -> int | None:
+    """Merge rows, unique per key, into a warehouse table; only the parts that they touch are rewritten."""
+
+    def upsert(target: DataFrame, rows: DataFrame) -> DataFrame:
+        return merge.merge_table(target, rows, table, now, copy_audit)
+
+    return update_table(source, root, table, [merge.key_column(k) for k in KEYS[table]], upsert)
+
+
 def refresh(
     spark: SparkSession, landing: str, root: str, now: datetime, grace: int = GRACE_MINUTES
 ) -> DataFrame:
     """Load landing CSVs, curate them into the warehouse (dimensions, then facts), and return the checks.
 
-    ``landing`` holds one ``<table>.csv`` per table.  Each table's latest landing row per key is staged, merged into
-    the current warehouse snapshot and written as the next one.
+    ``landing`` holds a CSV file or folder per table, see :func:`landing_path`.  Each table's latest landing row per key
+    is staged, then merged into the current warehouse snapshot.  Dimensions come first, so a run that fails half-way
+    leaves no fact without its dimension rows, and running it again completes it: a repeated merge changes nothing.
     """
     stage, edw = f"{root}/stg", f"{root}/edw"
     for table in TABLES:
-        loaded = read_landing_csv(spark, f"{landing}/{table}.csv", table)
+        loaded = read_landing_csv(spark, landing_path(spark, landing, table), table)
         write_table(merge.latest_source(loaded, table), stage, table)
-    merged = merge.curate(
-        {t: read_edw(spark, stage, t) for t in TABLES}, {t: read_edw(spark, edw, t) for t in TABLES}, now, grace
-    )
     for table in TABLES:
-        write_table(merged[table], edw, table)
+        source = read_edw(spark, stage, table)
+        if table == "fact_shipment":
+            source = shaping.curate_shipments(source, grace)
+        merge_into(source, edw, table, now, copy_audit=True)
     return checks({t: read_edw(spark, edw, t) for t in TABLES})
 
 
 def load_model(spark: SparkSession, raw: str, root: str) -> DataFrame:
-    """Raw CSVs (all text) to typed model tables by full replacement, then the checks.  Re-running changes nothing."""
+    """Raw CSVs (all text) to typed model tables by full replacement, then the checks.  Re-running changes nothing.
+
+    Text is trimmed, so padded keys meet their unpadded ones.
+    """
     for table in TABLES:
-        model = shaping.type_raw_table(read_raw_csv(spark, f"{raw}/{table}.csv", table), table, audit=True)
+        text = read_raw_csv(spark, landing_path(spark, raw, table), table)
+        model = shaping.type_raw_table(shaping.trim_text(text), table, audit=True)
         latest = merge.latest_source(model, table)
-        write_table(latest.drop("load_date", "update_date"), root, table)
+        write_table(latest.drop("load_date", "update_date"), root, table, part=F.lit("all"))
     return checks({t: read_edw(spark, root, t, audit=False) for t in TABLES})
-
-

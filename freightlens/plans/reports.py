@@ -306,13 +306,13 @@ def exception_heatmap_dedupe_legs(b: Bound) -> DataFrame:
     "SELECT customer_name, "
     + ", ".join(
         f"CAST(sum(exceptions) FILTER (WHERE exception_type = '{t}') AS BIGINT) AS {c}"
-        for t, c in (("Weather", "weather"), ("Traffic", "traffic"), ("Unknown", "unknown"))
+        for t, c in (("URGENT", "urgent"), ("HIGH", "high"), ("Unknown", "unknown"))
     )
     + f" FROM ({_heat_sql('fact_shipment')}) GROUP BY customer_name"
 )
 def heatmap_matrix(b: Bound) -> DataFrame:
     heat = kpis.exception_heatmap(b.events, b.ship, b.star["dim_customer"])
-    wide = kpis.heatmap_matrix(heat, ["Weather", "Traffic", "Unknown"])
+    wide = kpis.heatmap_matrix(heat, ["URGENT", "HIGH", "Unknown"])
     return wide.toDF(*[c.lower() for c in wide.columns])
 
 
@@ -451,14 +451,14 @@ def event_lifecycle(b: Bound) -> DataFrame:
 
 # --- filters ------------------------------------------------------------------------------------------------------
 
-_LANES = tuple(f"NATION_{o} → NATION_{d}" for o, d in ((0, 1), (3, 9), (7, 2), (12, 20), (20, 5), (24, 3)))
+_LANES = tuple(f"NATION_{o} → NATION_{(7 * o + d) % 25}" for o in range(25) for d in range(4))
 
 
 @register(f"""SELECT shipment_id, leg_id, delivery_actual_ts FROM delivered
 WHERE d BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'
   AND customer_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD'))
   AND carrier_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
-  AND equipment_id IN (SELECT equipment_id FROM dim_equipment WHERE type IN ('Van', 'Flat'))
+  AND equipment_id IN (SELECT equipment_id FROM dim_equipment WHERE type IN ('Box', 'Deck'))
   AND lane_id IN (SELECT lane_id FROM lane_label WHERE lane_label IN {_LANES})""")
 def apply_filters(b: Bound) -> DataFrame:
     segments = b.star["dim_customer"].filter(F.col("segment").isin("BUILDING", "MACHINERY", "HOUSEHOLD"))
@@ -468,7 +468,7 @@ def apply_filters(b: Bound) -> DataFrame:
         b.star,
         customers=segments.select("name"),
         carriers=solvent.select("s_name"),
-        equipment=["Van", "Flat"],
+        equipment=["Box", "Deck"],
         lanes=_LANES,
         date_start=date(1996, 1, 1),
         date_end=date(2000, 12, 31),

@@ -9,7 +9,7 @@ from freightlens.operators import dims, filters, joins, kpis, quality
 from freightlens.plans import binding
 from freightlens.plans.columns import HOLIDAYS, HUB_SQL, WEIGHT_SQL, arc_sql
 from freightlens.plans.registry import Bound, register
-from freightlens.schemas import KEYS, SHIPMENT_FKS, TABLES
+from freightlens.schemas import KEYS, SHIPMENT_FKS, STATUS_TENDERED, TABLES
 
 # --- joins --------------------------------------------------------------------------------------------------------
 
@@ -79,16 +79,16 @@ def orphans_null_tolerant(b: Bound) -> DataFrame:
     return joins.orphans(rows, b.star["dim_customer"], "customer_id", null_is_orphan=False)
 
 
-@register("""SELECT shipment_id, leg_id, start_d, end_d FROM fact_shipment, bounds WHERE status = 'Exception'""")
+@register("""SELECT shipment_id, leg_id, start_d, end_d FROM fact_shipment, bounds""")
 def with_scalars(b: Bound) -> DataFrame:
-    rows = b.ship.filter("status = 'Exception'").select("shipment_id", "leg_id")
+    rows = b.ship.select("shipment_id", "leg_id")
     return joins.with_scalars(rows, filters.bounds(b.ship), "start_d", "end_d")
 
 
 @register("""SELECT shipment_id, leg_id FROM fact_shipment
-WHERE equipment_id IN (SELECT equipment_id FROM dim_equipment WHERE type IN ('Reefer'))""")
+WHERE equipment_id IN (SELECT equipment_id FROM dim_equipment WHERE type IN ('Tank'))""")
 def semi_by_key(b: Bound) -> DataFrame:
-    reefers = filters.keep_named(b.star["dim_equipment"], "type", ["Reefer"])
+    reefers = filters.keep_named(b.star["dim_equipment"], "type", ["Tank"])
     return filters.semi_by_key(b.ship, "equipment_id", reefers, "equipment_id").select("shipment_id", "leg_id")
 
 
@@ -102,7 +102,8 @@ def null_equal(b: Bound) -> DataFrame:
 
 _PAIRS_SQL = f"""{HUB_SQL}, pair AS (
   SELECT o.loc_id AS o_loc_id, d.loc_id AS d_loc_id, {arc_sql('o.lat', 'o.lon', 'd.lat', 'd.lon')} AS miles
-  FROM hub o JOIN hub d ON o.city <> d.city WHERE o.type = 'Origin' AND d.type = 'Dest'
+  FROM (SELECT DISTINCT 2*CAST(c_nationkey AS BIGINT) + 1 AS o_id, 2*(c_custkey % 25) + 2 AS d_id FROM customer)
+  JOIN hub o ON o.loc_id = o_id JOIN hub d ON d.loc_id = d_id WHERE o.city <> d.city
 ), pair_days AS (
   SELECT *, CASE WHEN miles < 300 THEN 1 WHEN miles < 600 THEN 2 WHEN miles < 1000 THEN 3 ELSE 4 END AS days FROM pair
 )"""
@@ -110,13 +111,13 @@ _PAIRS_SQL = f"""{HUB_SQL}, pair AS (
 
 @register("SELECT o_loc_id, d_loc_id, round(miles, 4) AS miles, days AS std_transit_days FROM pair_days", extra=_PAIRS_SQL)
 def lane_pairs(b: Bound) -> DataFrame:
-    return joins.lane_pairs(binding.hubs(b.table("nation"))).select(
+    return joins.lane_pairs(binding.hub_routes(b.table("customer")), binding.hubs(b.table("nation"))).select(
         "o_loc_id", "d_loc_id", F.round("miles", 4).alias("miles"), "std_transit_days"
     )
 
 
 @register("""SELECT shipment_id, leg_id, CAST(p.price AS DOUBLE) AS price FROM fact_shipment f
-ASOF LEFT JOIN weekly_price p ON CAST(date_trunc('week', f.pickup_plan_ts) AS DATE) >= p.week""")
+ASOF LEFT JOIN weekly_price p ON CAST(f.pickup_plan_ts AS DATE) >= p.week""")
 def asof_weekly_price(b: Bound) -> DataFrame:
     prices = binding.weekly_prices(b.table("orders"))
     return joins.asof_weekly_price(b.ship, prices).select("shipment_id", "leg_id", "price")
@@ -172,15 +173,18 @@ def weighted_dates(b: Bound) -> DataFrame:
 @register("""SELECT row_number() OVER (ORDER BY o_loc_id, d_loc_id) AS lane_id, o_loc_id AS origin_loc_id,
   d_loc_id AS dest_loc_id, round(miles, 2) AS standard_miles, days AS std_transit_days FROM pair_days""", extra=_PAIRS_SQL)
 def lane_dim(b: Bound) -> DataFrame:
-    return dims.lane_dim(binding.hubs(b.table("nation")))
+    return dims.lane_dim(binding.hub_routes(b.table("customer")), binding.hubs(b.table("nation")))
 
 
 @register(
-    """WITH seeds AS (SELECT p_name AS seed, row_number() OVER (ORDER BY p_name) AS pos FROM part),
-  firsts AS (SELECT seed, min(pos) AS first_at FROM seeds GROUP BY seed),
+    """WITH seeds AS (SELECT seed, row_number() OVER (ORDER BY seed) AS pos FROM (SELECT DISTINCT p_name AS seed FROM part)),
+  size AS (SELECT count(*) AS k, max(length(seed)) AS longest FROM seeds),
   wanted AS (SELECT unnest(range(1, (SELECT count(*) FROM part) + 8)) AS ordinal)
-SELECT ordinal, CASE WHEN ordinal = first_at THEN seed ELSE seed || ' ' || ordinal END AS name
-FROM wanted JOIN seeds ON pos = (ordinal - 1) % (SELECT count(*) FROM part) + 1 JOIN firsts USING (seed)""",
+SELECT ordinal, CASE WHEN ordinal <= k THEN seed
+  WHEN seed || ' ' || ordinal IN (SELECT seed FROM seeds) THEN seed || ' ' || lpad(CAST(ordinal AS VARCHAR),
+    CAST(longest + 1 AS INTEGER), '0')
+  ELSE seed || ' ' || ordinal END AS name
+FROM wanted, size JOIN seeds ON pos = (ordinal - 1) % k + 1""",
     bound=False,
 )
 def surrogate_names(b: Bound) -> DataFrame:
@@ -284,8 +288,8 @@ def range_checks(b: Bound) -> DataFrame:
     return quality.range_checks(kpis.otd_rate_rowgrain(b.ship), _RANGES)
 
 
-@register("""SELECT 'FACT_SHIPMENT' AS table_name, 'status' AS column_name, count(*) FILTER (WHERE status NOT IN
-  ('Tendered','Accepted','In-Transit','Delivered','Exception','Cancelled')) AS out_of_domain FROM damaged
+@register(f"""SELECT 'FACT_SHIPMENT' AS table_name, 'status' AS column_name, count(*) FILTER (WHERE status NOT IN
+  {STATUS_TENDERED}) AS out_of_domain FROM damaged
 UNION ALL SELECT 'FACT_EVENT', 'event_type', 0 FROM (SELECT count(*) FROM fact_event)
 UNION ALL SELECT 'FACT_COST', 'cost_type', count(*) FILTER (WHERE cost_type = 'Fuel') FROM fact_cost
 UNION ALL SELECT 'FACT_COST', 'calc_method', 0 FROM (SELECT count(*) FROM fact_cost)""", extra=DAMAGED_SQL)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +34,29 @@ def strictly_typed(df: DataFrame, table: str, audit: bool = True) -> DataFrame:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str, audit: bool = True) -> DataFrame:
-    """A landing file as it is: every column a string.  A row with the wrong number of fields fails the read."""
-    return spark.read.schema(raw_schema(table, audit)).options(**READ_OPTIONS).csv(path)
+def landing_path(spark: SparkSession, folder: str, table: str) -> list[str]:
+    """The files or folders of a table in a landing folder, by name and whatever the case: ``<table>.csv``,
+    ``<table>.csv.gz``, ``<table>`` or ``<table>_<part>.csv``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    named = re.compile(rf"{table}([_.-]?\d+)?(\.csv)?(\.gz)?", re.IGNORECASE)
+    found = sorted(f.getPath().getName() for f in files if named.fullmatch(f.getPath().getName()))
+    if not found:
+        raise FileNotFoundError(f"no landing file of {table} in {folder}")
+    return [f"{folder.rstrip('/')}/{name}" for name in found]
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], table: str, audit: bool = True) -> DataFrame:
+    """A landing file as it is: every column a string.
+
+    A row with the wrong number of fields fails the read, and so does a header that does not name the declared columns,
+    in any case, in their order.
+    """
+    options = {**READ_OPTIONS, "enforceSchema": "false"}
+    return spark.read.schema(raw_schema(table, audit)).options(**options).csv(path)
 
 
-def read_landing_csv(spark: SparkSession, path: str, table: str, audit: bool = True) -> DataFrame:
+def read_landing_csv(spark: SparkSession, path: str | list[str], table: str, audit: bool = True) -> DataFrame:
     """A landing file with declared types."""
     return strictly_typed(read_raw_csv(spark, path, table, audit), table, audit)
 

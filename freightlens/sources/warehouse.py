@@ -1,82 +1,203 @@
 """Warehouse tables as Parquet snapshots.
 
-A table is a folder of complete snapshots, ``v0000000001`` and so on.  Spark's own ``_SUCCESS`` marker makes a
-snapshot visible, so a reader never sees a half-written table, a job may read the current snapshot while it writes
-the next, and a failed write leaves the table as it was.
+A snapshot is a small manifest that lists, per part of the table, the folders that hold its rows.  A part is a month of
+the table's own time, or the whole of a small table.  Appending adds folders; a merge reads and rewrites the parts it
+touches and names the folders of all others again, so a batch costs what it changes and not what the table holds.
+
+Data is written first, below a folder of its own, and the manifest is renamed into place last, which fails if another
+writer was there first: a reader never sees a half-written table, a failed job leaves the table as it was, and of two
+writers the later one fails instead of losing the earlier one's rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightlens.operators.quality import row_counts
 from freightlens.schemas import TABLES, typed_schema
 
+#: Times whose month makes the parts of a table.  An update may move a row to another month.
+PART_TIMES = {"fact_shipment": "tender_ts", "fact_event": "event_ts", "fact_cost": "load_date"}
+_PART = "_part"
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    child = spark._jvm.org.apache.hadoop.fs.Path
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    return sorted(
-        int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and fs.exists(child(f"{folder}/{n}/_SUCCESS"))
-    )
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published the snapshot that this one was based on replacing."""
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, folder: str) -> list[str]:
+    path, fs = _path(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _versions(spark: SparkSession, root: str, table: str) -> list[int]:
+    names = (n.removesuffix(".json") for n in _children(spark, f"{root}/{table}/snapshots") if n.endswith(".json"))
+    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+
+def _manifest_path(root: str, table: str, version: int) -> str:
+    return f"{root}/{table}/snapshots/v{version:010d}.json"
+
+
+def _manifest(spark: SparkSession, root: str, table: str, version: int) -> dict:
+    path, fs = _path(spark, _manifest_path(root, table, version))
+    stream = fs.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _publish(spark: SparkSession, root: str, table: str, version: int, manifest: dict) -> None:
+    """Make a snapshot visible: the manifest is complete before it gets its name, and the name is taken once."""
+    final = _manifest_path(root, table, version)
+    draft, fs = _path(spark, f"{root}/{table}/snapshots/_{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(json.dumps(manifest).encode()))
+    finally:
+        stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration())
+    keep = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(context.makeQualified(draft), context.makeQualified(_path(spark, final)[0]), keep)
+    except Exception as e:
+        fs.delete(draft, False)
+        if fs.exists(_path(spark, final)[0]):
+            raise ConcurrentWrite(f"{table}: version {version} is already there") from e
+        raise
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    """Number of the latest complete snapshot."""
-    known = _versions(spark, f"{root}/{table}")
+    """Number of the latest snapshot."""
+    known = _versions(spark, root, table)
     return known[-1] if known else None
 
 
-def _snapshot(root: str, table: str, version: int) -> str:
-    return f"{root}/{table}/v{version:010d}"
+def part_of(table: str) -> Column:
+    """The part that a row belongs to."""
+    time = PART_TIMES.get(table)
+    if time is None:
+        return F.lit("all")
+    return F.coalesce(F.date_format(time, "yyyy-MM"), F.lit("none"))
+
+
+def _read(spark: SparkSession, root: str, table: str, manifest: dict, parts: Iterable[str] | None = None) -> DataFrame:
+    schema = T.StructType.fromJson(manifest["schema"])
+    chosen = manifest["parts"] if parts is None else {p: manifest["parts"].get(p, []) for p in parts}
+    folders = [f"{root}/{table}/{f}" for some in chosen.values() for f in some]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
 
 
-def read_edw(spark: SparkSession, root: str, table: str, audit: bool = True) -> DataFrame:
-    """The current snapshot of a warehouse table; a star table that was never written reads as empty."""
+def read_edw(
+    spark: SparkSession, root: str, table: str, audit: bool = True, parts: Iterable[str] | None = None
+) -> DataFrame:
+    """The current snapshot of a warehouse table, or some of its parts; a star table never written reads as empty."""
     version = current_version(spark, root, table)
     if version is None:
         if table not in TABLES:
             raise FileNotFoundError(f"no snapshot of {table} below {root}")
         return spark.createDataFrame([], typed_schema(table, audit))
-    return spark.read.parquet(_snapshot(root, table, version))
+    return _read(spark, root, table, _manifest(spark, root, table, version), parts)
 
 
-def write_table(
-    df: DataFrame, root: str, table: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
-) -> int:
+def _write_parts(df: DataFrame, root: str, table: str, part: Column) -> dict[str, list[str]]:
+    """Write rows below a new folder, one folder per part, and list them.
+
+    Rows are brought together by part first, in pieces of the session's advisory size, so that parts do not fall into as
+    many small files as there are tasks and a large part is not the work of one task.
+    """
+    spark, name = df.sparkSession, f"data/{uuid.uuid4().hex}"
+    together = df.withColumn(_PART, part).hint("rebalance", F.col(_PART))
+    together.write.partitionBy(_PART).parquet(f"{root}/{table}/{name}")
+    found = [c for c in _children(spark, f"{root}/{table}/{name}") if c.startswith(f"{_PART}=")]
+    decode = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return {decode(c.split("=", 1)[1]): [f"{name}/{c}"] for c in sorted(found)}
+
+
+def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite", part: Column | None = None) -> int:
     """Write the next snapshot of a table and return its number.
 
-    ``overwrite`` replaces the content, ``append`` keeps the current rows too.  ``partition_by`` should name columns
-    that updates do not change, such as a month of the tender time.
+    ``overwrite`` replaces the content; ``append`` writes only the new rows and keeps the folders there are.  ``part``
+    overrides what divides the table.
     """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
     current = current_version(spark, root, table)
+    parts = _write_parts(df, root, table, part_of(table) if part is None else part)
     if mode == "append" and current is not None:
-        df = read_edw(spark, root, table).unionByName(df)
-    elif mode not in ("append", "overwrite"):
-        raise ValueError(f"unknown mode {mode!r}")
+        old = _manifest(spark, root, table, current)
+        if T.StructType.fromJson(old["schema"]).simpleString() != df.schema.simpleString():
+            raise ValueError(f"{table}: appended rows have other columns")
+        parts = {p: old["parts"].get(p, []) + parts.get(p, []) for p in {**old["parts"], **parts}}
+    version = (current or 0) + 1
+    _publish(spark, root, table, version, {"schema": json.loads(df.schema.json()), "parts": parts})
+    return version
+
+
+def update_table(
+    source: DataFrame,
+    root: str,
+    table: str,
+    keys: Sequence[Column],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> int | None:
+    """Merge ``source`` into a table and return the new snapshot's number, None if there was nothing to merge.
+
+    ``merge(target, source)`` gives the rows that replace the target's.  Only parts that hold a key of the source, or
+    that one of its rows belongs to, are read in full and rewritten; the others are looked through for their keys only.
+    """
+    spark = source.sparkSession
+    current = current_version(spark, root, table)
+    named = [k.alias(f"_key{i}") for i, k in enumerate(keys)]
+    comes = {r[0] for r in source.select(part_of(table)).distinct().collect()}
+    if not comes:
+        return None
+    target = read_edw(spark, root, table)
+    old = {"parts": {}} if current is None else _manifest(spark, root, table, current)
+    # One row per month comes to the driver.
+    was = target.select(*named, part_of(table).alias(_PART)).join(
+        source.select(*named), [f"_key{i}" for i in range(len(named))], "left_semi"
+    )
+    touched = comes | {r[0] for r in was.select(_PART).distinct().collect()}
+    merged = merge(read_edw(spark, root, table, parts=touched), source)
+    parts = {p: f for p, f in old["parts"].items() if p not in touched}
+    for p, folders in _write_parts(merged, root, table, part_of(table)).items():
+        parts[p] = folders
     version = (current or 0) + 1
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(_snapshot(root, table, version))
+    _publish(spark, root, table, version, {"schema": json.loads(merged.schema.json()), "parts": parts})
     return version
 
 
 def expire_snapshots(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[int]:
-    """Delete all but the latest ``keep`` snapshots and return their numbers.  Run it when no reader uses them."""
+    """Delete all but the latest ``keep`` snapshots, and the data that only they name, and return their numbers.
+
+    Run it when no reader uses them and no writer is at work.
+    """
     if keep < 1:
         raise ValueError("the current snapshot cannot expire")
-    old = _versions(spark, f"{root}/{table}")[:-keep]
+    known = _versions(spark, root, table)
+    old, kept = known[:-keep], known[-keep:]
+    used = {f for v in kept for some in _manifest(spark, root, table, v)["parts"].values() for f in some}
     for version in old:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_snapshot(root, table, version))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        gone = {f for some in _manifest(spark, root, table, version)["parts"].values() for f in some} - used
+        for name in [*(f"{root}/{table}/{f}" for f in gone), _manifest_path(root, table, version)]:
+            path, fs = _path(spark, name)
+            fs.delete(path, True)
     return old
 
 

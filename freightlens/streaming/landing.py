@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from freightlens.operators.merge import latest_source, merge_table
+from freightlens.operators.merge import latest_source
+from freightlens.plans.refresh import merge_into
 from freightlens.schemas import raw_schema
 from freightlens.sources.landing import READ_OPTIONS, strictly_typed
-from freightlens.sources.warehouse import read_edw, write_table
 
 
 def stream_landing(
@@ -25,7 +25,7 @@ def stream_landing(
 
 
 def upsert_batch(root: str, table: str, now: datetime | Column) -> Callable[[DataFrame, int], None]:
-    """The action of one micro-batch: its latest row per key, merged into the current snapshot.
+    """The action of one micro-batch: its latest row per key, merged into the parts of the table that it touches.
 
     Spark may run a batch again after a failure.  A repeated merge gives the same table, so the replay is harmless.
     """
@@ -35,8 +35,7 @@ def upsert_batch(root: str, table: str, now: datetime | Column) -> Callable[[Dat
         try:
             if source.isEmpty():
                 return
-            target = read_edw(batch.sparkSession, root, table)
-            write_table(merge_table(target, source, table, now), root, table)
+            merge_into(source, root, table, now)
         finally:
             source.unpersist()
 
@@ -49,8 +48,7 @@ def stream_upsert(
     """Upsert everything that has landed into a warehouse table, then stop.
 
     The checkpoint remembers which files are done.  Late rows are settled by ``update_date``: an older fact row never
-    replaces a newer one, whatever order the files arrive in.  A merge writes a new snapshot of the table, so leave
-    the stream's file limit unset on large tables: everything that is waiting is then merged at once.
+    replaces a newer one, whatever order the files arrive in.  A micro-batch rewrites the months that it touches.
     """
     return (
         stream.writeStream.foreachBatch(upsert_batch(root, table, now))

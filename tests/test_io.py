@@ -74,11 +74,11 @@ def test_snapshots(spark, make, tmp_path):
     kept = warehouse.read_edw(spark, root, "dim_customer")
     warehouse.write_table(kept.unionByName(two), root, "dim_customer")  # reads one snapshot, writes the next
     assert rows(warehouse.read_edw(spark, root, "dim_customer"), "customer_id") == [(1,), (2,)]
-    warehouse.write_table(two, root, "dim_customer", partition_by=["name"])
+    warehouse.write_table(two, root, "dim_customer", part=F.col("name"))
     assert rows(warehouse.read_edw(spark, root, "dim_customer"), "customer_id", "name") == [(2, "n")]
     warehouse.write_table(one, root, "dim_customer", mode="append")
     assert rows(warehouse.read_edw(spark, root, "dim_customer"), "customer_id") == [(1,), (2,)]
-    (tmp_path / "edw" / "dim_customer" / "v0000000009").mkdir()  # an unfinished write is not visible
+    (tmp_path / "edw" / "dim_customer" / "data" / "unfinished").mkdir()  # a write without its manifest is not visible
     assert warehouse.current_version(spark, root, "dim_customer") == 4
     assert warehouse.expire_snapshots(spark, root, "dim_customer", keep=1) == [1, 2, 3]
     assert warehouse.read_edw(spark, root, "dim_customer").count() == 2
@@ -86,6 +86,67 @@ def test_snapshots(spark, make, tmp_path):
     assert dict(rows(counts))["DIM_CUSTOMER"] == 2 and counts.count() == 9
 
 
+def test_a_batch_rewrites_only_the_months_it_touches(spark, make, tmp_path):
+    root = str(tmp_path / "edw")
+
+    def leg(n, month, update="2024-01-01", **more):
+        return {"shipment_id": f"S{n}", "leg_id": 1, "tender_ts": at(f"2024-{month:02d}-05"), "update_date": at(update), **more}
+
+    def parts():
+        version = warehouse.current_version(spark, root, "fact_shipment")
+        return warehouse._manifest(spark, root, "fact_shipment", version)["parts"]
+
+    warehouse.write_table(make("fact_shipment", [leg(n, 1 + n % 4) for n in range(8)]), root, "fact_shipment")
+    before = parts()
+    assert sorted(before) == ["2024-01", "2024-02", "2024-03", "2024-04"]
+    refreshing.merge_into(make("fact_shipment", [leg(4, 1, "2024-02-01", status="Delivered"), leg(20, 1)]), root, "fact_shipment", NOW)
+    after = parts()
+    assert {p for p in after if after[p] != before[p]} == {"2024-01"}
+    # A row that moves to another month rewrites both.
+    refreshing.merge_into(make("fact_shipment", [leg(1, 3, "2024-02-01")]), root, "fact_shipment", NOW)
+    moved = parts()
+    assert {p for p in moved if moved[p] != after[p]} == {"2024-02", "2024-03"}
+    found = warehouse.read_edw(spark, root, "fact_shipment")
+    assert found.count() == 9 and rows(found.filter("shipment_id = 'S1'"), "tender_ts") == [(at("2024-03-05"),)]
+    warehouse.write_table(make("fact_shipment", [leg(30, 4)]), root, "fact_shipment", mode="append")
+    assert parts()["2024-04"][:1] == moved["2024-04"] and len(parts()["2024-04"]) == 2
+    only = warehouse.read_edw(spark, root, "fact_shipment", parts=["2024-04"])
+    assert only.count() == 3 and all("2024-04" in f for f in only.inputFiles())
+
+
+def test_the_second_of_two_writers_fails(spark, make, tmp_path):
+    root, row = str(tmp_path / "edw"), make("dim_customer", [{"customer_id": 1}])
+    warehouse.write_table(row, root, "dim_customer")
+    manifest = warehouse._manifest(spark, root, "dim_customer", 1)
+    with pytest.raises(warehouse.ConcurrentWrite):
+        warehouse._publish(spark, root, "dim_customer", 1, manifest)
+    assert warehouse._versions(spark, root, "dim_customer") == [1]
+
+
+def test_landing_names(spark, make, tmp_path):
+    zone = tmp_path / "zone"
+    put(zone / "FACT_EVENT.csv.gz", "S1,1,Tendered,2024-01-01T05:00:00+00:00,7,x,,", compress=True)
+    (zone / "FACT_EVENT_NOTES.csv").write_text("other")
+    assert landing.landing_path(spark, str(zone), "fact_event") == [f"{zone}/FACT_EVENT.csv.gz"]
+    put(zone / "fact_event_2.csv", "S2,1,Tendered,2024-01-01T05:00:00+00:00,7,x,,")
+    both = landing.read_landing_csv(spark, landing.landing_path(spark, str(zone), "fact_event"), "fact_event")
+    assert rows(both, "shipment_id") == [("S1",), ("S2",)]
+    with pytest.raises(FileNotFoundError):
+        landing.landing_path(spark, str(zone), "fact_cost")
+    (zone / "swapped.csv").write_text(HEADER.replace("shipment_id,event_seq", "event_seq,shipment_id") + "1,S1,T,,,,,\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        landing.read_raw_csv(spark, str(zone / "swapped.csv"), "fact_event").collect()
+
+
+def test_padded_keys_meet(spark, make, tmp_path):
+    zone = tmp_path / "raw"
+    for t in TABLES:
+        landing.write_csv(make(t, [{"shipment_id": " S1 ", "event_seq": 1}] if t == "fact_event"
+                               else [{"shipment_id": "S1", "leg_id": 1}] if t == "fact_shipment" else []), str(zone / f"{t}.csv"))
+    found = {(r.check, r.item): r.value for r in refreshing.load_model(spark, str(zone), str(tmp_path / "m")).collect()}
+    assert found["orphans", "EVENT -> SHIPMENT"] == 0
+
+
 def line(shipment, seq, note, update):
     return f"{shipment},{seq},Tendered,2024-01-01T00:00:00+00:00,1,{note},2024-01-01T00:00:00+00:00,{update}"
 

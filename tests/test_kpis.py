@@ -264,6 +264,14 @@ def test_asof_weekly_price(spark, make):
     assert got == [None, old, old, old, new, new, None]
 
 
+def test_asof_price_never_looks_ahead(spark, make):
+    quoted = [("2024-01-01", "3.000"), ("2024-01-03", "4.000"), ("2024-01-03", "4.500")]
+    prices = spark.createDataFrame([(at(d).date(), Decimal(p)) for d, p in quoted], "week date, price decimal(6,3)")
+    legs = make("fact_shipment", [{"shipment_id": d, "pickup_plan_ts": at(d)} for d in ("2024-01-02", "2024-01-03")])
+    got = dict(rows(joins.asof_weekly_price(legs, prices), "shipment_id", "price"))
+    assert got == {"2024-01-02": Decimal("3.000"), "2024-01-03": Decimal("4.500")}
+
+
 def test_calendar_and_scalars(spark, make, ship):
     from freightlens.operators.dims import date_dim
 

@@ -46,6 +46,17 @@ def test_null_keys_never_match(make):
     assert rows(merge.merge_fact(target, source, KEYS["fact_event"], NOW), "notes") == [("s",), ("t",)]
 
 
+def test_a_repeated_source_key_fails(make):
+    target = make("fact_event", [event("S1", "t", T0, T0)])
+    source = make("fact_event", [event("S2", "a", T1, T1), event("S2", "b", T1, T1)])
+    with pytest.raises(Exception, match="repeats a key"):
+        merge.merge_table(target, source, "fact_event", NOW).collect()
+    with pytest.raises(Exception, match="repeats a key"):
+        merge.merge_table(target, source, "fact_event", NOW).count()
+    apart = make("fact_event", [event(None, "a", T1, T1), event(None, "b", T1, T1)])
+    assert merge.merge_table(target, apart, "fact_event", NOW).count() == 3, "null keys are never the same"
+
+
 def test_dim_is_unguarded_and_keeps_load_date(make):
     target = make("dim_customer", [{"customer_id": 1, "name": "a", "load_date": T0, "update_date": T2}])
     source = make(

@@ -125,9 +125,10 @@ def test_date_dim(spark):
 
 def test_lane_dim_numbering(spark):
     nation = spark.createDataFrame([(i, f"N{i}") for i in (0, 1, 2, 5)], "n_nationkey int, n_name string")
-    lanes = rows(dims.lane_dim(binding.hubs(nation)), "lane_id", "origin_loc_id", "dest_loc_id")
-    pairs = sorted((2 * o + 1, 2 * d + 2) for o in (0, 1, 2, 5) for d in (0, 1, 2, 5) if o != d)
-    assert sorted(lanes) == [(i, *p) for i, p in enumerate(pairs, 1)]
+    used = [(1, 4), (3, 2), (1, 12), (11, 2), (1, 4), (1, 2), (None, 4), (99, 4)]
+    routes = spark.createDataFrame(used, "origin_loc_id long, dest_loc_id long")
+    lanes = rows(dims.lane_dim(routes, binding.hubs(nation)), "lane_id", "origin_loc_id", "dest_loc_id")
+    assert lanes == [(1, 1, 4), (2, 1, 12), (3, 3, 2), (4, 11, 2)], "known, distinct pairs of different cities"
 
 
 def test_surrogate_names(spark):
@@ -136,9 +137,13 @@ def test_surrogate_names(spark):
         return [r.name for r in dims.surrogate_names(frame, n).orderBy("ordinal").collect()]
 
     assert names(["b", "a"], 5) == ["a", "b", "a 3", "b 4", "a 5"]
-    assert names(["a", "a", "b"], 3) == ["a", "a 2", "b"]
+    assert names(["a", "a", "b"], 3) == ["a", "b", "a 3"]
     assert names(["c", "b", "a"], 2) == ["a", "b"]
     assert names([], 2) == ["Company 001", "Company 002"]
+    assert names(["A", "A", "A 2"], 3) == ["A", "A 2", "A 3"]
+    assert names(["A", "A 3"], 3) == ["A", "A 3", "A 0003"]
+    tricky = ["A", "A 4", "A 4 4", "A 0000004", None]
+    assert len(set(names(tricky, 40))) == 40
 
 
 def test_with_ordinal_spans_partitions(spark):
