@@ -38,9 +38,12 @@ def pk_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _stack([duplicates(n, df) for n, df in tables.items()]).orderBy("table_name")
 
 
-def _fk_values(ship: DataFrame) -> DataFrame:
-    """Distinct foreign-key values of all shipment keys with their row counts, from one pass over the fact."""
-    pairs = [F.struct(F.lit(c).alias("fk"), F.col(c).cast("bigint").alias("key")) for c, _, _ in SHIPMENT_FKS]
+Fks = tuple[tuple[str, str, str], ...]
+
+
+def _fk_values(ship: DataFrame, fks: Fks) -> DataFrame:
+    """Distinct values of the given shipment keys with their row counts, from one pass over the fact."""
+    pairs = [F.struct(F.lit(c).alias("fk"), F.col(c).cast("bigint").alias("key")) for c, _, _ in fks]
     return (
         ship.select(F.explode(F.array(*pairs)).alias("p"))
         .groupBy("p.fk", "p.key")
@@ -48,21 +51,21 @@ def _fk_values(ship: DataFrame) -> DataFrame:
     )
 
 
-def _unmatched_fks(ship: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def _unmatched_fks(ship: DataFrame, dims: Mapping[str, DataFrame], fks: Fks = SHIPMENT_FKS) -> DataFrame:
     known = _stack(
         [
             dims[table].select(F.lit(column).alias("fk"), F.col(key).cast("bigint").alias("key"))
-            for column, table, key in SHIPMENT_FKS
+            for column, table, key in fks
         ]
     )
     known = known.withColumn("_known", F.lit(True)).distinct()
-    values = _fk_values(ship).join(known, ["fk", "key"], "left")
+    values = _fk_values(ship, fks).join(known, ["fk", "key"], "left")
 
     def rows(column: str, problem: Column) -> Column:
         return F.coalesce(F.sum(F.when((F.col("fk") == column) & problem, F.col("_n"))), F.lit(0))
 
     dangling = F.col("_known").isNull() & F.col("key").isNotNull()
-    columns = [c for c, _, _ in SHIPMENT_FKS]
+    columns = [c for c, _, _ in fks]
     counts = values.agg(
         *[rows(c, dangling).alias(f"{c}_dangling") for c in columns],
         *[rows(c, F.col("key").isNull()).alias(f"{c}_null") for c in columns],
@@ -84,14 +87,13 @@ def fk_coverage(ship: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-_INVALID = ("origin_loc_id", "dest_loc_id", "lane_id")
+_INVALID = tuple(fk for fk in SHIPMENT_FKS if fk[0] in ("origin_loc_id", "dest_loc_id", "lane_id"))
 
 
 def invalid_fks(ship: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Shipment rows with a bad origin, destination or lane; null keys count as bad."""
     return (
-        _unmatched_fks(ship, dims)
-        .filter(F.col("fk").isin(*_INVALID))
+        _unmatched_fks(ship, dims, _INVALID)
         .select("fk", (F.col("dangling") + F.col("null_keys")).alias("invalid"))
     )
 
@@ -168,12 +170,15 @@ def range_checks(metrics: DataFrame, expected: Mapping[str, tuple[float, float]]
 
 
 def domain_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows whose value lies outside the column's declared domain; nulls do not count."""
-
-    def outside(table: str, column: str, domain: tuple[str, ...]) -> DataFrame:
-        bad = F.count_if(F.coalesce(~F.col(column).isin(*domain), F.lit(False)))
-        return tables[table].agg(bad.alias("out_of_domain")).select(
-            F.lit(table.upper()).alias("table_name"), F.lit(column).alias("column_name"), "out_of_domain"
+    """Rows whose value lies outside the column's declared domain; nulls do not count.  Each table is read once."""
+
+    def outside(table: str) -> DataFrame:
+        domains = [(column, values) for t, column, values in DOMAINS if t == table]
+        bad = {c: F.count_if(F.coalesce(~F.col(c).isin(*values), F.lit(False))) for c, values in domains}
+        found = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("out_of_domain")) for c in bad]
+        counts = tables[table].agg(*[n.alias(c) for c, n in bad.items()])
+        return counts.select(F.lit(table.upper()).alias("table_name"), F.explode(F.array(*found)).alias("r")).select(
+            "table_name", "r.*"
         )
 
-    return _stack([outside(*d) for d in DOMAINS if d[0] in tables])
+    return _stack([outside(t) for t in dict.fromkeys(d[0] for d in DOMAINS) if t in tables])
