@@ -9,7 +9,7 @@ that share nothing with it, so shards are made by content:
 3. The runs of every other anchor form a reference shard.  Its distinct passages build a suffix automaton with
    occurrence counts, each passage is streamed through it, and windows whose factor occurs twice are spans to remove.
 4. A shard with very many runs would be a large group in one task.  Its anchors are few, by their share of all runs, and
-   their windows are compared one by one as 128-bit hashes, which are combined before they are shuffled.
+   runs that are equal repeat as a whole, and the windows of one run of each kind are compared as 128-bit hashes.
 
 Spans of a document are merged and cut out.
 """
@@ -181,25 +181,44 @@ def _spans(starts: list[int], base: int, window: int) -> Iterator[tuple[int, int
         yield begin, end
 
 
-def _hot_spans(rows: DataFrame, hot: np.ndarray, window: int, seed: int) -> DataFrame:
-    """Spans (uid, a, z) of the repeated windows of hot anchors."""
+def _hot_spans(rows: DataFrame, hot_runs: DataFrame, hot: np.ndarray, window: int, seed: int) -> DataFrame:
+    """Spans (uid, a, z) of the repeated windows of hot anchors; ``hot_runs`` are their rows of :func:`runs`.
+
+    Runs with equal digests repeat as a whole.  Only one run of each digest is taken apart into windows.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(np.sort(hot.astype(np.int64).view(np.uint64)))
+    same = hot_runs.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("uid", "a", "b")).alias("one"))
+    same = materialize(same.select("anchor", "digest", "n", "one.*"), "hot-runs")
+    often = same.where("n > 1").select(F.col("anchor").alias("_anchor"), F.col("digest").alias("_digest"))
+    again = hot_runs.join(often, (F.col("anchor") == F.col("_anchor")) & (F.col("digest") == F.col("_digest")), "left_semi")
+    whole = again.select("uid", "a", (F.col("b") + window).alias("z"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per text that has windows of hot anchors: where they start, and their hashes."""
         for uids, texts in chunks(batches, ("uid", "text"), limit=CHUNK):
             words = Words(texts)
             starts = words.windows(window)
             starts = starts[np.isin(words.anchors(starts, window, seed), shared.value)]
             doc = np.searchsorted(words.begin, starts, side="right") - 1
+            own, first = np.unique(doc, return_index=True)
+            cuts = pa.array(np.append(first, len(starts)).astype(np.int32))
             keys = [_ranges(words.hashes, b)(starts, starts + window).view(np.int64) for b in _BASES[:2]]
             place = (starts - words.begin[doc]).astype(np.int32)
-            columns = [*keys, np.array(uids, np.int64)[doc], place]
-            yield pa.record_batch(list(map(pa.array, columns)), names=["w1", "w2", "uid", "a"])
-
-    found = materialize(rows.select("uid", "text").mapInArrow(find, "w1 long, w2 long, uid long, a int"), "hot-windows")
-    again = found.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
-    repeated = found.join(again, ["w1", "w2"], "left_semi")
-    return repeated.select("uid", "a", (F.col("a") + window).alias("z"))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (place, *keys)]
+            yield pa.record_batch([pa.array(np.array(uids, np.int64)[own]), *lists], names=["_uid", "s", "w1", "w2"])
+
+    hashes = rows.select("uid", "text").mapInArrow(find, "_uid long, s array<int>, w1 array<long>, w2 array<long>")
+    ones = same.groupBy("uid").agg(F.collect_list(F.struct("a", "b", "n")).alias("runs"))
+    # Rows that repeat a document have one uid; one of them will do.
+    apart = hashes.join(ones, F.col("_uid") == F.col("uid")).dropDuplicates(["uid"]).select(
+        "uid", F.explode("runs").alias("r"), F.arrays_zip("s", "w1", "w2").alias("ws")
+    )
+    inside = F.filter("ws", lambda w: (w["s"] >= F.col("r.a")) & (w["s"] <= F.col("r.b")))
+    windows = apart.select("uid", F.col("r.n").alias("n"), F.explode(inside).alias("w")).select("uid", "n", "w.*")
+    windows = materialize(windows, "hot-windows")
+    known = windows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1").select("w1", "w2")
+    single = windows.where("n = 1").join(known, ["w1", "w2"], "left_semi")
+    return whole.unionByName(single.select("uid", F.col("s").alias("a"), (F.col("s") + window).alias("z")))
 
 
 def repeated_spans(rows: DataFrame, window: int, seed: int, hot_runs: int) -> DataFrame:
@@ -216,7 +235,7 @@ def repeated_spans(rows: DataFrame, window: int, seed: int, hot_runs: int) -> Da
         F.col("anchor").alias("_anchor"),
         F.when(~mixed, 0).when(F.col("n") <= limit, 1).otherwise(2).alias("kind"),
     )
-    shared = materialize(found.join(kinds, F.col("anchor") == F.col("_anchor")).drop("_anchor", "digest", "seeds"), "shared")
+    shared = materialize(found.join(kinds, F.col("anchor") == F.col("_anchor")).drop("_anchor", "seeds"), "shared")
     # At most HOT_SHARE anchors have more than one in HOT_SHARE of all runs.
     hot = np.array([r[0] for r in shared.where("kind = 2").select("anchor").distinct().collect()], np.int64)
     whole = shared.where("kind = 0").select("uid", "a", (F.col("b") + window).alias("z"))
@@ -269,7 +288,9 @@ def repeated_spans(rows: DataFrame, window: int, seed: int, hot_runs: int) -> Da
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = passages.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, spans)
     both = whole.unionByName(shards)
-    return both.unionByName(_hot_spans(rows, hot, window, seed)) if len(hot) else both
+    if not len(hot):
+        return both
+    return both.unionByName(_hot_spans(rows, shared.where("kind = 2"), hot, window, seed))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, hot_runs: int = HOT_RUNS) -> DataFrame:
