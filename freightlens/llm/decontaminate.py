@@ -121,17 +121,21 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best, *span
 
 
-def _matches(block: Block, text: str, n: int, least: float) -> Iterator[tuple[int, float, int, int, str]]:
-    """(item, score, first word, last word, passage) of each item of the block found in ``text``, at its best place."""
-    ids = block.ids(text)
-    keys = block.keys(ids, n)
-    hits = np.flatnonzero(np.isin(keys, block.seeds)) if len(block.seeds) else ()
+def _matches(block: Block, texts: list[str], n: int, least: float) -> Iterator[tuple[int, int, float, int, int, str]]:
+    """(text, item, score, first word, last word, passage) of each item of the block found in a text, at its best place."""
+    parts = [block.ids(t) for t in texts]
+    # Texts are joined by a word that no item has.
+    begin = np.cumsum([0] + [len(p) + 1 for p in parts])
+    keys = block.keys(np.concatenate([x for p in parts for x in (p, [0])]).astype(np.int64), n)
+    places = np.flatnonzero(keys >= 0)
+    at = np.minimum(np.searchsorted(block.seeds, keys[places]), max(0, len(block.seeds) - 1))
+    places = places[block.seeds[at] == keys[places]] if len(block.seeds) else places[:0]
     spans = defaultdict(list)
-    for at in hits:
-        for item, place in block.places[int(keys[at])]:
-            spans[item].append(int(at) - place)
-    for item, begins in spans.items():
-        own = block.items[item]
+    for place, text in zip(places.tolist(), (np.searchsorted(begin, places, side="right") - 1).tolist()):
+        for item, own in block.places[int(keys[place])]:
+            spans[text, item].append(place - int(begin[text]) - own)
+    for (text, item), begins in spans.items():
+        own, ids = block.items[item], parts[text]
         slack = len(own) // 2 + n
         passages: list[list[int]] = []
         for b in sorted(begins):
@@ -146,7 +150,7 @@ def _matches(block: Block, text: str, n: int, least: float) -> Iterator[tuple[in
         )
         score = best / (MATCH * len(own))
         if score >= least:
-            yield item, score, first, last, " ".join(words(text)[first : last + 1])
+            yield text, item, score, first, last, " ".join(words(texts[text])[first : last + 1])
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list]:
@@ -211,7 +215,7 @@ def contaminated(
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for doc_ids, texts in chunks(batches, ("doc_id", "text")):
-                found = [(i, *m) for i, t in zip(doc_ids, texts) for m in _matches(shared.value, t, n, least)]
+                found = [(doc_ids[i], *m) for i, *m in _matches(shared.value, texts, n, least)]
                 columns = list(zip(*found)) or [()] * len(FOUND)
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=FOUND.names)
@@ -228,11 +232,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAS
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clear = [
-                    next(_matches(shared.value, t or "", N, least), None) is None
-                    for (texts,) in chunks([batch], ("text",))
-                    for t in texts
-                ]
+                clear: list[bool] = []
+                for (texts,) in chunks([batch], ("text",)):
+                    leaks = {m[0] for m in _matches(shared.value, [t or "" for t in texts], N, least)}
+                    clear += [i not in leaks for i in range(len(texts))]
                 yield batch.filter(pa.array(clear, pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)
