@@ -20,7 +20,7 @@ from freightlens.llm.tokens import chunks
 
 BUCKETS, ORDERS, SMOOTHING = 1 << 16, (1, 2, 3), 0.5
 MAX_LANGUAGES = 256
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -146,6 +146,14 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is known with a posterior of ``least`` or more."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = fit(rows.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
-    packed = docs.select(docs["text"].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    found = predict(packed, model)
-    return found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least)).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: list[bool] = []
+            for (texts,) in chunks([batch], ("text",), limit=CHUNK):
+                names, scores = shared.value.predict(texts)
+                known += [n != UNKNOWN and s >= least for n, s in zip(names, scores.tolist())]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

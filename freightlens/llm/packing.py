@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlens.llm.common import id_and_text
-from freightlens.llm.tokens import chunks, encoder
+from freightlens.llm.tokens import CACHE_WORDS, CHUNK, chunks, encoder
 
 WINDOW = 1024
 #: Documents of a shard.
@@ -67,15 +67,25 @@ class OpenWindows:
         return (room, *self.stacks[room].pop())
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int | None, window: int = WINDOW) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int | None,
+    window: int = WINDOW,
+    cache_words: int = CACHE_WORDS,
+    chunk: int = CHUNK,
+) -> DataFrame:
     """Encoded documents cut into full windows and a rest: doc_id, start, length, doc_tokens, ids.
 
+    ``cache_words`` and ``chunk`` (characters encoded at once) trade a worker's memory for time; the ids do not depend on
+    them.
+
     ``ids`` holds little-endian unsigned 32-bit integers.  A null text is an empty text, which gives ``end_id`` alone.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = encoder(tokenizer)
-        for doc_ids, texts in chunks(batches, ("doc_id", "text")):
+        use = encoder(tokenizer, cache_words)
+        for doc_ids, texts in chunks(batches, ("doc_id", "text"), limit=chunk):
             ids, ends = use.encode(texts)
             if end_id is not None:
                 ids = np.insert(ids, ends[1:], end_id)
@@ -136,11 +146,17 @@ def pack(rows: DataFrame, shards: int, window: int = WINDOW) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, end_id: int | None, window: int = WINDOW, shard_docs: int = SHARD_DOCS
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int | None,
+    window: int = WINDOW,
+    shard_docs: int = SHARD_DOCS,
+    cache_words: int = CACHE_WORDS,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Encode, cut and pack ``docs``: the columns of :func:`pieces` with sequence_id and offset."""
     shards = max(1, -(-docs.count() // shard_docs))
-    return pack(pieces(docs, tokenizer, end_id, window), shards, window)
+    return pack(pieces(docs, tokenizer, end_id, window, cache_words, chunk), shards, window)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

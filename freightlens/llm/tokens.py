@@ -12,6 +12,7 @@ Words are looked up in a cache, misses are encoded by the library in one call.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
@@ -20,22 +21,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words a worker keeps; the cache starts anew beyond it.
-CACHE_WORDS = 700_000
+#: Words a worker keeps, in two generations: half of it is filled while the half before is still looked up.
+CACHE_WORDS = 1_000_000
 _RUNS = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 #: Characters that one call encodes at most, but for a single longer text: bounds a worker's memory.
-CHUNK = 8_000_000
+CHUNK = 4_000_000
 
-_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
+_ENCODERS: dict[tuple[str, int], "Encoder"] = {}
 
 
-def encoder(path: str) -> "Encoder":
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> "Encoder":
     """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, cache_words) not in _ENCODERS:
+        _ENCODERS[path, cache_words] = Encoder(path, cache_words)
+    return _ENCODERS[path, cache_words]
 
 
 class Encoder:
@@ -46,7 +47,9 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
-        self.mode, self.cache_words, self.cache = _mode(rules), cache_words, {}
+        self.mode, self.cache_words = _mode(rules), cache_words
+        self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.mark = {"spaced": "\n", "dropped": "."}.get(self.mode, "")
         ids = self.library.encode(self.mark, add_special_tokens=False).ids if self.mark else []
         if len(ids) == 1:
@@ -67,13 +70,15 @@ class Encoder:
 
     def _known(self, words: list[str]) -> list[bytes]:
         """The ids of each word."""
-        if len(self.cache) > self.cache_words:
-            self.cache = {}
-        cache = self.cache
-        split = {w: self._stem(w) for w in words if w not in cache}
-        new = {part for parts in split.values() for part in parts if part not in cache}
-        if split:
-            self._learn(list(new))
+        if len(self.cache) > self.cache_words // 2:
+            self.cache, self.old = {}, self.cache
+        cache, old = self.cache, self.old
+        missing = [w for w in words if w not in cache]
+        cache.update((w, old[w]) for w in missing if w in old)
+        split = {w: self._stem(w) for w in missing if w not in cache}
+        parts = {part for stem in split.values() for part in stem if part not in cache}
+        cache.update((p, old[p]) for p in parts if p in old)
+        self._learn([p for p in parts if p not in cache])
         for w, (stem, tail) in split.items():
             cache[w] = cache[stem] + cache[tail]
         found = [cache[w] for w in words]
@@ -138,6 +143,15 @@ class Encoder:
         return ids, np.concatenate(([0], end[np.cumsum(count) - 1]))
 
 
+def release() -> None:
+    """Hand freed memory back to the machine: allocators keep what a large batch has needed, and a worker shares its
+    executor's memory with others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def chunks(batches, columns: tuple[str, ...], text: str = "text", limit: int = CHUNK):
     """Lists of the named columns of Arrow batches, in pieces of about ``limit`` characters of text."""
     for batch in batches:
@@ -147,10 +161,12 @@ def chunks(batches, columns: tuple[str, ...], text: str = "text", limit: int = C
         for i, t in enumerate(texts):
             if size and size + len(t or "") > limit:
                 yield [x[begin:i] for x in lists]
+                release()
                 begin, size = i, 0
             size += len(t or "")
         if begin < len(texts):
             yield [x[begin:] for x in lists]
+            release()
 
 
 def _mode(rules: dict) -> str:
