@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-1. The n-grams of the test items are counted over all documents.
-2. Of every stretch of an item the rarest n-grams become seeds.  Rare means rare next to the others of that stretch, so
-   an item that leaked a million times has seeds as well.
-3. Documents that share a seed with an item are cut to passages around the hits, and each passage is aligned with the
-   item by words.  The score is the best local alignment's over that of the item with itself.
+1. Every n-gram of a test item is a seed, however often the documents hold it, so a copy with edits in every stretch is
+   found as long as ``n`` of its words in a row are left.
+2. Documents that share a seed with an item are cut to passages around the hits, wide enough for any alignment that can
+   reach the score asked for.  A passage that holds too few of the item's words for that score, which is most of those
+   that share a commonplace n-gram only, is left out; no alignment in it could reach the score.
+3. Each other passage is aligned with the item by words.  The score is the best local alignment's over that of the item
+   with itself.
 
 Items are taken in blocks of about ``BLOCK_WORDS`` words, each broadcast and held against all documents; documents are
 never shuffled, so a leak in a third of all rows costs each task its share.
@@ -26,10 +28,12 @@ from pyspark.sql import types as T
 from freightlens.llm.common import id_and_text
 from freightlens.llm.tokens import chunks
 
-N, STRETCH, RARE, LEAST = 3, 6, 2, 0.5
+N, LEAST = 3, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Words of the items of one block: bounds what is broadcast, and the counts that come back, one per n-gram.
+#: Words of the items of one block: bounds what is broadcast.
 BLOCK_WORDS = 1_000_000
+#: Hits, and words of passages, that are looked through at once.
+AT_ONCE = 1_000_000
 _WORD = regex.compile(r"\w+")
 FOUND = T.StructType(
     [
@@ -52,9 +56,13 @@ class Block:
     """Items as arrays of word numbers; words outside the block have number 0."""
 
     numbers: dict[str, int]
-    items: dict[int, np.ndarray]
+    names: list[int]  # item_id of each item
+    items: list[np.ndarray]
+    own: np.ndarray  # sorted (item, word) of the items' words, as one number
+    own_counts: np.ndarray
     seeds: np.ndarray  # sorted keys
-    places: dict[int, list[tuple[int, int]]]  # key -> (item, position)
+    ends: np.ndarray  # the places of a key are those from its end in this array to the next
+    places: np.ndarray  # rows of (item, position)
 
     def keys(self, ids: np.ndarray, n: int) -> np.ndarray:
         """The key of each n-gram, -1 where a word is outside the block."""
@@ -73,22 +81,23 @@ class Block:
         return np.array([get(w, 0) for w in words(text)], np.int64)
 
 
-def _block(rows: list) -> Block:
-    split = {r["item_id"]: words(r["text"]) for r in rows}
-    numbers = {w: i + 1 for i, w in enumerate(sorted({w for ws in split.values() for w in ws}))}
-    items = {i: np.array([numbers[w] for w in ws], np.int64) for i, ws in split.items()}
-    return Block(numbers, items, np.zeros(0, np.int64), {})
-
-
-def _with_seeds(block: Block, counts: dict[int, int], n: int, stretch: int, rare: int) -> Block:
-    places = defaultdict(list)
-    for item, ids in block.items.items():
-        keys = block.keys(ids, n).tolist()
-        for begin in range(0, len(keys), stretch):
-            some = range(begin, min(begin + stretch, len(keys)))
-            for at in sorted(some, key=lambda i: (counts.get(keys[i], 0), i))[:rare]:
-                places[keys[at]].append((item, at))
-    return Block(block.numbers, block.items, np.array(sorted(places), np.int64), dict(places))
+def _block(rows: list, n: int) -> Block:
+    split = [words(r["text"]) for r in rows]
+    numbers = {w: i + 1 for i, w in enumerate(sorted({w for ws in split for w in ws}))}
+    items = [np.array([numbers[w] for w in ws], np.int64) for ws in split]
+    base = len(numbers) + 1
+    flat = np.concatenate([np.zeros(0, np.int64), *(i * base + ids for i, ids in enumerate(items))])
+    own, own_counts = np.unique(flat, return_counts=True)
+    none = np.zeros(0, np.int64)
+    block = Block(numbers, [r["item_id"] for r in rows], items, own, own_counts, none, none, np.zeros((0, 2), np.int64))
+    keys = [block.keys(ids, n) for ids in items]
+    places = [np.column_stack([np.full(len(k), i), np.arange(len(k))]) for i, k in enumerate(keys)]
+    flat = np.concatenate([none, *keys])
+    order = np.argsort(flat, kind="stable")
+    block.seeds, first = np.unique(flat[order], return_index=True)
+    block.ends = np.append(first, len(flat))
+    block.places = np.concatenate([block.places, *places])[order]
+    return block
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -121,36 +130,84 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best, *span
 
 
-def _matches(block: Block, texts: list[str], n: int, least: float) -> Iterator[tuple[int, int, float, int, int, str]]:
-    """(text, item, score, first word, last word, passage) of each item of the block found in a text, at its best place."""
+def _slices(sizes: np.ndarray) -> Iterator[slice]:
+    """Neighbours of about AT_ONCE together."""
+    total, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] - sizes[begin] + AT_ONCE, side="right")))
+        yield slice(begin, end)
+        begin = end
+
+
+def _enough(block: Block, flat: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, least: float) -> np.ndarray:
+    """Whether each passage ``flat[low:high]`` has as many words of its item, each as often as there at most, as a score of
+    ``least`` takes."""
+    base, sizes, shared = len(block.numbers) + 1, high - low, []
+    for some in _slices(sizes):
+        passage = np.repeat(np.arange(some.start, some.start + len(sizes[some])), sizes[some])
+        start = np.repeat(low[some] - np.cumsum(sizes[some]) + sizes[some], sizes[some])
+        word = flat[start + np.arange(len(passage))]
+        key = item[passage] * base + word
+        at = np.minimum(np.searchsorted(block.own, key), len(block.own) - 1)
+        hit = (block.own[at] == key) & (word > 0)
+        pair, n = np.unique((passage[hit] - some.start) * len(block.own) + at[hit], return_counts=True)
+        n = np.minimum(n, block.own_counts[pair % len(block.own)])
+        shared.append(np.bincount(pair // len(block.own), weights=n, minlength=len(sizes[some])))
+    length = np.array([len(ids) for ids in block.items])
+    return np.concatenate(shared) / length[item] >= least
+
+
+def _passages(block: Block, texts: list[str], n: int, least: float) -> Iterator[tuple[int, int, np.ndarray, list[tuple[int, int]]]]:
+    """(text, item, word numbers of the text, passages) of the items that may be found in a text."""
     parts = [block.ids(t) for t in texts]
     # Texts are joined by a word that no item has.
     begin = np.cumsum([0] + [len(p) + 1 for p in parts])
-    keys = block.keys(np.concatenate([x for p in parts for x in (p, [0])]).astype(np.int64), n)
+    flat = np.concatenate([x for p in parts for x in (p, [0])]).astype(np.int64)
+    keys = block.keys(flat, n)
     places = np.flatnonzero(keys >= 0)
-    at = np.minimum(np.searchsorted(block.seeds, keys[places]), max(0, len(block.seeds) - 1))
-    places = places[block.seeds[at] == keys[places]] if len(block.seeds) else places[:0]
-    spans = defaultdict(list)
-    for place, text in zip(places.tolist(), (np.searchsorted(begin, places, side="right") - 1).tolist()):
-        for item, own in block.places[int(keys[place])]:
-            spans[text, item].append(place - int(begin[text]) - own)
-    for (text, item), begins in spans.items():
-        own, ids = block.items[item], parts[text]
-        slack = len(own) // 2 + n
-        passages: list[list[int]] = []
-        for b in sorted(begins):
-            low, high = max(0, b - slack), min(len(ids), b + len(own) + slack)
-            if passages and low <= passages[-1][1]:
-                passages[-1][1] = high
-            else:
-                passages.append([low, high])
+    at = np.minimum(np.searchsorted(block.seeds, keys[places]), len(block.seeds) - 1)
+    hit = block.seeds[at] == keys[places]
+    places, at = places[hit], at[hit]
+    of = np.searchsorted(begin, places, side="right") - 1
+    counts = block.ends[at + 1] - block.ends[at]
+    length = np.array([len(ids) for ids in block.items])
+    # The most gaps that leave an alignment of all words the score.
+    slack = np.floor(MATCH * length * (1 - least) / -GAP).astype(np.int64) + n
+    texts_at, first = np.unique(of, return_index=True)
+    for some in _slices(np.add.reduceat(counts, first) if len(first) else counts):
+        some = slice(first[some.start], first[some.stop] if some.stop < len(first) else len(of))
+        many = counts[some]
+        entry = np.repeat(block.ends[at[some]] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        item, position = block.places[entry].T
+        text, start = np.repeat(of[some], many), np.repeat(places[some], many) - position
+        order = np.lexsort((start, item, text))
+        item, text, start = item[order], text[order], start[order]
+        low = np.maximum(begin[text], start - slack[item])
+        high = np.minimum(begin[text + 1] - 1, start + length[item] + slack[item])
+        new = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1]))
+        last = np.append(new[1:], True)
+        text, item, low, high = text[new], item[new], low[new], high[last]
+        may = _enough(block, flat, item, low, high, least)
+        spans = defaultdict(list)
+        for t, i, a, z in zip(*(x[may].tolist() for x in (text, item, low, high))):
+            spans[t, i].append((a - int(begin[t]), z - int(begin[t])))
+        for (t, i), found in spans.items():
+            yield t, i, parts[t], found
+
+
+def _matches(block: Block, texts: list[str], n: int, least: float) -> Iterator[tuple[int, int, float, int, int, str]]:
+    """(text, item_id, score, first word, last word, passage) of each item of the block found in a text, at its best place."""
+    if not texts or not len(block.seeds):
+        return
+    for text, item, ids, passages in _passages(block, texts, n, least):
+        own = block.items[item]
         best, first, last = max(
             ((s, low + a, low + z) for low, high in passages for s, a, z in [align(own, ids[low:high])]),
             key=lambda x: (x[0], -x[1]),
         )
         score = best / (MATCH * len(own))
         if score >= least:
-            yield text, item, score, first, last, " ".join(words(texts[text])[first : last + 1])
+            yield text, block.names[item], score, first, last, " ".join(words(texts[text])[first : last + 1])
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list]:
@@ -168,49 +225,29 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list]:
         yield [{"item_id": i, "text": t} for i, t in merged.items()]
 
 
-def seeded_blocks(docs: DataFrame, benchmark: DataFrame, n: int, stretch: int, rare: int, block_words: int) -> Iterator[Block]:
-    """The blocks of ``benchmark`` with the seeds that are rare in ``docs``."""
-    texts = docs.where(F.col("text").isNotNull()).select("text")
+def seeded_blocks(benchmark: DataFrame, n: int, block_words: int) -> Iterator[Block]:
+    """The blocks of ``benchmark`` that have seeds."""
     for rows in _blocks(benchmark, block_words):
-        block = _block(rows)
-        if not block.items:
-            continue
-        grams = np.unique(np.concatenate([block.keys(ids, n) for ids in block.items.values()]))
-        shared = docs.sparkSession.sparkContext.broadcast((block, grams))
-
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block, grams = shared.value
-            sums = np.zeros(len(grams), np.int64)
-            for (some,) in chunks(batches, ("text",)):
-                # Texts are joined by a word that no item has.
-                keys = block.keys(np.concatenate([x for t in some for x in (block.ids(t), [0])]).astype(np.int64), n)
-                at = np.searchsorted(grams, keys[keys >= 0])
-                at, own = at[at < len(grams)], keys[keys >= 0][at < len(grams)]
-                sums += np.bincount(at[grams[at] == own], minlength=len(grams))
-            at = np.flatnonzero(sums)
-            yield pa.record_batch([pa.array(grams[at]), pa.array(sums[at])], names=["key", "n"])
-
-        found = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        # One row per n-gram of the block.
-        yield _with_seeds(block, {r["key"]: r["n"] for r in found.collect()}, n, stretch, rare)
+        block = _block(rows, n)
+        if len(block.seeds):
+            yield block
 
 
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
     n: int = N,
-    stretch: int = STRETCH,
-    rare: int = RARE,
     least: float = LEAST,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """One row per document and test item found in it: doc_id, item_id, score, first_word, last_word, passage.
 
     Words are runs of letters, digits and underscores, lower-cased.  ``score`` is 1 for a verbatim copy.  Null texts, null
-    item ids and items of fewer than ``n`` words find nothing; rows that repeat are found each.
+    item ids and items of fewer than ``n`` words find nothing, nor does a copy that keeps no ``n`` words in a row; rows
+    that repeat are found each.
     """
     rows, out = id_and_text(docs), None
-    for block in seeded_blocks(docs, benchmark, n, stretch, rare, block_words):
+    for block in seeded_blocks(benchmark, n, block_words):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -227,7 +264,7 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of ``docs``, all columns, in which no item of ``benchmark`` is found."""
-    for block in seeded_blocks(docs, benchmark, N, STRETCH, RARE, BLOCK_WORDS):
+    for block in seeded_blocks(benchmark, N, BLOCK_WORDS):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

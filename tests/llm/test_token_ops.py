@@ -215,6 +215,29 @@ def test_decontamination(spark, docs):
     assert decontaminate.contaminated(table, bench.where("false")).count() == 0
 
 
+def test_copies_with_edits_in_every_stretch(spark, docs):
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(6)]
+    items = [" ".join(rng.choice(common) if rng.random() < 0.5 else f"i{i}x{k}" for k in range(36)) for i in range(4)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    copies = [(i, " ".join(f"new{k}" if k % every == off else w for k, w in enumerate(item.split())))
+              for i, item in enumerate(items) for every in (4, 5, 6, 7) for off in (1, 3)]
+    filler = [" ".join(rng.choice(common) for _ in range(200)) for _ in range(5)]
+    for beside in ([], items):
+        texts = [f"{rng.choice(filler)} {t} {rng.choice(filler)}" for _, t in copies] + filler + beside
+        want = {}
+        for d, text in enumerate(texts):
+            numbers = {w: k for k, w in enumerate(text.split(), 1)}
+            for i, item in enumerate(items):
+                own = np.array([numbers.get(w, -1 - k) for k, w in enumerate(item.split())])
+                score = decontaminate.align(own, np.array([numbers[w] for w in text.split()]))[0] / (2 * len(own))
+                if score >= 0.5:
+                    want[d, i] = score
+        assert {(d, i) for d, (i, _) in enumerate(copies)} <= set(want)
+        found = decontaminate.contaminated(docs(texts), bench).collect()
+        assert {(r.doc_id, r.item_id): r.score for r in found} == want
+
+
 def test_alignment_score_equals_the_table():
     rng = random.Random(2)
     for _ in range(200):
