@@ -151,10 +151,14 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Documents without doc_id stay, as nothing tells them apart; of rows that repeat a doc_id, the first by all columns
     stays if that doc_id does.
     """
+    found = near_duplicates(docs, **options)
+    return keep_ids(docs, found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct())
+
+
+def keep_ids(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """The first row, by all columns, of each doc_id in ``stay`` (_keep), and the rows without doc_id."""
     from pyspark.sql import Window
 
-    found = near_duplicates(docs, **options)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("_id"))
     first = Window.partitionBy("_id").orderBy(F.col("row").cast("string"))
     kept = rows.where("_id is not null").join(stay, F.col("_id") == F.col("_keep"), "left_semi")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from conftest import rows
 
-from freightlens.llm import exact_dedup, simhash, substring_dedup
+from freightlens.llm import exact_dedup, near_copies, simhash, substring_dedup
 from freightlens.llm.graph import components
 from freightlens.llm.suffix_automaton import SuffixAutomaton
 
@@ -176,6 +176,41 @@ def test_near_duplicates_without_ids(docs):
     )
 
 
+def test_pipeline_stage_drops_what_shares_shingles(spark, docs):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    texts = []
+    for _ in range(40):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(100, 300))]
+        texts.append(" ".join(base))
+        for edits in (1, 2, 4, 6):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), edits):
+                copy[at] = f"new{rng.randrange(10**9)}"
+            texts.append(" ".join(copy))
+    group = [f"g{i}" for i in range(300)]  # one bucket too large for all pairs
+    texts += [" ".join(w if i != k else f"x{k}" for i, w in enumerate(group)) for k in range(0, 60, 2)]
+    texts += [None, "", "one two", "ONE  two", "one two three"]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").lower().split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    table = docs(list(enumerate(texts)))
+    kept = corpus_pipeline.drop_near_copies(spark, table, "")
+    assert {r.doc_id for r in kept.collect()} == {i for i in range(len(texts)) if find(i) == i}
+    assert near_copies.keep_one(table.where("false")).count() == 0
+
+
 def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(100, 140)] + [(7, 3), (3, 9), (9, 9), (None, 4)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
