@@ -41,14 +41,20 @@ def url_keys(url: Column) -> Column:
     return F.when(host != "", F.concat(domains, F.coalesce(paths, none))).otherwise(none)
 
 
+def entry_key(key: Column) -> Column:
+    """A list key as captures have it: the host lower-case, the path as it is, since paths tell capitals apart."""
+    host = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(host), F.substring(key, F.length(host) + 1, F.length(key)))
+
+
 def validity(entries: DataFrame) -> DataFrame:
     """Intervals (list_name, kind, key, valid_from, valid_to) from entries (list_name, kind, key, listed, dated).
 
     ``valid_to`` is the first day on which the entry no longer holds, null while it does.  Of entries of one list, key and
-    day, one that lists wins.  Entries without key or date are left out; null ``listed`` counts as delisting.
+    day, one that lists wins.  Hosts of keys are lower-cased, paths are not.  Entries without key or date are left out; null ``listed`` counts as delisting.
     """
     days = entries.where(F.col("key").isNotNull() & F.col("dated").isNotNull())
-    days = days.groupBy("list_name", "kind", F.lower("key").alias("key"), F.to_date("dated").alias("dated")).agg(
+    days = days.groupBy("list_name", "kind", entry_key(F.col("key")).alias("key"), F.to_date("dated").alias("dated")).agg(
         F.max(F.coalesce("listed", F.lit(False))).alias("listed")
     )
     per_key = Window.partitionBy("list_name", "kind", "key").orderBy("dated")

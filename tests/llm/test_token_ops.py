@@ -327,3 +327,14 @@ def test_url_filter(spark):
     assert url_filter.judge(captures, table).count() == captures.count()
     assert url_filter.judge(captures.where("false"), table).count() == 0
     assert url_filter.judge(captures, table.where("false")).where("blocked").count() == 0
+
+
+def test_url_filter_tells_capitals_of_paths_apart(spark):
+    day = date(2024, 1, 1)
+    urls = ["http://Example.com/Foo/Bar", "http://example.com/foo", "http://EXAMPLE.com/a/Q", "http://other.org/x", "http://other.org/X?y"]
+    captures = spark.createDataFrame([(i, u, day) for i, u in enumerate(urls)], "page_id long, url string, fetched date")
+    entries = [("l", "block", k, True, day) for k in ("example.com/Foo", "EXAMPLE.com/a/Q", "Other.ORG/x", "É.example.com/É")]
+    table = spark.createDataFrame(entries, "list_name string, kind string, key string, listed boolean, dated date")
+    found = {r.page_id: r.key for r in url_filter.judge(captures, table).collect()}
+    assert found == {0: "example.com/Foo", 1: None, 2: "example.com/a/Q", 3: "other.org/x", 4: None}
+    assert {r.key for r in url_filter.validity(table).collect()} == {"example.com/Foo", "example.com/a/Q", "other.org/x", "é.example.com/É"}
