@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freightlens.session import scratch_path
@@ -48,3 +48,29 @@ def scatter_lookup(rows: DataFrame, table: DataFrame, key: str, value: str, hot:
     return joined.withColumn(value, F.coalesce("_hv", "_tv")).drop(
         "_hk", "_hv", "_part", "_jk", "_tk", "_tp", "_tv", "_spread"
     )
+
+
+def ordered(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``pos``, its place from 0 on in the order of some columns, which tell all its rows apart or nearly so.
+
+    One range exchange; what is known of the partitions is a row each.
+    """
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = materialize(rows.select("*", F.spark_partition_id().alias("_part"), within.alias("_at")), "ordered")
+    sizes = rows.groupBy("_part").count()
+    before = F.sum("count").over(Window.orderBy("_part")) - F.col("count")
+    first = sizes.select(F.col("_part").alias("_p"), before.alias("_first"))
+    placed = rows.join(F.broadcast(first), F.col("_part") == F.col("_p"))
+    return placed.withColumn("pos", F.col("_first") + F.col("_at")).drop("_part", "_at", "_p", "_first")
+
+
+def blocks(start: str, count: str, block: int) -> Column:
+    """The blocks that a run of positions touches."""
+    first = F.col(start) - F.pmod(F.col(start), F.lit(block))
+    return F.explode(F.sequence(first, F.col(start) + F.col(count) - 1, F.lit(block)))
+
+
+def block_of(c: str, block: int) -> Column:
+    """The block that a position is in, named by its first position."""
+    return F.col(c) - F.pmod(F.col(c), F.lit(block))

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import documents, materialize
+from freightlens.llm.conversation_trie import conversation_trie
 from freightlens.llm.decontaminate import contaminated
 from freightlens.llm.exact_dedup import exact_duplicates
 from freightlens.llm.language import identify
 from freightlens.llm.language_model import score
+from freightlens.llm.minhash import near_duplicates as minhash_duplicates
 from freightlens.llm.packing import pack_documents
 from freightlens.llm.simhash import near_duplicates
 from freightlens.llm.substring_dedup import remove_repeats
@@ -18,6 +20,7 @@ from freightlens.llm.token_counts import Rollup, change, count_tokens, revision
 from freightlens.llm.token_files import with_crc32, with_start, written
 from freightlens.llm.url_queries import ORACLE as URL_ORACLE
 from freightlens.llm.url_queries import op2_url_filter
+from freightlens.llm.whitening import whiten
 from freightlens.session import scratch_path
 
 
@@ -75,6 +78,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_duplicates(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
@@ -86,6 +101,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op10_simhash": op10_simhash,
     "op9_token_files": op9_token_files,
+    "op11_whitening": op11_whitening,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_minhash": op13_minhash,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
