@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import decontaminate, exact_dedup, language, near_copies, packing
+from freightlens.llm import decontaminate, exact_dedup, language, packing, simhash
 from freightlens.llm.common import documents, materialize
 
 
@@ -24,8 +24,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents that share 0.8 of their five-word shingles the one with the smallest doc_id stays."""
-    return near_copies.keep_one(docs)
+    """Of documents linked by fingerprints of three-word shingles, two or fewer bits apart, the smallest doc_id stays."""
+    return simhash.keep_one(docs, words=3, distance=2)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
