@@ -13,6 +13,7 @@ from freightlens.llm.exact_dedup import exact_duplicates
 from freightlens.llm.language import identify
 from freightlens.llm.language_model import score
 from freightlens.llm.minhash import near_duplicates as minhash_duplicates
+from freightlens.llm.oracles import NEAR, TRIE
 from freightlens.llm.packing import pack_documents
 from freightlens.llm.simhash import near_duplicates
 from freightlens.llm.substring_dedup import remove_repeats
@@ -115,4 +116,6 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm)""",
+    "op12_conversation_trie": TRIE,
+    "op13_minhash": NEAR,
 }
