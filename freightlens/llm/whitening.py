@@ -151,15 +151,13 @@ class Whitening:
         return ((centred / self.n).astype(float) @ self.axes.T) / spread
 
 
-def deviations(centred: np.ndarray) -> list[int]:
-    """Sum of squares of every row, exact."""
+def deviations(centred: np.ndarray) -> list[int | None]:
+    """Sum of squares of every row, exact; None where it does not fit a 64-bit integer."""
     most = int(np.abs(centred).max(initial=0))
     if most * most * max(1, centred.shape[1]) < 1 << 62:
         return (centred.astype(np.int64) ** 2).sum(axis=1).tolist()
     found = [int(v) for v in (centred.astype(object) ** 2).sum(axis=1)]
-    if max(found) >= 1 << 63:
-        raise OverflowError("a squared deviation does not fit a 64-bit integer")
-    return found
+    return [v if v < 1 << 63 else None for v in found]
 
 
 def fit_whitening(fit: DataFrame, components: int = COMPONENTS) -> Whitening | None:
@@ -214,7 +212,8 @@ def whiten(embeddings: DataFrame, components: int = COMPONENTS, vector: str = "e
     so are vectors of another length than the commonest one (of two, the longer).  Every other row is returned, repeated
     rows each; a null id stays null.  Components follow falling variance, at most as many as there are dimensions.  One
     along which nothing varies has a null ``whitened``; if nothing varies at all, ``explained`` and ``identity_error``
-    are null too.  An empty table, or one of empty vectors, gives an empty result.
+    are null too, and so is a ``deviation`` that does not fit a 64-bit integer.  An empty table, or one of empty vectors,
+    gives an empty result.
     """
     schema = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
     rows = embeddings.select(embeddings[key].cast("long").alias("vec_id"), integers(embeddings[vector]).alias("x"))
