@@ -148,17 +148,18 @@ def tour(tree: DataFrame) -> DataFrame:
 def ranked(arcs: DataFrame, length: int) -> DataFrame:
     """(arc, pos): the place of each of ``length`` arcs (arc, next) in their list, from 0 on, by pointer jumping.
 
-    Every round each arc that has not reached the end learns where the arc it points to points, and how far that is.
+    Arcs are numbered from -2 on.  Every round each arc learns where the arc it points to points, and how far that is.
     Rounds are checkpointed, so a lost executor costs one round at most.
     """
     shared_dir(arcs.sparkSession)
     now = arcs.withColumn("far", F.when(F.col("next").isNull(), 0).otherwise(1).cast("long"))
+    # Arcs that have arrived look for an arc that there is not, each for its own, as they would share the key null.
+    ahead_of = F.coalesce("next", F.lit(-10) - F.col("arc"))
     for _ in range(max(1, (length - 1).bit_length())):
-        ahead = now.select(F.col("arc").alias("next"), F.col("next").alias("_next"), F.col("far").alias("_far"))
-        # Arcs that have arrived stay out of the join, as they would share the key null.
-        jumped = now.where("next is not null").join(ahead, "next")
-        jumped = jumped.select("arc", F.col("_next").alias("next"), (F.col("far") + F.col("_far")).alias("far"))
-        now = jumped.unionByName(now.where("next is null")).checkpoint()
+        ahead = now.select(F.col("arc").alias("_at"), F.col("next").alias("_next"), F.col("far").alias("_far"))
+        jumped = now.withColumn("_to", ahead_of).join(ahead, F.col("_to") == F.col("_at"), "left")
+        far = F.col("far") + F.coalesce("_far", F.lit(0))
+        now = jumped.select("arc", F.col("_next").alias("next"), far.alias("far")).checkpoint()
     return now.select("arc", (F.lit(length - 1) - F.col("far")).alias("pos"))
 
 
