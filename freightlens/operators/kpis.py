@@ -83,6 +83,11 @@ def otd_windows(ship: DataFrame, grace: int = GRACE_MINUTES, window: Bounds | No
     daily = _per_day(
         within_bounds(ship, "delivery_actual_ts", window), n=F.count(F.lit(1)), on_time=_count(_on_time(grace))
     )
+    return otd_windows_of_days(daily, grace)
+
+
+def otd_windows_of_days(daily: DataFrame, grace: int = GRACE_MINUTES) -> DataFrame:
+    """:func:`otd_windows` from days (``d``) with their deliveries (``n``) and those on time (``on_time``)."""
     dated = _anchored(daily)
     day, anchor = F.col("d"), F.col("anchor_date")
     last = day.between(F.date_sub(anchor, 29), anchor)
@@ -174,11 +179,16 @@ def otd_windows_calendar(
 
 def daily_trend(ship: DataFrame, grace: int = GRACE_MINUTES, days: int = 60) -> DataFrame:
     """Delivered count and on-time rate per day over the last ``days`` days."""
-    daily = _per_day(ship, delivered=F.count(F.lit(1)), on_time=_count(_on_time(grace)))
+    return daily_trend_of_days(_per_day(ship, n=F.count(F.lit(1)), on_time=_count(_on_time(grace))), days)
+
+
+def daily_trend_of_days(daily: DataFrame, days: int = 60) -> DataFrame:
+    """:func:`daily_trend` from days (``d``) with their deliveries (``n``) and those on time (``on_time``)."""
     return (
         _anchored(daily).filter(F.col("d") > F.date_sub("anchor_date", days))
         .select(
-            F.col("d").alias("delivery_date"), "delivered", ratio(F.col("on_time"), F.col("delivered")).alias("otd_rate")
+            F.col("d").alias("delivery_date"), F.col("n").alias("delivered"),
+            ratio(F.col("on_time"), F.col("n")).alias("otd_rate"),
         )
         .orderBy("delivery_date")
     )
@@ -212,9 +222,13 @@ def gm_per_mile(ship: DataFrame) -> DataFrame:
 
 def gm_per_mile_ytd(ship: DataFrame, target: float = GM_TARGET) -> DataFrame:
     """Margin per mile of deliveries in the calendar year of the latest one, against a target."""
-    daily = _anchored(_per_day(ship, **{c: F.sum(c) for c in _MONEY}))
+    return gm_per_mile_ytd_of_days(_per_day(ship, **{c: F.sum(c) for c in _MONEY}), target)
+
+
+def gm_per_mile_ytd_of_days(daily: DataFrame, target: float = GM_TARGET) -> DataFrame:
+    """:func:`gm_per_mile_ytd` from days (``d``) with the sums of their money columns."""
     in_year = F.col("d") >= F.trunc("anchor_date", "year")
-    totals = daily.filter(in_year).agg(*[F.sum(c).alias(c) for c in _MONEY])
+    totals = _anchored(daily).filter(in_year).agg(*[F.sum(c).alias(c) for c in _MONEY])
     value = measures.gm_per_mile(*[F.col(c) for c in _MONEY])
     return totals.select(
         value.alias("gm_per_mile_ytd"),
@@ -277,6 +291,22 @@ def avg_transit_days(ship: DataFrame, window: Bounds | None = None) -> DataFrame
     )
 
 
+def avg_transit_days_of_days(daily: DataFrame) -> DataFrame:
+    """:func:`avg_transit_days` from days with the moved shipments delivered on them (``moved``) and their ``transit_days``."""
+    return daily.agg(ratio(F.sum("transit_days"), F.sum("moved")).alias("avg_transit_days"))
+
+
+def day_totals(ship: DataFrame, grace: int = GRACE_MINUTES) -> DataFrame:
+    """What the reports need of each delivery day (``d``), as sums that add up over any parts of the fact: deliveries
+    (``n``), those on time, those with a pickup time (``moved``) and their transit days, revenue, cost and miles."""
+    zero = F.lit(0).cast("decimal(12,2)")
+    return _per_day(
+        ship, n=F.count(F.lit(1)), on_time=_count(_on_time(grace)), moved=_count(_moved()),
+        transit_days=F.coalesce(F.sum(F.when(_moved(), _transit())), F.lit(0)),
+        **{c: F.sum(F.coalesce(F.col(c), zero)).cast("decimal(38,2)") for c in _MONEY},
+    )
+
+
 def avg_transit_days_by_month(ship: DataFrame) -> DataFrame:
     return (
         ship.filter(_moved())
@@ -444,7 +474,10 @@ def shipment_detail(
     window: Bounds | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """The drill-through rows, ordered by shipment and leg."""
+    """The drill-through rows; with ``limit`` the first by shipment and leg.
+
+    All rows come unordered: a full sort of the fact is the caller's choice.
+    """
     rows = joins.enrich_shipments(
         within_bounds(ship, "delivery_actual_ts", window),
         star["dim_customer"], star["dim_carrier"], star["dim_lane"], star["dim_location"],
@@ -458,8 +491,8 @@ def shipment_detail(
         measures.otif(on_time, F.col("isinfull")).alias("isotif_calc"),
         "planned_miles", "actual_miles", "revenue", "total_cost",
         measures.gm_per_mile(*[F.col(c) for c in _MONEY]).alias("gm_per_mile"),
-    ).orderBy("shipment_id", "leg_id")
-    return _first(detail, limit)
+    )
+    return detail if limit is None else detail.orderBy("shipment_id", "leg_id").limit(limit)
 
 
 def filter_options(star: Mapping[str, DataFrame], limit: int | None = None) -> DataFrame:
@@ -482,25 +515,59 @@ def filter_options(star: Mapping[str, DataFrame], limit: int | None = None) -> D
 
 
 def dwell_minutes(events: DataFrame) -> DataFrame:
-    """Dwell minutes per shipment: a DwellStart pairs with the DwellEnd of the next sequence number.
+    """Dwell minutes per shipment: a DwellStart pairs with the DwellEnd that follows it among the shipment's dwell events.
+
+    Events follow their sequence number, whatever other events or gaps lie between; of equal numbers the earlier time
+    comes first, and a start before an end.  A start that another start follows, and an end that no start precedes, are
+    unpaired.  A pair counts without minutes if one of its times is missing.
 
-    Pairs are found by grouping on (shipment, sequence), which is unique per event, so no shipment is ever ordered
-    as a whole in one task.
+    The order is a range partitioning, so a shipment of any size spreads over partitions.  Each partition sums up its
+    piece of a shipment and says how the piece begins and ends; pieces, at most one per partition, are then put together.
     """
-    kind = F.col("event_type")
-    is_end = kind == "DwellEnd"
-    slots = (
-        events.filter(kind.isin("DwellStart", "DwellEnd"))
-        .groupBy("shipment_id", F.when(is_end, F.col("event_seq") - 1).otherwise(F.col("event_seq")).alias("slot"))
-        .agg(F.max(F.when(~is_end, F.col("event_ts"))).alias("start"), F.max(F.when(is_end, F.col("event_ts"))).alias("end"))
-    )
-    seconds = F.unix_seconds(F.col("end").cast("timestamp")) - F.unix_seconds(F.col("start").cast("timestamp"))
-    paired = F.col("start").isNotNull() & F.col("end").isNotNull()
-    return slots.groupBy("shipment_id").agg(
-        _total(F.when(paired, F.floor(seconds / 60))).alias("dwell_minutes"),
-        _count(paired).alias("dwell_pairs"),
-        _count(~paired).alias("unpaired"),
-    )
+    is_end = F.col("event_type") == "DwellEnd"
+    order = ("event_seq", "event_ts", "is_end")
+    dwell = events.filter(F.col("event_type").isin("DwellStart", "DwellEnd")).select(
+        "shipment_id", "event_seq", "event_ts", is_end.alias("is_end")
+    )
+    ranged = dwell.repartitionByRange("shipment_id", *order).withColumn("_part", F.spark_partition_id())
+    along = Window.partitionBy("_part", "shipment_id").orderBy(*order)
+    seen = ranged.select(
+        "_part", "shipment_id", "is_end", "event_ts",
+        F.lag("is_end").over(along).alias("before"),
+        F.lead("is_end").over(along).alias("after"),
+        F.lead("event_ts").over(along).alias("after_ts"),
+    )
+    opens, first, last = ~F.col("is_end"), F.col("before").isNull(), F.col("after").isNull()
+    pair = opens & F.col("after")
+    # The first and the last event of a piece may pair with another piece.
+    alone = (opens & ~F.col("after")) | (F.col("is_end") & F.col("before"))
+    pieces = seen.groupBy("_part", "shipment_id").agg(
+        _count(F.coalesce(pair, F.lit(False))).alias("pairs"),
+        _total(F.when(pair, _minutes("event_ts", "after_ts"))).alias("minutes"),
+        _count(F.coalesce(alone, F.lit(False))).alias("alone"),
+        F.max(F.when(first, F.col("is_end"))).alias("starts_with_end"),
+        F.max(F.when(first, F.col("event_ts"))).alias("first_ts"),
+        F.max(F.when(last, opens)).alias("ends_open"),
+        F.max(F.when(last, F.col("event_ts"))).alias("last_ts"),
+    )
+    in_order = Window.partitionBy("shipment_id").orderBy("_part")
+    met = pieces.withColumns({
+        "open": F.coalesce(F.lag("ends_open").over(in_order), F.lit(False)),
+        "open_ts": F.lag("last_ts").over(in_order),
+        "closed": F.coalesce(F.lead("starts_with_end").over(in_order), F.lit(False)),
+    })
+    joined = F.col("starts_with_end") & F.col("open")
+    lost = (F.col("starts_with_end") & ~F.col("open")).cast("int") + (F.col("ends_open") & ~F.col("closed")).cast("int")
+    return met.groupBy("shipment_id").agg(
+        (F.sum("minutes") + _total(F.when(joined, _minutes("open_ts", "first_ts")))).alias("dwell_minutes"),
+        (F.sum("pairs") + _count(joined)).alias("dwell_pairs"),
+        (F.sum("alone") + F.sum(lost)).alias("unpaired"),
+    )
+
+
+def _minutes(start: str, end: str) -> Column:
+    """Whole minutes between two times, rounded down."""
+    return F.floor((F.unix_seconds(F.col(end).cast("timestamp")) - F.unix_seconds(F.col(start).cast("timestamp"))) / 60)
 
 
 def cost_rollup(cost: DataFrame, ship: DataFrame) -> DataFrame:

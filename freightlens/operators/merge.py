@@ -17,6 +17,10 @@ from freightlens.operators.shaping import curate_shipments, dedupe_latest, now_l
 from freightlens.schemas import AUDIT_COLUMNS, DIM_TABLES, KEYS, NULL_EQUALS_EMPTY
 
 
+#: Begins the name of a column that holds a key as it is compared, where a target stores it.
+KEY_PREFIX = "key_"
+
+
 def key_column(name: str) -> Column:
     """A key column as it is compared: null and empty are the same in keys that may be either."""
     return F.coalesce(F.col(name), F.lit("")) if name in NULL_EQUALS_EMPTY else F.col(name)
@@ -29,10 +33,15 @@ def _merge(
     guarded: bool,
     update_now: Column | None,
     insert_now: Column | None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    columns = target.columns
+    stored = {k: f"{KEY_PREFIX}{k}" for k in keys if f"{KEY_PREFIX}{k}" in target.columns}
+    columns = [c for c in target.columns if c not in stored.values()]
     probe = [f"_k{i}" for i in range(len(keys))]
     keyed = [key_column(k).alias(p) for p, k in zip(probe, keys)]
+    if buckets:
+        # Where the target lies in buckets of its key, the source comes to them.
+        source = source.repartition(buckets, *[key_column(k) for k in keys])
     # The window needs the partitioning that the join needs, so it costs no shuffle.
     repeats = F.count(F.lit(1)).over(Window.partitionBy(*probe))
     complete = F.lit(True)
@@ -42,7 +51,8 @@ def _merge(
         F.raise_error(F.lit(f"the merge source repeats a key of ({', '.join(keys)})")).cast("boolean")
     )
     new = source.select(*keyed, *[F.col(c).alias(f"_s_{c}") for c in columns]).withColumn("_in_source", once)
-    old = target.select(*keyed, *columns, F.lit(True).alias("_in_target"))
+    held = [F.col(stored[k]).alias(p) if k in stored else c for p, k, c in zip(probe, keys, keyed)]
+    old = target.select(*held, *columns, F.lit(True).alias("_in_target"))
     joined = old.join(new, probe, "full_outer")
 
     kept = F.col("_in_target").isNotNull()
@@ -81,12 +91,18 @@ def merge_fact(target: DataFrame, source: DataFrame, keys: Sequence[str], now: d
 
 
 def merge_table(
-    target: DataFrame, source: DataFrame, table: str, now: datetime | Column, copy_audit: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    table: str,
+    now: datetime | Column,
+    copy_audit: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Upsert one star table by its declared key.
 
     ``copy_audit`` is the curation variant: update times are copied as they are on every match, and fact inserts
-    keep their audit columns too.
+    keep their audit columns too.  ``buckets`` says into how many buckets of its key the target is stored: then only
+    the source is shuffled.
     """
     at = now_literal(now)
     is_dim = table in DIM_TABLES
@@ -97,6 +113,7 @@ def merge_table(
         guarded=not is_dim,
         update_now=None if copy_audit else at,
         insert_now=at if is_dim or not copy_audit else None,
+        buckets=buckets,
     )
 
 

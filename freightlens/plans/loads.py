@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from freightlens.operators import merge
 from freightlens.operators.merge import curate, merge_table
 from freightlens.plans import binding, refresh as refreshing
+from freightlens.plans.daily import DailyTotals
 from freightlens.plans.oracle import legs_sql
 from freightlens.plans.registry import Bound, register
+from freightlens.plans.reports import windows_sql
 from freightlens.schemas import AUDIT_COLUMNS, DIM_TABLES, KEYS, TABLES, typed_schema
 from freightlens.session import scratch_path
-from freightlens.sources import landing, warehouse
+from freightlens.sources import bucketed, landing, warehouse
 from freightlens.streaming.landing import stream_landing as landing_stream
 from freightlens.streaming.landing import stream_upsert as start_upsert
 
@@ -66,10 +68,10 @@ def write_csv(b: Bound) -> DataFrame:
 
 @register(f"SELECT {_columns_sql('fact_cost')} FROM fact_cost")
 def write_table(b: Bound) -> DataFrame:
-    """Costs written as a full replacement split by method, half of them again as an append, and read back."""
+    """Half of the costs written as a full replacement, the other half as an append, and read back."""
     root = scratch_path(b.spark, "edw")
     half = F.expr("length(shipment_id) % 2 = 0 OR right(shipment_id, 1) < '5'")
-    warehouse.write_table(b.cost.filter(half), root, "fact_cost", part=F.col("calc_method"))
+    warehouse.write_table(b.cost.filter(half), root, "fact_cost")
     warehouse.write_table(b.cost.filter(~half), root, "fact_cost", mode="append")
     return warehouse.read_edw(b.spark, root, "fact_cost")
 
@@ -251,6 +253,37 @@ def merge_fact_cost(b: Bound) -> DataFrame:
     return merge_table(_leg_costs(target, "CAST(NULL AS STRING)"), _leg_costs(source, "''"), "fact_cost", NOW)
 
 
+_FACT_ROWS = {
+    "fact_shipment": lambda leg, _: binding.shipments_of(leg),
+    "fact_event": lambda leg, _: _status_events(leg),
+    "fact_cost": lambda leg, new: _leg_costs(leg, "''" if new else "CAST(NULL AS STRING)"),
+}
+
+
+def _register_bucketed_merge(table: str, target_sql: str, source_sql: str) -> None:
+    def merged(b: Bound) -> DataFrame:
+        target, source = _versions(b)
+        root, rows_of = scratch_path(b.spark, "bucketed"), _FACT_ROWS[table]
+        bucketed.write_bucketed(rows_of(target, 0), root, table, buckets=8)
+        bucketed.merge_bucketed(rows_of(source, 1), root, table, NOW, buckets=8)
+        return bucketed.read_bucketed(b.spark, root, table, buckets=8)
+
+    merged.__name__ = f"merge_bucketed_{table}"
+    merged.__doc__ = f"The upsert of {table} into a target that lies in buckets of its key."
+    register(
+        _merge_sql(table, guarded=True, stamp=True, fill=True),
+        extra=f"{_version_ctes()}, t AS ({target_sql}), s AS ({source_sql})",
+    )(merged)
+
+
+_register_bucketed_merge("fact_shipment", "SELECT * FROM t_legs", "SELECT * FROM s_legs")
+_register_bucketed_merge("fact_event", _TENDER_EVENTS.format(legs="t_legs"), _TENDER_EVENTS.format(legs="s_legs"))
+_register_bucketed_merge(
+    "fact_cost",
+    _LEG_COSTS.format(legs="t_legs", empty="CAST(NULL AS VARCHAR)"),
+    _LEG_COSTS.format(legs="s_legs", empty="''"),
+)
+
 _FLAGS = """coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MINUTE, false) AS isdeliveredontime,
   coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MINUTE AND isinfull, false) AS isotif"""
 _CURATED = f"SELECT * REPLACE ({_FLAGS}) FROM s_legs"
@@ -309,6 +342,49 @@ _register_fact_curation(
 )
 
 
+# --- daily totals kept up to date ---------------------------------------------------------------------------------
+
+
+def _kept_up_to_date(b: Bound) -> DailyTotals:
+    """Shipments and their totals after three batches: old versions, new versions, and old versions again that come too
+    late; the second batch is sent twice."""
+    target, source = (binding.shipments_of(leg) for leg in _versions(b))
+    late = target.withColumns({"status": F.lit("Cancelled"), "update_date": F.expr("update_date - INTERVAL '3650' DAY")})
+    totals = DailyTotals(b.spark, scratch_path(b.spark, "daily"))
+    for batch, rows in (("1-old", target), ("2-new", source), ("2-new", source), ("3-late", late)):
+        totals.merge(batch, rows, NOW)
+    return totals
+
+
+_FINAL_CTES = f"""{_version_ctes()}, t AS (SELECT * FROM t_legs), s AS (SELECT * FROM s_legs),
+final AS ({_merge_sql("fact_shipment", guarded=True, stamp=True, fill=True)}),
+final_delivered AS (SELECT *, CAST(delivery_actual_ts AS DATE) AS d,
+  coalesce(delivery_actual_ts <= delivery_plan_ts + INTERVAL 60 MINUTE, false) AS on_time,
+  date_diff('day', CAST(pickup_actual_ts AS DATE), CAST(delivery_actual_ts AS DATE)) AS transit
+  FROM final WHERE delivery_actual_ts IS NOT NULL)"""
+
+
+def _cents(column: str) -> str:
+    return f"CAST(sum(CAST({column} AS DECIMAL(12,2))) AS DOUBLE) AS {column}"
+
+
+@register(
+    f"""SELECT d, count(*) AS n, count(*) FILTER (WHERE on_time) AS on_time, count(transit) AS moved,
+  CAST(coalesce(sum(transit), 0) AS BIGINT) AS transit_days, {_cents('revenue')}, {_cents('total_cost')},
+  {_cents('planned_miles')} FROM final_delivered GROUP BY d""",
+    extra=_FINAL_CTES,
+)
+def daily_totals(b: Bound) -> DataFrame:
+    """The days of shipments merged in three batches, one of them sent twice and one late."""
+    return _kept_up_to_date(b).days()
+
+
+@register(windows_sql(30, "(SELECT *, max(d) OVER () AS a FROM final_delivered)"), extra=_FINAL_CTES)
+def daily_totals_otd_windows(b: Bound) -> DataFrame:
+    """The on-time windows from days that merges have kept up to date."""
+    return _kept_up_to_date(b).otd_windows()
+
+
 # --- incremental --------------------------------------------------------------------------------------------------
 
 

@@ -37,7 +37,7 @@ _LEG_RULES = """
               THEN delivery_plan_ts + CAST(30*(round(l_tax*100) - 4) AS INTEGER) * INTERVAL 1 MINUTE END
            AS delivery_actual_ts
   FROM {name}_plan
-), {name} AS (
+), {name} AS MATERIALIZED (
   SELECT 'S' || lpad(CAST(l_orderkey AS VARCHAR), CAST(greatest(9, length(CAST(l_orderkey AS VARCHAR))) AS INTEGER),
            '0') AS shipment_id,
          l_linenumber AS leg_id, o_custkey AS customer_id, l_suppkey AS carrier_id, 1 + l_suppkey % 3 AS equipment_id,
@@ -70,41 +70,39 @@ BINDING = (
     + f""",
 fact_shipment AS (SELECT * EXCLUDE (h, qty, reason, mode) FROM legs),
 fact_event AS (
-  SELECT shipment_id, CAST(leg_id*10 + k AS INTEGER) AS event_seq, event_type, event_ts, facility_loc_id, notes,
-         load_date, event_ts AS update_date
+  SELECT shipment_id, CAST(leg_id*10 + e.k AS INTEGER) AS event_seq, e.kind AS event_type, e.at AS event_ts,
+         e.place AS facility_loc_id, e.note AS notes, load_date, e.at AS update_date
   FROM (
-    SELECT shipment_id, leg_id, load_date, 1 AS k, 'Tendered' AS event_type, tender_ts AS event_ts,
-           origin_loc_id AS facility_loc_id, CAST(NULL AS VARCHAR) AS notes FROM legs
-    UNION ALL SELECT shipment_id, leg_id, load_date, 2, 'Accepted', pickup_plan_ts - INTERVAL 12 HOUR,
-           origin_loc_id, NULL FROM legs WHERE status NOT IN ('Cancelled', 'Tendered')
-    UNION ALL SELECT shipment_id, leg_id, load_date, 3, 'AtOrigin', pickup_plan_ts, origin_loc_id, NULL
-           FROM legs WHERE pickup_actual_ts IS NOT NULL
-    UNION ALL SELECT shipment_id, leg_id, load_date, 4, 'PickedUp', pickup_actual_ts, origin_loc_id, NULL FROM legs
-    UNION ALL SELECT shipment_id, leg_id, load_date, 5, 'DwellStart', delivery_actual_ts - INTERVAL 3 HOUR,
-           dest_loc_id, 'Dock' FROM legs WHERE qty % 4 = 0
-    UNION ALL SELECT shipment_id, leg_id, load_date, 6, 'DwellEnd',
-           delivery_actual_ts + (qty - 180) * INTERVAL 1 MINUTE, dest_loc_id, NULL
-           FROM legs WHERE qty % 4 = 0 AND leg_id <> 2
-    UNION ALL SELECT shipment_id, leg_id, load_date, 7, 'AtDest', delivery_actual_ts - INTERVAL 1 HOUR,
-           dest_loc_id, NULL FROM legs
-    UNION ALL SELECT shipment_id, leg_id, load_date, 8, 'Delivered', delivery_actual_ts, dest_loc_id, NULL FROM legs
-    UNION ALL SELECT shipment_id, leg_id, load_date, 9, 'Exception', pickup_plan_ts,
-           CASE WHEN cancel_flag THEN origin_loc_id ELSE dest_loc_id END, reason
-           FROM legs WHERE status IN ('Cancelled', 'Exception'))
-  WHERE event_ts IS NOT NULL
+    SELECT shipment_id, leg_id, load_date, unnest([
+      {{'k': 1, 'kind': 'Tendered', 'at': tender_ts, 'place': origin_loc_id, 'note': NULL}},
+      {{'k': 2, 'kind': 'Accepted', 'at': CASE WHEN status NOT IN ('Cancelled', 'Tendered')
+        THEN pickup_plan_ts - INTERVAL 12 HOUR END, 'place': origin_loc_id, 'note': NULL}},
+      {{'k': 3, 'kind': 'AtOrigin', 'at': CASE WHEN pickup_actual_ts IS NOT NULL THEN pickup_plan_ts END,
+        'place': origin_loc_id, 'note': NULL}},
+      {{'k': 4, 'kind': 'PickedUp', 'at': pickup_actual_ts, 'place': origin_loc_id, 'note': NULL}},
+      {{'k': 5, 'kind': 'DwellStart', 'at': CASE WHEN qty % 4 = 0 THEN delivery_actual_ts - INTERVAL 3 HOUR END,
+        'place': dest_loc_id, 'note': 'Dock'}},
+      {{'k': 6, 'kind': 'DwellEnd', 'at': CASE WHEN qty % 4 = 0 AND leg_id <> 2
+        THEN delivery_actual_ts + (qty - 180) * INTERVAL 1 MINUTE END, 'place': dest_loc_id, 'note': NULL}},
+      {{'k': 7, 'kind': 'AtDest', 'at': delivery_actual_ts - INTERVAL 1 HOUR, 'place': dest_loc_id, 'note': NULL}},
+      {{'k': 8, 'kind': 'Delivered', 'at': delivery_actual_ts, 'place': dest_loc_id, 'note': NULL}},
+      {{'k': 9, 'kind': 'Exception', 'at': CASE WHEN status IN ('Cancelled', 'Exception') THEN pickup_plan_ts END,
+        'place': CASE WHEN cancel_flag THEN origin_loc_id ELSE dest_loc_id END, 'note': reason}}]) AS e
+    FROM legs)
+  WHERE e.at IS NOT NULL
 ),
 fact_cost AS (
-  SELECT shipment_id, cost_type, calc_method, ref || ' L' || leg_id AS rate_ref, cost_amount, 'USD' AS currency,
-         load_date, update_date
+  SELECT shipment_id, c.kind AS cost_type, c.method AS calc_method, c.ref || ' L' || leg_id AS rate_ref,
+         c.amount AS cost_amount, 'USD' AS currency, load_date, update_date
   FROM (
-    SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[0]}' AS cost_type, 'per-mile' AS calc_method,
-           'PM' AS ref, total_cost AS cost_amount FROM legs WHERE NOT cancel_flag
-    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[1]}', 'index', 'IX', fuel_surcharge
-           FROM legs WHERE NOT cancel_flag
-    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[2]}', 'flat', 'EX', accessorial_cost
-           FROM legs WHERE accessorial_cost > 0
-    UNION ALL SELECT shipment_id, leg_id, load_date, update_date, '{COST_TYPES[4]}', 'flat', 'FEE',
-           CAST(10*qty AS DECIMAL(12,2)) FROM legs WHERE cancel_flag)
+    SELECT shipment_id, leg_id, load_date, update_date, unnest([
+      {{'kind': '{COST_TYPES[0]}', 'method': 'per-mile', 'ref': 'PM', 'amount': CASE WHEN NOT cancel_flag THEN total_cost END}},
+      {{'kind': '{COST_TYPES[1]}', 'method': 'index', 'ref': 'IX', 'amount': CASE WHEN NOT cancel_flag THEN fuel_surcharge END}},
+      {{'kind': '{COST_TYPES[2]}', 'method': 'flat', 'ref': 'EX', 'amount': CASE WHEN accessorial_cost > 0 THEN accessorial_cost END}},
+      {{'kind': '{COST_TYPES[4]}', 'method': 'flat', 'ref': 'FEE',
+        'amount': CASE WHEN cancel_flag THEN CAST(10*qty AS DECIMAL(12,2)) END}}]) AS c
+    FROM legs)
+  WHERE c.amount IS NOT NULL
 ),
 dim_customer AS (
   SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS segment, r_name AS region, {_STAMP}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +33,22 @@ def checks(star: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def merge_into(
-    source: DataFrame, root: str, table: str, now: datetime | Column, copy_audit: bool = False
-) -> int | None:
-    """Merge rows, unique per key, into a warehouse table; only the parts that they touch are rewritten."""
+    source: DataFrame,
+    root: str,
+    table: str,
+    now: datetime | Column,
+    copy_audit: bool = False,
+    feed: Callable[[DataFrame, DataFrame], None] | None = None,
+) -> list[int | None] | None:
+    """Merge rows, unique per key, into a warehouse table; only the months that they touch are rewritten.
+
+    ``feed`` gets the rows of a fact with the keys of the source as they are before and as they will be after.
+    """
 
     def upsert(target: DataFrame, rows: DataFrame) -> DataFrame:
         return merge.merge_table(target, rows, table, now, copy_audit)
 
-    return update_table(source, root, table, [merge.key_column(k) for k in KEYS[table]], upsert)
+    return update_table(source, root, table, [merge.key_column(k) for k in KEYS[table]], upsert, feed)
 
 
 def refresh(
@@ -49,7 +57,7 @@ def refresh(
     """Load landing CSVs, curate them into the warehouse (dimensions, then facts), and return the checks.
 
     ``landing`` holds a CSV file or folder per table, see :func:`landing_path`.  Each table's latest landing row per key
-    is staged, then merged into the current warehouse snapshot.  Dimensions come first, so a run that fails half-way
+    is staged, then merged into the warehouse.  Dimensions come first, so a run that fails half-way
     leaves no fact without its dimension rows, and running it again completes it: a repeated merge changes nothing.
     """
     stage, edw = f"{root}/stg", f"{root}/edw"
@@ -73,5 +81,5 @@ def load_model(spark: SparkSession, raw: str, root: str) -> DataFrame:
         text = read_raw_csv(spark, landing_path(spark, raw, table), table)
         model = shaping.type_raw_table(shaping.trim_text(text), table, audit=True)
         latest = merge.latest_source(model, table)
-        write_table(latest.drop("load_date", "update_date"), root, table, part=F.lit("all"))
+        write_table(latest.drop("load_date", "update_date"), root, table)
     return checks({t: read_edw(spark, root, t, audit=False) for t in TABLES})

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.operators import filters, kpis
+from freightlens.operators import bitmaps, filters, kpis
 from freightlens.plans.registry import Bound, register
 from freightlens.schemas import STATUS_ACCEPTED, STATUS_TENDERED
 
@@ -36,7 +36,7 @@ def anchor_date(b: Bound) -> DataFrame:
     return kpis.anchor_date(b.ship)
 
 
-def _windows_sql(prior_end: int, source: str) -> str:
+def windows_sql(prior_end: int, source: str) -> str:
     def share(first: int, last: int) -> str:
         span = f"d BETWEEN a - {first} AND a - {last}"
         return _ratio(f"count(*) FILTER (WHERE {span} AND on_time)", f"count(*) FILTER (WHERE {span})")
@@ -48,12 +48,12 @@ def _windows_sql(prior_end: int, source: str) -> str:
 FROM {source}"""
 
 
-@register(_windows_sql(30, "(SELECT *, max(d) OVER () AS a FROM delivered)"))
+@register(windows_sql(30, "(SELECT *, max(d) OVER () AS a FROM delivered)"))
 def otd_windows(b: Bound) -> DataFrame:
     return kpis.otd_windows(b.ship)
 
 
-@register(_windows_sql(30, "(SELECT *, max(d) OVER () AS a FROM delivered, bounds WHERE d BETWEEN start_d AND end_d)"))
+@register(windows_sql(30, "(SELECT *, max(d) OVER () AS a FROM delivered, bounds WHERE d BETWEEN start_d AND end_d)"))
 def otd_windows_bounded(b: Bound) -> DataFrame:
     return kpis.otd_windows(b.ship, window=filters.bounds(b.ship))
 
@@ -63,16 +63,30 @@ def otd_rate(b: Bound) -> DataFrame:
     return kpis.otd_rate(b.ship)
 
 
-@register(f"""SELECT count(DISTINCT shipment_id) AS delivered_shipments,
+_OTIF_SQL = f"""SELECT count(DISTINCT shipment_id) AS delivered_shipments,
   count(DISTINCT shipment_id) FILTER (WHERE on_time) AS otd_deliveries,
   count(DISTINCT shipment_id) FILTER (WHERE on_time AND isinfull) AS otif_deliveries,
   {_ratio('count(DISTINCT shipment_id) FILTER (WHERE on_time)', 'count(DISTINCT shipment_id)')} AS otd_rate,
   {_ratio('count(DISTINCT shipment_id) FILTER (WHERE on_time AND isinfull)', 'count(DISTINCT shipment_id)')} AS otif_rate
-FROM delivered""")
+FROM delivered"""
+
+
+@register(_OTIF_SQL)
 def otd_otif_rates(b: Bound) -> DataFrame:
     return kpis.otd_otif_rates(b.ship)
 
 
+def _span(b: Bound) -> tuple[Column, Column]:
+    window = filters.bounds(b.ship)
+    return window.select("start_d").scalar(), window.select("end_d").scalar()
+
+
+@register(f"{_OTIF_SQL}, bounds WHERE d BETWEEN start_d AND end_d")
+def bitmap_otd_otif_rates(b: Bound) -> DataFrame:
+    """Distinct shares of a window from daily bitmaps."""
+    return bitmaps.otd_otif_rates(bitmaps.delivery_bitmaps(b.ship), *_span(b))
+
+
 @register(f"""SELECT count(*) AS delivered_legs, count(*) FILTER (WHERE on_time) AS on_time_legs,
   {_ratio('count(*) FILTER (WHERE on_time)', 'count(*)')} AS otd_rate FROM delivered""")
 def otd_rate_rowgrain(b: Bound) -> DataFrame:
@@ -94,6 +108,12 @@ def otd_windows_calendar(b: Bound) -> DataFrame:
     return kpis.otd_windows_calendar(b.ship, b.star["dim_date"])
 
 
+@register(_calendar_sql("DISTINCT shipment_id"))
+def bitmap_otd_windows_calendar(b: Bound) -> DataFrame:
+    """Distinct shares of the calendar windows from daily bitmaps."""
+    return bitmaps.otd_windows_calendar(bitmaps.delivery_bitmaps(b.ship), b.star["dim_date"])
+
+
 @register(_calendar_sql("shipment_id"))
 def otd_windows_calendar_legs(b: Bound) -> DataFrame:
     return kpis.otd_windows_calendar(b.ship, b.star["dim_date"], grain="leg")
@@ -159,7 +179,16 @@ def tender_acceptance_events(b: Bound) -> DataFrame:
     return kpis.tender_acceptance_events(b.events)
 
 
-@register(_tender_sql("fact_event, bounds WHERE CAST(event_ts AS DATE) BETWEEN start_d AND end_d"))
+_TENDER_BOUNDED = _tender_sql("fact_event, bounds WHERE CAST(event_ts AS DATE) BETWEEN start_d AND end_d")
+
+
+@register(_TENDER_BOUNDED)
+def bitmap_tender_acceptance(b: Bound) -> DataFrame:
+    """Distinct acceptance of a window of event days from daily bitmaps."""
+    return bitmaps.tender_acceptance(bitmaps.tender_bitmaps(b.events), *_span(b))
+
+
+@register(_TENDER_BOUNDED)
 def tender_acceptance_events_bounded(b: Bound) -> DataFrame:
     return kpis.tender_acceptance_events(b.events, filters.bounds(b.ship))
 
@@ -416,12 +445,13 @@ def filter_options_top(b: Bound) -> DataFrame:
 # --- events and costs ---------------------------------------------------------------------------------------------
 
 
-@register("""SELECT shipment_id, CAST(coalesce(sum(minutes), 0) AS BIGINT) AS dwell_minutes,
-  count(minutes) AS dwell_pairs, count(*) FILTER (WHERE minutes IS NULL) AS unpaired
-FROM (SELECT shipment_id, slot, date_diff('second', min(event_ts) FILTER (WHERE event_type = 'DwellStart'),
-        min(event_ts) FILTER (WHERE event_type = 'DwellEnd')) // 60 AS minutes
-      FROM (SELECT *, event_seq - CASE event_type WHEN 'DwellEnd' THEN 1 ELSE 0 END AS slot FROM fact_event
-            WHERE event_type IN ('DwellStart', 'DwellEnd')) GROUP BY shipment_id, slot)
+@register("""SELECT shipment_id,
+  CAST(coalesce(sum(date_diff('second', event_ts, next_ts) // 60) FILTER (WHERE paired), 0) AS BIGINT) AS dwell_minutes,
+  count(*) FILTER (WHERE paired) AS dwell_pairs, count(*) - 2 * count(*) FILTER (WHERE paired) AS unpaired
+FROM (SELECT shipment_id, event_ts, lead(event_ts) OVER w AS next_ts,
+        event_type = 'DwellStart' AND coalesce(lead(event_type) OVER w = 'DwellEnd', false) AS paired
+      FROM fact_event WHERE event_type IN ('DwellStart', 'DwellEnd')
+      WINDOW w AS (PARTITION BY shipment_id ORDER BY event_seq, event_ts, event_type DESC))
 GROUP BY shipment_id""")
 def dwell_minutes(b: Bound) -> DataFrame:
     return kpis.dwell_minutes(b.events)

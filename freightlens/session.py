@@ -31,6 +31,8 @@ def build_session(app: str = "freightlens", cores: int | str = "*", memory: str
         # The JVM never compiles a method above 8000 bytes of bytecode.  Stages with very wide expressions are faster with
         # one compiled method per operator than with a single fused method that stays interpreted.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # A local file system lists folders faster than a job does.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "1000")
         # Call-site capture per expression only serves error messages and slows down building large plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +38,21 @@ def strictly_typed(df: DataFrame, table: str, audit: bool = True) -> DataFrame:
 def landing_path(spark: SparkSession, folder: str, table: str) -> list[str]:
     """The files or folders of a table in a landing folder, by name and whatever the case: ``<table>.csv``,
     ``<table>.csv.gz``, ``<table>`` or ``<table>_<part>.csv``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    folder = folder.rstrip("/")
+    any_case = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in table)
+    try:
+        # Lists files; their content is not read.
+        files = spark.read.format("binaryFile").load(f"{folder}/{any_case}*").select("path")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string")
+    name = F.regexp_extract("path", f"/{re.escape(folder.rsplit('/', 1)[-1])}/({any_case}[^/]*)(/.*)?$", 1)
     named = re.compile(rf"{table}([_.-]?\d+)?(\.csv)?(\.gz)?", re.IGNORECASE)
-    found = sorted(f.getPath().getName() for f in files if named.fullmatch(f.getPath().getName()))
+    found = sorted(r[0] for r in files.select(name).distinct().collect() if named.fullmatch(r[0]))
     if not found:
         raise FileNotFoundError(f"no landing file of {table} in {folder}")
-    return [f"{folder.rstrip('/')}/{name}" for name in found]
+    return [f"{folder}/{n}" for n in found]
 
 
 def read_raw_csv(spark: SparkSession, path: str | list[str], table: str, audit: bool = True) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Landing files as a stream, and streaming upserts into warehouse snapshots."""
+"""Landing files as a stream, and streaming upserts into warehouse tables."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def stream_landing(
 
 
 def upsert_batch(root: str, table: str, now: datetime | Column) -> Callable[[DataFrame, int], None]:
-    """The action of one micro-batch: its latest row per key, merged into the parts of the table that it touches.
+    """The action of one micro-batch: its latest row per key, merged into the months of the table that it touches.
 
     Spark may run a batch again after a failure.  A repeated merge gives the same table, so the replay is harmless.
     """
@@ -33,8 +33,6 @@ def upsert_batch(root: str, table: str, now: datetime | Column) -> Callable[[Dat
     def apply(batch: DataFrame, batch_id: int) -> None:
         source = latest_source(batch, table).persist()
         try:
-            if source.isEmpty():
-                return
             merge_into(source, root, table, now)
         finally:
             source.unpersist()

@@ -1,4 +1,4 @@
-"""Files, snapshots, batch refresh and streaming ingest."""
+"""Files, warehouse tables, batch refresh and streaming ingest."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from freightlens.operators import merge
 from freightlens.plans import refresh as refreshing
-from freightlens.schemas import TABLES
+from freightlens.schemas import KEYS, TABLES
 from freightlens.sources import landing, warehouse
 from freightlens.streaming.landing import stream_landing, stream_upsert
 
@@ -66,61 +66,135 @@ def test_name_seeds_and_columns(spark, tmp_path):
     assert landing.normalize_columns(spark.range(1).toDF("Loc_ID")).columns == ["loc_id"]
 
 
-def test_snapshots(spark, make, tmp_path):
+def test_tables(spark, make, tmp_path):
     root = str(tmp_path / "edw")
     assert warehouse.read_edw(spark, root, "dim_customer").count() == 0
     one, two = (make("dim_customer", [{"customer_id": i, "name": "n"}]) for i in (1, 2))
     warehouse.write_table(one, root, "dim_customer")
     kept = warehouse.read_edw(spark, root, "dim_customer")
-    warehouse.write_table(kept.unionByName(two), root, "dim_customer")  # reads one snapshot, writes the next
+    warehouse.write_table(kept.unionByName(two), root, "dim_customer")  # reads the table that it replaces
     assert rows(warehouse.read_edw(spark, root, "dim_customer"), "customer_id") == [(1,), (2,)]
-    warehouse.write_table(two, root, "dim_customer", part=F.col("name"))
+    warehouse.write_table(two, root, "dim_customer")
     assert rows(warehouse.read_edw(spark, root, "dim_customer"), "customer_id", "name") == [(2, "n")]
     warehouse.write_table(one, root, "dim_customer", mode="append")
     assert rows(warehouse.read_edw(spark, root, "dim_customer"), "customer_id") == [(1,), (2,)]
-    (tmp_path / "edw" / "dim_customer" / "data" / "unfinished").mkdir()  # a write without its manifest is not visible
-    assert warehouse.current_version(spark, root, "dim_customer") == 4
-    assert warehouse.expire_snapshots(spark, root, "dim_customer", keep=1) == [1, 2, 3]
-    assert warehouse.read_edw(spark, root, "dim_customer").count() == 2
+    with pytest.raises(ValueError):
+        warehouse.write_table(one.withColumn("more", F.lit(1)), root, "dim_customer", mode="append")
+    with pytest.raises(ValueError):
+        warehouse.write_table(one, root, "dim_customer", mode="ignore")
+    with pytest.raises(FileNotFoundError):
+        warehouse.read_edw(spark, root, "no_such_table")
     counts = warehouse.publish_snapshot(spark, root, str(tmp_path / "bi"))
     assert dict(rows(counts))["DIM_CUSTOMER"] == 2 and counts.count() == 9
 
 
+def leg(n, month, update="2024-01-01", **more):
+    stamp = at(f"2024-{month:02d}-05") if month else None
+    return {"shipment_id": f"S{n}", "leg_id": 1, "tender_ts": stamp, "update_date": at(update), **more}
+
+
+def files_by_month(spark, root):
+    stored = spark.read.parquet(f"{root}/fact_shipment")
+    found: dict = {}
+    for name in stored.inputFiles():
+        found.setdefault(name.split("part_month=")[1].split("/")[0], set()).add(name)
+    return found
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_window_reads_its_months_only(spark, make, tmp_path):
+    root = str(tmp_path / "edw")
+    warehouse.write_table(make("fact_shipment", [leg(n, n % 7) for n in range(70)]), root, "fact_shipment")
+    assert sorted(files_by_month(spark, root)) == [*(f"20240{m}" for m in range(1, 7)), "__HIVE_DEFAULT_PARTITION__"]
+    some = warehouse.read_edw(spark, root, "fact_shipment", since=at("2024-02-05"), until=at("2024-03-05").date())
+    assert sorted({r.tender_ts for r in some.collect()}) == [at("2024-02-05"), at("2024-03-05")] and some.count() == 20
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    filters = plan(some).split("PartitionFilters: [")[1].split("]")[0]
+    assert "part_month" in filters and "202402" in filters and "202403" in filters
+    assert len(some.columns) == 29 and "part_month" not in some.columns
+    whole = warehouse.read_edw(spark, root, "fact_shipment")
+    assert whole.count() == 70 and whole.where("tender_ts IS NULL").count() == 10
+    with pytest.raises(ValueError):
+        warehouse.write_table(make("dim_customer", []), root, "dim_customer")
+        warehouse.read_edw(spark, root, "dim_customer", since=at("2024-01-01"))
+
+
 def test_a_batch_rewrites_only_the_months_it_touches(spark, make, tmp_path):
     root = str(tmp_path / "edw")
 
-    def leg(n, month, update="2024-01-01", **more):
-        return {"shipment_id": f"S{n}", "leg_id": 1, "tender_ts": at(f"2024-{month:02d}-05"), "update_date": at(update), **more}
+    def merged(*legs):
+        return refreshing.merge_into(make("fact_shipment", list(legs)), root, "fact_shipment", NOW)
 
-    def parts():
-        version = warehouse.current_version(spark, root, "fact_shipment")
-        return warehouse._manifest(spark, root, "fact_shipment", version)["parts"]
+    def changed(before):
+        after = files_by_month(spark, root)
+        return {m for m in after if after[m] != before.get(m)}
 
     warehouse.write_table(make("fact_shipment", [leg(n, 1 + n % 4) for n in range(8)]), root, "fact_shipment")
-    before = parts()
-    assert sorted(before) == ["2024-01", "2024-02", "2024-03", "2024-04"]
-    refreshing.merge_into(make("fact_shipment", [leg(4, 1, "2024-02-01", status="Delivered"), leg(20, 1)]), root, "fact_shipment", NOW)
-    after = parts()
-    assert {p for p in after if after[p] != before[p]} == {"2024-01"}
+    before = files_by_month(spark, root)
+    assert merged(leg(4, 1, "2024-02-01", status="Delivered"), leg(20, 1)) == [202401]
+    assert changed(before) == {"202401"}
     # A row that moves to another month rewrites both.
-    refreshing.merge_into(make("fact_shipment", [leg(1, 3, "2024-02-01")]), root, "fact_shipment", NOW)
-    moved = parts()
-    assert {p for p in moved if moved[p] != after[p]} == {"2024-02", "2024-03"}
+    before = files_by_month(spark, root)
+    assert merged(leg(1, 3, "2024-02-01")) == [202402, 202403]
+    assert changed(before) == {"202402", "202403"}
     found = warehouse.read_edw(spark, root, "fact_shipment")
     assert found.count() == 9 and rows(found.filter("shipment_id = 'S1'"), "tender_ts") == [(at("2024-03-05"),)]
+    # The last row of a month moves away, to no month at all: the month is empty.
+    assert set(merged(leg(5, 0, "2024-02-01"))) == {None, 202402}
+    found = warehouse.read_edw(spark, root, "fact_shipment")
+    assert rows(found.filter("shipment_id = 'S5'"), "tender_ts") == [(None,)] and found.count() == 9
+    assert found.filter("month(tender_ts) = 2").count() == 0
+    # It is filled again, and an older row changes nothing.
+    merged(leg(5, 2, "2024-03-01"), leg(0, 2, "2023-01-01"))
+    found = warehouse.read_edw(spark, root, "fact_shipment")
+    assert rows(found.filter("month(tender_ts) = 2"), "shipment_id") == [("S5",)] and found.count() == 9
+    assert merged() is None
     warehouse.write_table(make("fact_shipment", [leg(30, 4)]), root, "fact_shipment", mode="append")
-    assert parts()["2024-04"][:1] == moved["2024-04"] and len(parts()["2024-04"]) == 2
-    only = warehouse.read_edw(spark, root, "fact_shipment", parts=["2024-04"])
-    assert only.count() == 3 and all("2024-04" in f for f in only.inputFiles())
-
-
-def test_the_second_of_two_writers_fails(spark, make, tmp_path):
-    root, row = str(tmp_path / "edw"), make("dim_customer", [{"customer_id": 1}])
-    warehouse.write_table(row, root, "dim_customer")
-    manifest = warehouse._manifest(spark, root, "dim_customer", 1)
-    with pytest.raises(warehouse.ConcurrentWrite):
-        warehouse._publish(spark, root, "dim_customer", 1, manifest)
-    assert warehouse._versions(spark, root, "dim_customer") == [1]
+    assert merged(leg(30, 5, "2024-02-01")) == [202404, 202405]
+    assert warehouse.read_edw(spark, root, "fact_shipment").count() == 10
+
+
+def test_a_batch_reads_only_its_part_of_the_key_index(spark, make, tmp_path):
+    root, keys = str(tmp_path / "edw"), [merge.key_column(k) for k in KEYS["fact_shipment"]]
+    warehouse.write_table(make("fact_shipment", [leg(n, 1 + n % 6) for n in range(3000)]), root, "fact_shipment")
+    refreshing.merge_into(make("fact_shipment", [leg(1, 2)]), root, "fact_shipment", NOW)
+    batch = make("fact_shipment", [leg(n, 1) for n in (7, 8, 9)])
+    wanted = warehouse._entries(batch.withColumn(warehouse.MONTH, warehouse.month_of("fact_shipment")), keys)
+    index = warehouse.key_index(spark, root, "fact_shipment", keys)
+    assert index.count() == 3000
+    found = warehouse.holding_months(index, wanted)
+    assert rows(found, "k0", "part_month") == [("S7", 202402), ("S8", 202403), ("S9", 202404)]
+    buckets = {r[0] for r in wanted.select(warehouse.BUCKET).distinct().collect()}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    filters = plan(found).split("PartitionFilters: [")[1].split("]")[0]
+    assert all(f"{b}" in filters for b in buckets) and len(buckets) <= 3
+    (scan,) = [x for x in plan(found).split("\n") if "FileScan parquet" in x]
+    assert "ReadSchema: struct<k0:string,k1:int,part_month:int>" in scan
+
+
+def test_a_merge_that_fails_half_way_is_completed_by_running_it_again(spark, make, tmp_path, monkeypatch):
+    root, save = str(tmp_path / "edw"), warehouse._save
+    warehouse.write_table(make("fact_shipment", [leg(n, 1 + n % 3) for n in range(9)]), root, "fact_shipment")
+    batch = make("fact_shipment", [leg(0, 2, "2024-02-01"), leg(50, 3)])
+    before = rows(warehouse.read_edw(spark, root, "fact_shipment"))
+
+    def fail(rows, path, table, mode, overwrite="static"):
+        if overwrite == "dynamic":
+            raise RuntimeError("lost")
+        save(rows, path, table, mode, overwrite)
+
+    monkeypatch.setattr(warehouse, "_save", fail)
+    with pytest.raises(RuntimeError):
+        refreshing.merge_into(batch, root, "fact_shipment", NOW)
+    assert rows(warehouse.read_edw(spark, root, "fact_shipment")) == before
+    monkeypatch.setattr(warehouse, "_save", save)
+    for _ in range(2):
+        refreshing.merge_into(batch, root, "fact_shipment", NOW)
+        found = warehouse.read_edw(spark, root, "fact_shipment")
+        assert found.count() == 10 and rows(found.filter("shipment_id = 'S0'"), "tender_ts") == [(at("2024-02-05"),)]
 
 
 def test_landing_names(spark, make, tmp_path):
@@ -167,13 +241,14 @@ def test_stream_equals_batch_and_replay(spark, make, tmp_path):
     columns = ("shipment_id", "event_seq", "notes", "update_date")
     streamed = warehouse.read_edw(spark, root, "fact_event")
     assert rows(streamed, *columns) == rows(batch, *columns)
+    before = streamed.count()  # the files of a month go when it is rewritten
 
     put(folder / "late.csv", line("S0", 0, "too old", "2023-01-01T00:00:00+00:00"),
         line("S9", 0, "new", "2023-01-01T00:00:00+00:00"))
     stream = stream_landing(spark, str(folder), "fact_event")
     stream_upsert(stream, root, "fact_event", str(tmp_path / "two"), NOW).awaitTermination()
     after = warehouse.read_edw(spark, root, "fact_event")
-    assert after.count() == streamed.count() + 1
+    assert after.count() == before + 1
     assert after.filter(F.col("notes") == "too old").count() == 0
 
 
@@ -212,5 +287,5 @@ def test_load_model(spark, make, tmp_path):
     for _ in range(2):
         found = {(r.check, r.item): r.value for r in refreshing.load_model(spark, str(zone), str(tmp_path / "m")).collect()}
         assert found["row_count", "DIM_CUSTOMER"] == 1 and found["dup_pk", "DIM_CUSTOMER"] == 0
-    model = warehouse.read_edw(spark, str(tmp_path / "m"), "dim_customer")
+    model = warehouse.read_edw(spark, str(tmp_path / "m"), "dim_customer", audit=False)
     assert rows(model) == [(1, "new", None, None)]

@@ -175,6 +175,19 @@ def test_dwell_pairs(make):
     assert rows(kpis.dwell_minutes(events)) == [("S1", 90, 1, 1), ("S2", 0, 0, 1)]
 
 
+def test_dwell_pairs_span_gaps_and_other_events(make):
+    events = make(
+        "fact_event",
+        [event("S1", 1, "DwellStart", "2024-06-01T00:00:00"), event("S1", 2, "PickedUp", "2024-06-01T00:10:00"),
+         event("S1", 3, "DwellEnd", "2024-06-01T00:20:00"), event("S1", 9, "DwellEnd", "2024-06-01T00:30:00"),
+         event("S2", 1, "DwellStart", "2024-06-01T00:00:00"), event("S2", 4, "DwellStart", "2024-06-01T01:00:00"),
+         event("S2", 70, "DwellEnd", "2024-06-01T01:05:30"), event("S3", 1, "DwellStart") | {"event_ts": None},
+         event("S3", 2, "DwellEnd", "2024-06-01T01:00:00")],
+    )
+    assert rows(kpis.dwell_minutes(events)) == [("S1", 20, 1, 1), ("S2", 5, 1, 1), ("S3", 0, 1, 0)]
+    assert kpis.dwell_minutes(events.limit(0)).count() == 0
+
+
 def test_cost_rollup(make):
     def cost(kind, amount, shipment="S1"):
         return {"shipment_id": shipment, "cost_type": kind, "cost_amount": Decimal(amount)}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import at, one, rows
@@ -85,6 +87,39 @@ def test_hot_shipment_rates_and_coverage(skewed):
     }
 
 
+@pytest.mark.parametrize("partitions", ["1", "7", "200"])
+def test_dwell_of_a_hot_shipment_against_brute_force(spark, partitions):
+    """Gaps, repeated numbers and missing times, with one shipment that spans many partitions."""
+    rng = random.Random(int(partitions))
+    kinds = ("DwellStart", "DwellEnd", "PickedUp")
+    data = []
+    for n in range(3000):
+        shipment = "S0" if n % 3 == 0 else f"S{rng.randrange(1, 60)}"
+        stamp = None if rng.random() < 0.02 else datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(10**6))
+        data.append((shipment, rng.randrange(5000), rng.choices(kinds, (5, 4, 2))[0], stamp))
+    data += data[:20]
+    expected = {}
+    for s in {r[0] for r in data}:
+        own = sorted((q, t is not None, t or datetime.min, k == "DwellEnd") for x, q, k, t in data if x == s and k != "PickedUp")
+        pairs, minutes, used = 0, 0, 0
+        for (_, has, start, end), (_, has2, stop, end2) in zip(own, own[1:]):
+            if not end and end2:
+                pairs, used = pairs + 1, used + 2
+                minutes += (stop - start) // timedelta(minutes=1) if has and has2 else 0
+        if own:
+            expected[s] = (minutes, pairs, len(own) - used)
+    events = spark.createDataFrame(data, "shipment_id string, event_seq int, event_type string, event_ts timestamp_ntz")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r[0]: tuple(r)[1:] for r in kpis.dwell_minutes(events.repartition(5)).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == expected
+
+
 def test_hot_key_dedupe_limits_before_the_shuffle(skewed):
     latest = shaping.dedupe_latest(skewed["fact_event"], ["shipment_id"], ["event_ts", "event_seq"])
     data = skewed["fact_event"].collect()
