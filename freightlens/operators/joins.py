@@ -6,6 +6,8 @@ shuffles it otherwise, so a dimension that grows with the data is never forced o
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,6 +129,62 @@ def lane_pairs(routes: DataFrame, loc: DataFrame) -> DataFrame:
     )
 
 
+def _grid(miles: float) -> tuple[float, Column, Column]:
+    """Height of a latitude band in degrees, the last band, and (of a column ``band``) its number of cells.
+
+    Places within ``miles`` of each other lie in the same or in neighbouring bands.  A band's cells are as wide as the
+    longitudes of two such places can differ at the latitude of the band that is nearest to a pole; a band that reaches
+    a pole within the distance has one cell.
+    """
+    reach = math.degrees(miles / rating.EARTH_RADIUS_MILES) * (1 + 1e-9) + 1e-9
+    low = F.col("band") * reach - 90
+    edge = F.least(F.lit(90.0), F.greatest(F.abs(low), F.abs(low + reach)))
+    width = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(math.radians(min(reach, 90.0)))) / F.cos(F.radians(edge)))))
+    cells = F.when(edge + reach >= 90, 1).otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0) / (width * (1 + 1e-9)))))
+    return reach, F.lit(int(180 / reach)), cells.cast("long")
+
+
+def places_within(origins: DataFrame, dests: DataFrame, miles: float) -> DataFrame:
+    """Pairs of places (loc_id, lat, lon, further columns) at most ``miles`` apart, columns prefixed ``o_`` and ``d_``, and
+    their ``miles``.  A place without coordinates is near nothing.
+
+    Places are put in the cells of a grid, and an origin meets the destinations of its own and the neighbouring cells, over
+    the date line and the poles too; all pairs are never made.  The result is bounded by how many places are that near.
+    """
+    if miles < 0:
+        raise ValueError("a distance is not negative")
+    reach, last, cells = _grid(miles)
+
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        return df.where("lat IS NOT NULL AND lon IS NOT NULL").select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
+
+    def band(lat: str) -> Column:
+        return F.least(F.floor((F.col(lat) + 90) / reach), last)
+
+    around = F.pmod(F.col("lon") + 180, F.lit(360.0)) / 360
+    cell = F.least(F.floor(around * F.col("cells")), F.col("cells") - 1)
+    held = side(dests, "d").withColumn("band", band("d_lat")).withColumn("cells", cells).withColumn("lon", F.col("d_lon"))
+    held = held.withColumn("cell", cell).drop("cells", "lon")
+    near = F.array_distinct(F.array(*[F.pmod(F.col("cell") + i, F.col("cells")) for i in (-1, 0, 1)]))
+    asked = side(origins, "o").withColumn("band", F.explode(F.array(*[band("o_lat") + i for i in (-1, 0, 1)])))
+    asked = asked.where(F.col("band").between(0, last)).withColumn("cells", cells).withColumn("lon", F.col("o_lon"))
+    asked = asked.withColumn("cell", cell).withColumn("cell", F.explode(near)).drop("cells", "lon")
+    apart = rating.haversine_miles(*[F.col(c).cast("double") for c in ("o_lat", "o_lon", "d_lat", "d_lon")])
+    return asked.join(held, ["band", "cell"]).withColumn("miles", apart).where(F.col("miles") <= miles).drop("band", "cell")
+
+
+def lanes_within(loc: DataFrame, miles: float) -> DataFrame:
+    """Lanes from places alone: every origin with every destination in another city at most ``miles`` away, with distance
+    and planned truckload days."""
+    columns = ("loc_id", "city", "lat", "lon")
+    origins, dests = (loc.filter(F.col("type") == kind).select(*columns) for kind in ("Origin", "Dest"))
+    return (
+        places_within(origins, dests, miles)
+        .filter(F.col("o_city") != F.col("d_city"))
+        .withColumn("std_transit_days", rating.transit_bucket(F.col("miles"), F.lit("TL")))
+    )
+
+
 def asof_weekly_price(ship: DataFrame, prices: DataFrame, ts_col: str = "pickup_plan_ts") -> DataFrame:
     """Latest quoted price (week, price) dated on or before each shipment's day; null before the first quote.
 

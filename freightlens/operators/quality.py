@@ -182,3 +182,16 @@ def domain_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
 
     return _stack([outside(t) for t in dict.fromkeys(d[0] for d in DOMAINS) if t in tables])
+
+
+def load_metrics(table: str) -> dict[str, Column]:
+    """What a load tells of itself while it writes: rows, values outside each declared domain, and of shipments how many
+    are delivered and in flight.  Aggregates for ``DataFrame.observe``."""
+    found = {"rows": F.count(F.lit(1))}
+    if table == "fact_shipment":
+        ts = F.col("delivery_actual_ts")
+        found |= {"delivered": F.count_if(ts.isNotNull()), "in_flight": F.count_if(ts.isNull())}
+    for t, column, values in DOMAINS:
+        if t == table:
+            found[f"{column}_out_of_domain"] = F.count_if(F.coalesce(~F.col(column).isin(*values), F.lit(False)))
+    return found

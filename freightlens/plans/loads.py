@@ -17,10 +17,11 @@ from freightlens.plans.daily import DailyTotals
 from freightlens.plans.oracle import legs_sql
 from freightlens.plans.registry import Bound, register
 from freightlens.plans.reports import windows_sql
-from freightlens.schemas import AUDIT_COLUMNS, DIM_TABLES, KEYS, TABLES, typed_schema
+from freightlens.schemas import AUDIT_COLUMNS, DIM_TABLES, DOMAINS, KEYS, TABLES, typed_schema
 from freightlens.session import scratch_path
 from freightlens.sources import bucketed, landing, warehouse
 from freightlens.streaming.landing import stream_landing as landing_stream
+from freightlens.streaming.landing import stream_landing_once as landing_stream_once
 from freightlens.streaming.landing import stream_upsert as start_upsert
 
 NOW = datetime(2024, 6, 1)
@@ -419,6 +420,18 @@ def stream_landing(b: Bound) -> DataFrame:
     return b.spark.read.schema(typed_schema("fact_event")).parquet(out).drop(*AUDIT_COLUMNS)
 
 
+@register(f"SELECT DISTINCT * EXCLUDE (update_date) FROM ({_ACTIVITY_SQL})", bound=False)
+def stream_landing_once(b: Bound) -> DataFrame:
+    """Every file lands twice, under another name the second time; the sink has each row once."""
+    path = _landed_files(b)
+    landing.write_csv(_activity(b).repartition(3, "event_ts"), path, mode="append")
+    out, state = scratch_path(b.spark, "sink"), scratch_path(b.spark, "state")
+    stream = landing_stream_once(b.spark, path, "fact_event", "1 day", max_files=2)
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return b.spark.read.schema(typed_schema("fact_event")).parquet(out).drop(*AUDIT_COLUMNS)
+
+
 @register(
     f"""SELECT * FROM ({_ACTIVITY_SQL}) QUALIFY row_number() OVER (PARTITION BY shipment_id, event_seq
 ORDER BY event_ts DESC, facility_loc_id DESC) = 1""",
@@ -440,6 +453,17 @@ UNION ALL SELECT 'fk_missing', unnest(['CARRIER_ID', 'CUSTOMER_ID', 'EQUIPMENT_I
 UNION ALL SELECT 'orphans', unnest(['COST -> SHIPMENT', 'EVENT -> SHIPMENT']), 0"""
 
 
+_LOADED_SQL = " ".join(
+    f"UNION ALL SELECT 'loaded_{name}', '{table.upper()}', {value} FROM {table}"
+    for table in TABLES
+    for name, value in (
+        ("rows", "count(*)"),
+        *((("delivered", "count(delivery_actual_ts)"), ("in_flight", "count(*) - count(delivery_actual_ts)")) if table == "fact_shipment" else ()),
+        *((f"{c}_out_of_domain", f"count(*) FILTER (WHERE {c} NOT IN ({', '.join(repr(v) for v in values)}))") for t, c, values in DOMAINS if t == table),
+    )
+)
+
+
 def _landing_zone(b: Bound) -> str:
     zone = scratch_path(b.spark, "zone")
     for name, df in b.star.items():
@@ -447,9 +471,9 @@ def _landing_zone(b: Bound) -> str:
     return zone
 
 
-@register(_CHECKS_SQL)
+@register(f"{_CHECKS_SQL} {_LOADED_SQL}")
 def refresh(b: Bound) -> DataFrame:
-    """Landing files through staging and curation to the checks."""
+    """Landing files through staging and curation to the checks and the counts of the loads."""
     return refreshing.refresh(b.spark, _landing_zone(b), scratch_path(b.spark, "warehouse"), NOW)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import GRACE_MINUTES
@@ -32,6 +32,18 @@ def checks(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def observed(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """A load that counts its rows, completeness and values outside their domains while it is written."""
+    seen = Observation(f"load_{table}")
+    return df.observe(seen, *[m.alias(name) for name, m in quality.load_metrics(table).items()]), seen
+
+
+def load_report(spark: SparkSession, loads: Mapping[str, Observation]) -> DataFrame:
+    """(check, item, value) of finished loads: their own counts, nothing is read again."""
+    rows = [(f"loaded_{name}", table.upper(), value) for table, seen in loads.items() for name, value in seen.get.items()]
+    return spark.createDataFrame(rows, "check string, item string, value bigint")
+
+
 def merge_into(
     source: DataFrame,
     root: str,
@@ -54,22 +66,25 @@ def merge_into(
 def refresh(
     spark: SparkSession, landing: str, root: str, now: datetime, grace: int = GRACE_MINUTES
 ) -> DataFrame:
-    """Load landing CSVs, curate them into the warehouse (dimensions, then facts), and return the checks.
+    """Load landing CSVs, curate them into the warehouse (dimensions, then facts), and return the checks of the warehouse
+    and what each load has counted of itself (``loaded_...``).
 
     ``landing`` holds a CSV file or folder per table, see :func:`landing_path`.  Each table's latest landing row per key
     is staged, then merged into the warehouse.  Dimensions come first, so a run that fails half-way
     leaves no fact without its dimension rows, and running it again completes it: a repeated merge changes nothing.
     """
     stage, edw = f"{root}/stg", f"{root}/edw"
+    loads = {}
     for table in TABLES:
         loaded = read_landing_csv(spark, landing_path(spark, landing, table), table)
-        write_table(merge.latest_source(loaded, table), stage, table)
+        counted, loads[table] = observed(merge.latest_source(loaded, table), table)
+        write_table(counted, stage, table)
     for table in TABLES:
         source = read_edw(spark, stage, table)
         if table == "fact_shipment":
             source = shaping.curate_shipments(source, grace)
         merge_into(source, edw, table, now, copy_audit=True)
-    return checks({t: read_edw(spark, edw, t) for t in TABLES})
+    return checks({t: read_edw(spark, edw, t) for t in TABLES}).unionByName(load_report(spark, loads))
 
 
 def load_model(spark: SparkSession, raw: str, root: str) -> DataFrame:

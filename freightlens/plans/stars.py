@@ -116,6 +116,33 @@ def lane_pairs(b: Bound) -> DataFrame:
     )
 
 
+_PLACES = """{name} AS (SELECT {key} AS loc_id, '{kind}' AS type, CAST({key} % 40 AS VARCHAR) AS city,
+  ({key} * 37 % 1799) / 10.0 - 89.9 AS lat, ({key} * 211 % 3599) / 10.0 - 179.9 AS lon FROM {table})"""
+_PLACE_CTES = ", ".join(
+    _PLACES.format(name=n, key=k, kind=t, table=s)
+    for n, k, t, s in (("origin", "s_suppkey", "Origin", "supplier"), ("dest", "c_custkey", "Dest", "customer"))
+)
+
+
+@register(
+    f"""SELECT o.loc_id AS o_loc_id, d.loc_id AS d_loc_id, round({arc_sql('o.lat', 'o.lon', 'd.lat', 'd.lon')}, 4) AS miles,
+  CASE WHEN {arc_sql('o.lat', 'o.lon', 'd.lat', 'd.lon')} < 300 THEN 1 ELSE 2 END AS std_transit_days
+FROM origin o JOIN dest d ON o.city <> d.city AND {arc_sql('o.lat', 'o.lon', 'd.lat', 'd.lon')} <= 333.3""",
+    extra=_PLACE_CTES,
+)
+def lanes_within(b: Bound) -> DataFrame:
+    """Lanes from the places of suppliers to those of customers at most 333.3 miles away, all over the globe."""
+
+    def places(table: str, key: str, kind: str) -> DataFrame:
+        return b.table(table).selectExpr(
+            f"CAST({key} AS BIGINT) AS loc_id", f"'{kind}' AS type", f"CAST({key} % 40 AS STRING) AS city",
+            f"({key} * 37 % 1799) / 10.0D - 89.9D AS lat", f"({key} * 211 % 3599) / 10.0D - 179.9D AS lon",
+        )
+
+    loc = places("supplier", "s_suppkey", "Origin").unionByName(places("customer", "c_custkey", "Dest"))
+    return joins.lanes_within(loc, 333.3).select("o_loc_id", "d_loc_id", F.round("miles", 4).alias("miles"), "std_transit_days")
+
+
 @register("""SELECT shipment_id, leg_id, CAST(p.price AS DOUBLE) AS price FROM fact_shipment f
 ASOF LEFT JOIN weekly_price p ON CAST(f.pickup_plan_ts AS DATE) >= p.week""")
 def asof_weekly_price(b: Bound) -> DataFrame:

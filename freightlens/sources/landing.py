@@ -78,11 +78,11 @@ def iso_utc(df: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none", mode: str = "overwrite") -> None:
     """CSV with a header, one folder of part files; columns that start with ``_`` are internal and left out."""
     public = [c for c in df.columns if not c.startswith("_")]
     (
-        iso_utc(df.select(*public)).write.mode("overwrite").options(**CSV_OPTIONS)
+        iso_utc(df.select(*public)).write.mode(mode).options(**CSV_OPTIONS)
         .option("compression", compression).csv(path)
     )
 

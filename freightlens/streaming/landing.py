@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from freightlens.operators.merge import latest_source
@@ -24,6 +25,24 @@ def stream_landing(
     return strictly_typed(reader.csv(folder), table, audit)
 
 
+def stream_landing_once(
+    spark: SparkSession, folder: str, table: str, replay_within: str, max_files: int | None = None, audit: bool = True
+) -> DataFrame:
+    """:func:`stream_landing` without the rows of files that are sent again.
+
+    A row counts once among the files that arrive within ``replay_within`` (an interval such as ``"7 days"``) of each
+    other: a file's arrival is its modification time, so nothing is too late to be taken, however old its own times are.
+    The state holds a hash per row of that time and no more.  Two rows are the same if all their columns are.
+    """
+    reader = spark.readStream.schema(raw_schema(table, audit)).options(**READ_OPTIONS)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    landed = reader.csv(folder).select("*", F.col("_metadata.file_modification_time").alias("_arrival"))
+    same = F.sha2(F.to_json(F.struct(*raw_schema(table, audit).names), {"ignoreNullFields": "false"}), 256)
+    marked = landed.withColumn("_row", same).withWatermark("_arrival", replay_within)
+    return strictly_typed(marked.dropDuplicatesWithinWatermark(["_row"]).drop("_arrival", "_row"), table, audit)
+
+
 def upsert_batch(root: str, table: str, now: datetime | Column) -> Callable[[DataFrame, int], None]:
     """The action of one micro-batch: its latest row per key, merged into the months of the table that it touches.
 

@@ -15,7 +15,7 @@ from freightlens.operators import merge
 from freightlens.plans import refresh as refreshing
 from freightlens.schemas import KEYS, TABLES
 from freightlens.sources import landing, warehouse
-from freightlens.streaming.landing import stream_landing, stream_upsert
+from freightlens.streaming.landing import stream_landing, stream_landing_once, stream_upsert
 
 NOW = datetime(2024, 6, 1)
 HEADER = "shipment_id,event_seq,event_type,event_ts,facility_loc_id,notes,load_date,update_date\n"
@@ -252,6 +252,51 @@ def test_stream_equals_batch_and_replay(spark, make, tmp_path):
     assert after.filter(F.col("notes") == "too old").count() == 0
 
 
+def test_replayed_files_count_once(spark, tmp_path):
+    """Files sent twice, in one run and in a later one, against the batch of all distinct rows; state does not pile up."""
+    import os
+    import time
+
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    now = time.time()
+
+    def send(name, days, *lines):
+        put(folder / name, *lines)
+        os.utime(folder / name, (now + 86400 * days,) * 2)
+
+    def run():
+        stream = stream_landing_once(spark, str(folder), "fact_event", "2 days", max_files=1)
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    old, new = line("S1", 1, "very old", "2001-01-01T00:00:00+00:00"), line("S1", 2, "n", "2024-01-01T00:00:00+00:00")
+    nulls = "S3,,,,,,,"
+    send("a.csv", 0, old, new, new)
+    send("b.csv", 0.1, new, old, nulls)
+    run()
+    send("c.csv", 1, nulls, old, line("S2", 1, "late", "1999-01-01T00:00:00+00:00"))
+    run()
+    batch = landing.read_landing_csv(spark, str(folder), "fact_event").distinct()
+    assert rows(spark.read.parquet(out)) == rows(batch)
+    send("d.csv", 30, line("S9", 1, "x", "2024-01-01T00:00:00+00:00"))
+    send("e.csv", 60, line("S9", 2, "x", "2024-01-01T00:00:00+00:00"))
+    assert run() <= 2, "rows of files that arrived long ago leave the state"
+    assert rows(spark.read.parquet(out)) == rows(landing.read_landing_csv(spark, str(folder), "fact_event").distinct())
+
+
+def test_loads_count_themselves(spark, make, tmp_path):
+    zone = tmp_path / "zone"
+    legs = [{"shipment_id": f"S{i}", "leg_id": 1, "status": s, "delivery_actual_ts": at("2024-01-02") if i else None} for i, s in enumerate(("Delivered", "Lost", None))]
+    for t in TABLES:
+        landing.write_csv(make(t, legs if t == "fact_shipment" else []), str(zone / f"{t}.csv"))
+    found = {(r.check, r.item): r.value for r in refreshing.refresh(spark, str(zone), str(tmp_path / "wh"), NOW).collect()}
+    counts = {c: n for (c, t), n in found.items() if t == "FACT_SHIPMENT" and c.startswith("loaded_")}
+    assert counts == {"loaded_rows": 3, "loaded_delivered": 2, "loaded_in_flight": 1, "loaded_status_out_of_domain": 1}
+    assert found["loaded_rows", "DIM_LANE"] == 0 and found["loaded_event_type_out_of_domain", "FACT_EVENT"] == 0
+
+
 def test_refresh_twice_and_late_update(spark, make, tmp_path):
     zone, root = tmp_path / "zone", str(tmp_path / "wh")
     data = {t: [] for t in TABLES} | {

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import random
 from datetime import date, timedelta
 
 import pytest
 from conftest import rows
 
-from freightlens.operators import dims, quality
+from freightlens.operators import dims, joins, quality
 from freightlens.plans import binding
 from freightlens.schemas import TABLES
 
@@ -150,3 +152,34 @@ def test_with_ordinal_spans_partitions(spark):
     frame = spark.range(1000).repartition(7)
     got = dims.with_ordinal(frame, "id").orderBy("id").collect()
     assert [(r.id, r.ordinal) for r in got] == [(i, i + 1) for i in range(1000)]
+
+
+@pytest.mark.parametrize("miles", [0, 60, 700, 3000, 30000])
+def test_places_within_a_distance_against_brute_force(spark, miles):
+    """Over the date line and the poles, with a crowd in one spot and places without coordinates."""
+    rng = random.Random(miles)
+    spots = [(90.0, 0.0), (89.9, 170.0), (89.9, -10.0), (-90.0, 5.0), (-89.5, 100.0), (0.0, 180.0), (0.0, -180.0), (0.3, 179.8), (0.2, -179.9)]
+    spots += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(120)] + [(40.0, -75.0)] * 30
+    spots += [(rng.uniform(84, 90), rng.uniform(-180, 180)) for _ in range(30)] + [(None, 1.0), (1.0, None)]
+    places = spark.createDataFrame([(i, f"c{i % 50}", *s) for i, s in enumerate(spots)], "loc_id long, city string, lat double, lon double")
+
+    def apart(a, b):
+        (la, lo), (lb, mo) = ([math.radians(x) for x in p] for p in (a, b))
+        chord = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin((mo - lo) / 2) ** 2
+        return 2 * 3958.8 * math.asin(min(1.0, math.sqrt(chord)))
+
+    known = [(i, s) for i, s in enumerate(spots) if None not in s]
+    expected = {(i, j) for i, a in known for j, b in known if apart(a, b) <= miles}
+    found = joins.places_within(places, places, miles)
+    pairs = [(r.o_loc_id, r.d_loc_id) for r in found.select("o_loc_id", "d_loc_id").collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == expected
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_lanes_within(spark):
+    rows_ = [(1, "Origin", "A", 40.0, -75.0), (2, "Dest", "A", 40.0, -75.0), (3, "Dest", "B", 41.0, -75.0), (4, "Dest", "C", 60.0, -75.0)]
+    loc = spark.createDataFrame(rows_, "loc_id long, type string, city string, lat double, lon double")
+    assert rows(joins.lanes_within(loc, 100), "o_loc_id", "d_loc_id", "std_transit_days") == [(1, 3, 1)]
+    with pytest.raises(ValueError):
+        joins.lanes_within(loc, -1)
