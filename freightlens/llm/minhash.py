@@ -9,11 +9,12 @@
    class with fewer than m others posts nothing.  All other tokens are skipped until two classes meet: a meeting counts
    all their collisions, and only under the rarest token that they both posted.
 4. Lists of up to ``SHORT`` classes are paired in place.  In a longer list each class meets the list's first one only.
-   What that leaves apart, and nothing else, meets in blocks: with components known, classes outside a list's largest
-   component meet all of the list.  So no link between components is lost, and a large group of copies, linked
-   through its first class, is never paired.
 5. Candidates are confirmed on full sets, in tiles: the texts that a tile's pairs need come once, and pairs that earlier
    links of the tile have connected are passed over.
+6. What long lists then leave apart, and nothing else, is compared in blocks of full sets: of the classes that long lists
+   hold together, those outside the largest component meet all.  A block counts all its pairs as a product of 0/1
+   matrices and returns only links that connect.  So no link between components is lost, no pair becomes a row, and a
+   large group of copies that are linked through its first class is never paired.
 """
 
 from __future__ import annotations
@@ -144,45 +145,141 @@ def short_pairs(posted: DataFrame, percent: int = PERCENT, short: int = SHORT) -
     )
 
 
-def first_pairs(long_lists: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (tile, a, b) of the classes of long lists with their list's first class."""
+def list_heads(long_lists: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """(node, head, holders, near): the classes of long lists and the first class of each list they are in, and whether the
+    two may match.  Lists of one group of copies have one first class, so a class has few."""
     heads = long_lists.groupBy("token").agg(
         F.min(F.struct("node", "n", "signature")).alias("head"), F.max("holders").alias("holders")
     )
     heads = heads.select("token", "head.*", _slots("holders", block).alias("slot")).alias("y")
     x = long_lists.withColumn("slot", _slot("node", "holders", block)).alias("x")
-    met = x.join(heads, _on("token", "slot")).where((F.col("x.node") != F.col("y.node")) & _may_match(percent))
-    met = met.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"), F.col("x.holders").alias("holders"))
-    # Lists of one group of copies have one first class, so their pairs are the same.
-    once = met.groupBy("a", "b").agg(F.max("holders").alias("holders"))
-    return once.select(F.xxhash64(F.lit(1), "a", _slot("b", "holders", TILE)).alias("tile"), "a", "b")
+    met = x.join(heads, _on("token", "slot")).where(F.col("x.node") != F.col("y.node"))
+    met = met.select(
+        F.col("x.node").alias("node"), F.col("y.node").alias("head"), F.col("x.holders").alias("holders"),
+        _may_match(percent).alias("near"),
+    )
+    return met.groupBy("node", "head").agg(F.max("holders").alias("holders"), F.max("near").alias("near"))
+
+
+def head_pairs(heads: DataFrame) -> DataFrame:
+    """Candidate pairs (tile, a, b) of the classes of long lists with their lists' first classes."""
+    tile = F.xxhash64(F.lit(1), "head", _slot("node", "holders", TILE))
+    return heads.where("near").select(tile.alias("tile"), F.col("head").alias("a"), F.col("node").alias("b"))
+
+
+def class_texts(nodes: DataFrame, distinct: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, set_key and text of some classes: of each the texts of its first document's id."""
+    names = nodes.join(distinct.select("node", "first_id", "set_key"), "node")
+    texts = id_and_text(docs)
+    return names.join(texts, names["first_id"] == texts["doc_id"]).select("node", "set_key", "text")
 
 
-def far_pairs(long_lists: DataFrame, roots: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (tile, a, b) of classes of long lists that are in different components.
+def _has_key(hashes: np.ndarray, key: bytes) -> bool:
+    """Another text of a document that the table repeats has another key."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() == key
 
-    The classes of a list that are outside its largest component meet all its classes, in groups of ``block`` by
-    ``block``.  A list that is one component is done.
+
+def class_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """node and its set, sorted hashes as bytes."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(n.as_py(), shingle_hashes(t.as_py(), words), k.as_py()) for n, t, k in zip(*(batch.column(c) for c in ("node", "text", "set_key")))]
+            own = [(n, s.tobytes()) for n, s, k in found if _has_key(s, k)]
+            yield pa.record_batch([pa.array([n for n, _ in own], pa.int64()), pa.array([s for _, s in own], pa.binary())], names=["node", "set"])
+
+    return texts.mapInArrow(make, "node long, set binary").dropDuplicates(["node"])
+
+
+def common(a: list[np.ndarray], b: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all sets of ``b``, exact: products of 0/1 matrices over the
+    elements that both sides have, so many columns at a time."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    sides = []
+    for sets in (a, b):
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])))
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    at = [(np.searchsorted(both, v), v, r) for v, r in sides]
+    at = [(i[m], r[m]) for i, v, r in at for m in [(i < len(both)) & (both[np.minimum(i, len(both) - 1)] == v)]] if len(both) else []
+    for start in range(0, len(both), columns):
+        marks = []
+        for (i, r), sets in zip(at, (a, b)):
+            mark = np.zeros((len(sets), min(columns, len(both) - start)), np.float32)
+            inside = (i >= start) & (i < start + columns)
+            mark[r[inside], i[inside] - start] = 1
+            marks.append(mark)
+        out += marks[0] @ marks[1].T
+    return out.astype(np.int64)
+
+
+def far_links(
+    heads: DataFrame, roots: DataFrame, distinct: DataFrame, docs: DataFrame, words: int = WORDS,
+    percent: int = PERCENT, block: int = TILE,
+) -> DataFrame:
+    """Links (a, b) between components (``roots``: node, root) that meet in long lists, enough to connect all that full sets
+    link.
+
+    Classes of long lists that share a list, directly or over others, are a family.  Of a family the classes outside its
+    largest component meet all its classes, in blocks of about ``block`` by ``block`` sets, where every pair is counted
+    exactly and only links that connect are returned.  A family that is one component is done.
     """
-    known = long_lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    known = materialize(known, "long-lists")
-    sizes = known.groupBy("token", "root").agg(F.count(F.lit(1)).alias("size"), F.max("holders").alias("holders"))
-    lists = sizes.groupBy("token").agg(
-        F.max(F.struct("size", "root")).alias("most"), F.sum("size").alias("whole"), F.max("holders").alias("holders")
-    )
+    families = components(heads.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    known = families.select("node", F.col("root").alias("family")).join(roots, "node", "left")
+    known = materialize(known.withColumn("root", F.coalesce("root", "node")), "families")
+    sizes = known.groupBy("family", "root").agg(F.count(F.lit(1)).alias("size"))
+    lists = sizes.groupBy("family").agg(F.max(F.struct("size", "root")).alias("most"), F.sum("size").alias("whole"))
     lists = lists.withColumn("rest", F.col("whole") - F.col("most.size")).where("rest > 0")
-    lists = lists.select("token", "whole", "rest", F.col("most.root").alias("main"), _slots("holders", block).alias("slot"))
-    rows = known.withColumn("slot", _slot("node", "holders", block)).join(lists, ["token", "slot"])
-    outside = F.col("root") != F.col("main")
-    x = rows.where(outside).withColumn("rest_slot", _slot("node", "rest", block)).withColumn("whole_slot", _slots("whole", block))
-    y = rows.withColumn("whole_slot", _slot("node", "whole", block)).withColumn("rest_slot", _slots("rest", block))
-    met = x.alias("x").join(y.alias("y"), _on("token", "rest_slot", "whole_slot"))
-    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    met = met.where((F.col("x.root") != F.col("y.root")) & once & _first_meeting() & _may_match(percent))
-    sides = [_slot(f"{s}.node", "x.holders", TILE) for s in ("x", "y")]
-    return met.select(
-        F.xxhash64(F.lit(2), "x.token", *sides).alias("tile"), F.col("x.node").alias("a"), F.col("y.node").alias("b")
-    )
+    # A family's figures reach its classes over as many keys as SHORT, as it may hold a large share of them.
+    spread = F.explode(F.sequence(F.lit(0), F.lit(SHORT - 1)))
+    lists = lists.select("family", "whole", "rest", F.col("most.root").alias("main"), spread.alias("part"))
+    part = F.pmod(F.xxhash64(F.lit(7), "node"), F.lit(SHORT)).cast("int")
+    rows = materialize(known.withColumn("part", part).join(lists, ["family", "part"]).drop("part"), "far-rows")
+    sets = class_sets(class_texts(rows.select("node"), distinct, docs), words)
+    x = rows.where("root <> main").select("*", F.lit(0).alias("side"), _slot("node", "rest", block).alias("r"), _slots("whole", block).alias("w"))
+    y = rows.select("*", F.lit(1).alias("side"), _slots("rest", block).alias("r"), _slot("node", "whole", block).alias("w"))
+    both = x.unionByName(y).select(F.xxhash64("family", "r", "w").alias("key"), "side", "node", "root")
+    dealt = both.join(sets, "node").repartition("key").sortWithinPartitions("key", "side", "node")
+
+    def links(block_rows: list[list]) -> list[tuple[int, int]]:
+        a, b = ([r for r in block_rows if r[0] == side] for side in (0, 1))
+        if not a or not b:
+            return []
+        sides = [[np.frombuffer(r[2], np.uint64) for r in s] for s in (a, b)]
+        n, m = (np.array([len(s) for s in side], np.int64) for side in sides)
+        shared = common(*sides)
+        close = 100 * shared >= percent * (n[:, None] + m[None, :] - shared)
+        above: dict[int, int] = {}
+
+        def top(v: int) -> int:
+            while above.get(v, v) != v:
+                v = above[v]
+            return v
+
+        found = []
+        for i, j in zip(*np.nonzero(close)):
+            p, q = top(a[i][1]), top(b[j][1])
+            if p != q:
+                above[max(p, q)] = min(p, q)
+                found.append((a[i][1], b[j][1]))
+        return found
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, waiting = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if found := links(waiting):
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+
+        for batch in batches:
+            keys, side, root = (batch.column(c).to_pylist() for c in ("key", "side", "root"))
+            for k, s, r, v in zip(keys, side, root, batch.column("set")):
+                if k != now:
+                    yield from done()
+                    now, waiting = k, []
+                waiting.append([s, r, v.as_py()])
+        yield from done()
+
+    return materialize(dealt.mapInArrow(compare, "a long, b long"), "far-links")
 
 
 def confirmed(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -191,9 +288,7 @@ def confirmed(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, words: int
     pairs = materialize(pairs, "pairs")
     sides = F.explode(F.array("a", "b")).alias("node")
     need = pairs.select("tile", sides).distinct()
-    names = need.select("node").distinct().join(distinct.select("node", "first_id", "set_key"), "node")
-    texts = id_and_text(docs)
-    texts = names.join(texts, names["first_id"] == texts["doc_id"]).select("node", "set_key", "text")
+    texts = class_texts(need.select("node").distinct(), distinct, docs)
     none = F.lit(None)
     rows = need.join(texts, "node").select(
         "tile", F.col("node").alias("a"), none.cast("long").alias("b"), "set_key", "text"
@@ -216,8 +311,7 @@ def confirmed(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, words: int
                     now, sets, above = tile, {}, {}
                 if b is None:
                     found = shingle_hashes(text.as_py(), words)
-                    # Another text of a document that the table repeats has another key.
-                    if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == key.as_py():
+                    if _has_key(found, key.as_py()):
                         sets[a] = found
                 elif top(a) != top(b) and similar(sets[a], sets[b], percent):
                     above[top(a)] = top(b)
@@ -245,15 +339,16 @@ def near_duplicates(
     placed = ordered(found.where(linkable), "set_key", "doc_id")
     distinct = materialize(classes(placed), "classes")
     posted = materialize(postings(distinct), "postings")
-    long_lists = posted.where(F.col("holders") > short)
-    near = short_pairs(posted, percent, short).unionByName(first_pairs(long_lists, percent, block))
-    links = confirmed(near, distinct, docs, words, percent)
-    roots = components(links)
-    far = confirmed(far_pairs(long_lists, roots, percent, block), distinct, docs, words, percent)
-    if not far.isEmpty():
-        roots = components(links.unionByName(far))
+    heads = materialize(list_heads(posted.where(F.col("holders") > short), percent, block), "heads")
+    near = short_pairs(posted, percent, short).unionByName(head_pairs(heads))
+    roots = materialize(components(confirmed(near, distinct, docs, words, percent)), "roots")
+    far = far_links(heads, roots, distinct, docs, words, percent, min(block, TILE))
     rooted = distinct.select("set_key", "node", "first_id", "size").join(roots, "node", "left")
-    rooted = materialize(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    if not far.isEmpty():
+        joined = components(far).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        rooted = rooted.join(joined, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+    rooted = materialize(rooted, "rooted")
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     # A class's documents are a run of places; they learn its component block by block.
     runs = rooted.join(names, "root").select("set_key", "component_id", blocks("node", "size", MEMBERS).alias("block"))

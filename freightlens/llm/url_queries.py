@@ -60,6 +60,8 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _URL = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)"
 _DRAW = ", ".join(f"('0x' || substr(md5(key), {1 + 6 * i}, 6))::BIGINT AS r{i}" for i in range(5))
+#: A list key as captures have it: the host lower-case, the path as it is.
+_KEY = "lower(split_part(key, '/', 1)) || substr(key, length(split_part(key, '/', 1)) + 1)"
 _ZERO = f"DATE '{DAY_ZERO}'"
 
 ORACLE = f"""
@@ -77,11 +79,11 @@ keyed AS (
   FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM page WHERE host <> '')),
 drawn AS (SELECT key, {_DRAW} FROM (SELECT DISTINCT key FROM keyed)),
 entry AS (
-  SELECT 'abuse' AS list_name, 'block' AS kind, lower(key) AS key, true AS listed, r1 % 500 AS day FROM drawn WHERE r0 % 3 = 0
-  UNION ALL SELECT 'abuse', 'block', lower(key), false, r1 % 500 + 30 + r2 % 200 FROM drawn WHERE r0 % 3 = 0 AND r3 % 2 = 0
-  UNION ALL SELECT 'abuse', 'block', lower(key), true, r1 % 500 + 90 + r2 % 200 FROM drawn
+  SELECT 'abuse' AS list_name, 'block' AS kind, {_KEY} AS key, true AS listed, r1 % 500 AS day FROM drawn WHERE r0 % 3 = 0
+  UNION ALL SELECT 'abuse', 'block', {_KEY}, false, r1 % 500 + 30 + r2 % 200 FROM drawn WHERE r0 % 3 = 0 AND r3 % 2 = 0
+  UNION ALL SELECT 'abuse', 'block', {_KEY}, true, r1 % 500 + 90 + r2 % 200 FROM drawn
             WHERE r0 % 3 = 0 AND r3 % 2 = 0 AND r4 % 5 = 0
-  UNION ALL SELECT 'partners', 'allow', lower(key), true, 0 FROM drawn WHERE r0 % 7 = 0),
+  UNION ALL SELECT 'partners', 'allow', {_KEY}, true, 0 FROM drawn WHERE r0 % 7 = 0),
 day AS (SELECT list_name, kind, key, day, bool_or(listed) AS listed FROM entry GROUP BY ALL),
 span AS (
   SELECT *, lead(day) OVER (PARTITION BY list_name, kind, key ORDER BY day) AS until FROM day),

@@ -304,20 +304,28 @@ def test_minhash_of_nothing(texts):
     assert got == sorted([(1, 0, 1, True), (2, 0, 2, True), (None, 1, None, True)], key=str)
 
 
-def test_first_meetings_of_a_close_group_are_few(spark, texts):
-    """A group whose classes all resemble its first one costs a pair each, and leaves nothing to the second pass."""
+def test_a_close_group_is_never_paired(texts):
+    """A group whose classes all resemble its first one costs a pair each, and leaves nothing to the blocks."""
     rng = random.Random(6)
     base = [f"g{i}" for i in range(400)]
-    table = texts([(0, " ".join(base))] + [(i, edited(rng, base, 1)) for i in range(1, 200)])
-    placed = ordered(minhash.prints(table).where("n_shingles > 0"), "set_key", "doc_id")
+    table = texts([(i, edited(rng, base, 1)) for i in range(200)])
+    placed = ordered(minhash.prints(table), "set_key", "doc_id")
     distinct = minhash.classes(placed)
     posted = minhash.postings(distinct)
-    long_lists = posted.where("holders > 20")
-    assert 0 < minhash.first_pairs(long_lists).count() <= 20 * 200
-    links = minhash.confirmed(minhash.short_pairs(posted, short=20).unionByName(minhash.first_pairs(long_lists)), distinct, table)
-    roots = minhash.components(links)
-    if roots.select("root").distinct().count() == 1 and roots.count() == 200:
-        assert minhash.far_pairs(long_lists, roots).count() == 0
+    heads = minhash.list_heads(posted.where("holders > 20"))
+    pairs = minhash.head_pairs(heads)
+    assert 150 < pairs.count() <= 5 * 200
+    roots = minhash.components(minhash.confirmed(pairs, distinct, table))
+    assert roots.select("root").distinct().count() == 1
+    assert minhash.far_links(heads, roots, distinct, table).count() == 0
+
+
+def test_common_elements_of_sets():
+    rng = np.random.default_rng(7)
+    a, b = ([np.unique(rng.integers(0, 200, rng.integers(1, 60)).astype(np.uint64)) for _ in range(k)] for k in (7, 9))
+    for columns in (1, 50, 4096):
+        assert minhash.common(a, b, columns).tolist() == [[len(set(x) & set(y)) for y in b] for x in a]
+    assert minhash.common(a, [np.array([999], np.uint64)]).tolist() == [[0]] * 7
 
 
 # --- registered SQL -----------------------------------------------------------------------------------------------
