@@ -217,6 +217,21 @@ def update_table(
     source or that one of its rows belongs to are read and rewritten.  ``feed(before, after)`` is called before the table
     is touched, with the fact's rows of the source's keys as they are and as they will be.
     """
+    source = source.persist()  # read for its keys, its months and its rows
+    try:
+        return _update(source, root, table, keys, merge, feed)
+    finally:
+        source.unpersist()
+
+
+def _update(
+    source: DataFrame,
+    root: str,
+    table: str,
+    keys: Sequence[Column],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    feed: Callable[[DataFrame, DataFrame], None] | None,
+) -> list[int | None] | None:
     spark = source.sparkSession
     if source.isEmpty():
         return None
