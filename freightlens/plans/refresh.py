@@ -78,7 +78,7 @@ def refresh(
     for table in TABLES:
         loaded = read_landing_csv(spark, landing_path(spark, landing, table), table)
         counted, loads[table] = observed(merge.latest_source(loaded, table), table)
-        write_table(counted, stage, table)
+        write_table(counted, stage, table, by_month=False)
     for table in TABLES:
         source = read_edw(spark, stage, table)
         if table == "fact_shipment":

@@ -117,7 +117,7 @@ def _save(df: DataFrame, path: str, table: str, mode: str, overwrite: str = "sta
     Rows of a month are brought together first, in pieces of the session's advisory size: a month is neither as many
     small files as there are tasks nor the work of a single one.
     """
-    if table in PART_TIMES:
+    if MONTH in df.columns:
         writer = df.hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH)
     else:
         writer = df.write
@@ -132,14 +132,17 @@ def _laid_out(df: DataFrame, table: str) -> DataFrame:
     return df.withColumn(MONTH, month_of(table) if known else F.lit(None).cast("int"))
 
 
-def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite", by_month: bool = True) -> None:
     """Write a table: ``overwrite`` replaces its rows, ``append`` adds to them.
 
-    Rows that replace others may be read from the table itself; they pass through the scratch folder.
+    Rows that replace others may be read from the table itself; they pass through the scratch folder.  Without
+    ``by_month`` a fact is one folder, for tables that are read whole and never merged into.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
-    spark, path, rows = df.sparkSession, f"{root}/{table}", _laid_out(_declared(df, table), table)
+    spark, path, rows = df.sparkSession, f"{root}/{table}", _declared(df, table)
+    if by_month:
+        rows = _laid_out(rows, table)
     if mode == "overwrite" and _table(spark, root, table) is not None:
         staged = scratch_path(spark, table)
         _save(rows, staged, table, "errorifexists")
@@ -239,13 +242,18 @@ def _update(
         write_table(merge(read_edw(spark, root, table), source), root, table)
         return []
     comes = _entries(source.withColumn(MONTH, month_of(table)), keys)
+    target = _table(spark, root, table)
+    if target is None:
+        none = spark.createDataFrame([], typed_schema(table))
+        merged = merge(none, source)
+        if feed is not None:
+            feed(none, merged)
+        _save(_laid_out(merged, table), f"{root}/{table}", table, "overwrite")
+        return sorted(_months(comes), key=str)
     index = key_index(spark, root, table, keys)
     known = holding_months(index, comes)
     touched = _months(comes) | _months(known)
     fresh = comes.join(known, [F.equal_null(comes[c], known[c]) for c in comes.columns], "left_anti").distinct()
-    target = _table(spark, root, table)
-    if target is None:
-        target = spark.createDataFrame([], typed_schema(table)).withColumn(MONTH, F.lit(None).cast("int"))
     old = target.where(_in(MONTH, sorted(touched, key=str))).drop(MONTH)
     merged = merge(old, source)
     staged = scratch_path(spark, table)
