@@ -334,3 +334,46 @@ def test_load_model(spark, make, tmp_path):
         assert found["row_count", "DIM_CUSTOMER"] == 1 and found["dup_pk", "DIM_CUSTOMER"] == 0
     model = warehouse.read_edw(spark, str(tmp_path / "m"), "dim_customer", audit=False)
     assert rows(model) == [(1, "new", None, None)]
+
+
+def test_compressed_landing_files_are_bounded(spark, make, tmp_path, monkeypatch):
+    """A compressed file cannot be split, so one holds a bounded number of rows."""
+    monkeypatch.setattr(landing, "ROWS_PER_FILE", 10, raising=False)
+    customers = make("dim_customer", [{"customer_id": i, "name": f"n{i}"} for i in range(45)]).coalesce(1)
+    landing.write_csv(customers, str(tmp_path / "dim_customer.csv"), compression="gzip")
+    assert len(list((tmp_path / "dim_customer.csv").glob("*.csv.gz"))) == 5
+    assert landing.read_landing_csv(spark, str(tmp_path / "dim_customer.csv"), "dim_customer").count() == 45
+
+
+def test_replaced_rows_leave_no_copy_and_months_move_without_shuffle(spark, make, tmp_path, monkeypatch):
+    """The scratch copy of a rewrite is given back, and rows that lie by month are not shuffled again."""
+    staged, hints = [], []
+    scratch, hint = warehouse.scratch_path, type(spark.range(1)).hint
+
+    def path(session, label):
+        staged.append(scratch(session, label))
+        return staged[-1]
+
+    def hinted(df, name, *on):
+        hints.append(name)
+        return hint(df, name, *on)
+
+    monkeypatch.setattr(warehouse, "scratch_path", path)
+    monkeypatch.setattr(type(spark.range(1)), "hint", hinted)
+    costs = make("fact_cost", [{"shipment_id": f"S{i}", "load_date": at(f"2024-0{1 + i % 3}-01")} for i in range(30)])
+    for _ in range(2):
+        warehouse.write_table(costs, str(tmp_path / "edw"), "fact_cost")
+    assert len(staged) == 1 and spark.read.parquet(staged[0]).count() == 0
+    assert hints == ["rebalance"] * 2, "once per set of rows, not once more for the copy"
+    warehouse.publish_snapshot(spark, str(tmp_path / "edw"), str(tmp_path / "bi"), ["fact_cost"])
+    assert hints == ["rebalance"] * 2
+    months = [f.rsplit("/", 2)[1] for f in spark.read.parquet(str(tmp_path / "bi/fact_cost")).inputFiles()]
+    assert set(months) == {"part_month=202401", "part_month=202402", "part_month=202403"}
+    assert rows(warehouse.read_edw(spark, str(tmp_path / "bi"), "fact_cost")) == rows(costs)
+
+
+def test_session_keeps_no_shuffle_files_of_finished_jobs(spark):
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert rows(grouped) == rows(grouped), "a frame that is run again makes its shuffle again"

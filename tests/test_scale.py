@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from freightlens.operators import filters, joins, kpis, merge, quality, shaping
 from freightlens.schemas import KEYS, typed_schema
+from freightlens.plans.registry import Bound
 from freightlens.sources import warehouse
 
 N = 6000
@@ -182,3 +183,24 @@ def test_fk_checks_read_the_fact_once(spark, skewed):
     assert plan(coverage).count("carrier_id#") and plan(coverage).count("fact_shipment") == 1
     missing = dict(rows(coverage))
     assert missing["CARRIER_ID"] == sum(i % 7 > 4 for i in range(N)) and missing["CUSTOMER_ID"] == 0
+
+
+def test_stored_star_joins_its_lines_once(spark, tmp_path):
+    """Facts of a star over stored lines are read from files, without the joins."""
+    day = "TIMESTAMP_NTZ '2024-01-01'"
+    tables = {
+        "lineitem": f"id % 30 AS l_orderkey, CAST(id % 3 AS INT) AS l_linenumber, {day} + make_dt_interval(CAST(id AS INT)) AS l_shipdate, "
+        "id AS l_partkey, id % 4 AS l_suppkey, CAST(id % 50 AS DOUBLE) AS l_quantity, id * 1.5D AS l_extendedprice, 'R' AS l_returnflag, "
+        "'F' AS l_linestatus, 0.05D AS l_discount, 0.04D AS l_tax",
+        "orders": f"id AS o_orderkey, id % 5 AS o_custkey, {day} AS o_orderdate, 'F' AS o_orderstatus, '1-URGENT' AS o_orderpriority",
+        "customer": "id AS c_custkey, CAST(id AS INT) AS c_nationkey",
+    }
+    for name, columns in tables.items():
+        spark.range(90 if name == "lineitem" else 30).createOrReplaceTempView("ids")
+        spark.sql(f"SELECT {columns} FROM ids").write.parquet(str(tmp_path / f"{name}.parquet"))
+    bound = Bound(spark, str(tmp_path))
+    for fact in ("fact_shipment", "fact_event", "fact_cost"):
+        text = plan(bound.stored_star[fact])
+        assert "Exchange" not in text and "Join" not in text and text.count("FileScan parquet") == 1
+    costs = rows(bound.stored_star["fact_cost"])
+    assert len(costs) > 30 and costs == rows(bound.star["fact_cost"])
