@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from freightlens.operators import filters, joins, kpis, merge, quality, shaping
 from freightlens.schemas import KEYS, typed_schema
 from freightlens.plans.registry import Bound
-from freightlens.sources import warehouse
+from freightlens.sources import bucketed, warehouse
 
 N = 6000
 
@@ -204,3 +204,7 @@ def test_stored_star_joins_its_lines_once(spark, tmp_path):
         assert "Exchange" not in text and "Join" not in text and text.count("FileScan parquet") == 1
     costs = rows(bound.stored_star["fact_cost"])
     assert len(costs) > 30 and costs == rows(bound.star["fact_cost"])
+
+
+def test_larger_tables_have_more_buckets():
+    assert [bucketed.buckets_for(n, 8) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
