@@ -2,7 +2,7 @@
 
 Shipments are numbered, and a day holds, per stretch of 32,768 numbers, one bitmap for each flag: whose number is set has
 the flag on that day.  A window joins the bitmaps of its days by OR and counts bits, so a shipment with legs on several
-days counts once, and nothing is shuffled by shipment.  A bitmap has 4 KB, whatever it holds; numbers should be dense.
+days counts once, and no window shuffles by shipment again.  A bitmap has 4 KB, whatever it holds; numbers should be dense.
 """
 
 from __future__ import annotations
@@ -26,14 +26,16 @@ def shipment_number(shipment_id: Column) -> Column:
 def daily_bitmaps(rows: DataFrame, day: Column, number: Column, flags: Mapping[str, Column]) -> DataFrame:
     """(day, stretch, one bitmap per flag) of rows.  Rows without day or number count nowhere; a null flag is not set.
 
-    Map tasks combine the bitmaps of a day before the shuffle.
+    What comes together is a row per day and number, combined in map tasks.  The rows of a stretch then meet in one task,
+    and only there become bitmaps, one after the other: bitmaps are neither held by map tasks nor shuffled.
     """
     marked = rows.select(day.alias("day"), number.alias("_n"), *[f.alias(k) for k, f in flags.items()])
     marked = marked.where(F.col("day").isNotNull() & F.col("_n").isNotNull())
+    once = marked.groupBy(F.bitmap_bucket_number("_n").alias("stretch"), "day", "_n").agg(*[F.max(k).alias(k) for k in flags])
     at = F.bitmap_bit_position("_n")
-    return marked.groupBy("day", F.bitmap_bucket_number("_n").alias("stretch")).agg(
-        *[F.bitmap_construct_agg(F.when(F.col(k), at)).alias(k) for k in flags]
-    )
+    # Grouped by stretch first, so that a window's bitmaps are joined in the order in which they are made.
+    made = once.repartition("stretch").groupBy("stretch", "day")
+    return made.agg(*[F.bitmap_construct_agg(F.when(F.col(k), at)).alias(k) for k in flags]).select("day", "stretch", *flags)
 
 
 def add_days(bitmaps: DataFrame, more: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from conftest import at, one, rows
 from pyspark.sql import functions as F
 
-from freightlens.operators import filters, joins, kpis, merge, quality, shaping
+from freightlens.operators import bitmaps, filters, joins, kpis, merge, quality, shaping
 from freightlens.schemas import KEYS, typed_schema
 from freightlens.plans.registry import Bound
 from freightlens.sources import bucketed, warehouse
@@ -206,5 +206,12 @@ def test_stored_star_joins_its_lines_once(spark, tmp_path):
     assert len(costs) > 30 and costs == rows(bound.star["fact_cost"])
 
 
+def test_bitmaps_are_made_after_the_shuffle(skewed):
+    """Before it a row is a day and a number; a bitmap of 4 KB for each would fill a map task."""
+    text = plan(bitmaps.otd_otif_rates(bitmaps.delivery_bitmaps(skewed["fact_shipment"]), *[F.lit(d).cast("date") for d in ("2024-01-01", "2024-12-31")]))
+    assert "bitmap_construct_agg" not in text[text.index("hashpartitioning(stretch"):]
+    assert "bitmap_construct_agg" in text
+
+
 def test_larger_tables_have_more_buckets():
     assert [bucketed.buckets_for(n, 8) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
