@@ -144,12 +144,25 @@ def _grid(miles: float) -> tuple[float, Column, Column]:
     return reach, F.lit(int(180 / reach)), cells.cast("long")
 
 
+#: Destinations of a grid cell that one task takes at once.
+PLACES_PER_HEAP = 2000
+
+
+def _with_vector(df: DataFrame, prefix: str) -> DataFrame:
+    """The unit vector of a place, as ``_<prefix>_x``, ``_y`` and ``_z``."""
+    lat, lon = (F.radians(F.col(f"{prefix}_{c}").cast("double")) for c in ("lat", "lon"))
+    vector = {"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)}
+    return df.withColumns({f"_{prefix}_{a}": v for a, v in vector.items()})
+
+
 def places_within(origins: DataFrame, dests: DataFrame, miles: float) -> DataFrame:
     """Pairs of places (loc_id, lat, lon, further columns) at most ``miles`` apart, columns prefixed ``o_`` and ``d_``, and
     their ``miles``.  A place without coordinates is near nothing.
 
     Places are put in the cells of a grid, and an origin meets the destinations of its own and the neighbouring cells, over
     the date line and the poles too; all pairs are never made.  The result is bounded by how many places are that near.
+    The destinations of a crowded cell are dealt into heaps, which its origins meet one by one, so no cell is the work of a
+    single task.  Most pairs that are too far apart are told by the product of their unit vectors, without trigonometry.
     """
     if miles < 0:
         raise ValueError("a distance is not negative")
@@ -169,8 +182,17 @@ def places_within(origins: DataFrame, dests: DataFrame, miles: float) -> DataFra
     asked = side(origins, "o").withColumn("band", F.explode(F.array(*[band("o_lat") + i for i in (-1, 0, 1)])))
     asked = asked.where(F.col("band").between(0, last)).withColumn("cells", cells).withColumn("lon", F.col("o_lon"))
     asked = asked.withColumn("cell", cell).withColumn("cell", F.explode(near)).drop("cells", "lon")
+    crowds = held.groupBy("band", "cell").agg(F.ceil(F.count(F.lit(1)) / PLACES_PER_HEAP).alias("_heaps"))
+    dealt = F.pmod(F.xxhash64(*[c for c in held.columns if c.startswith("d_")]), F.col("_heaps"))
+    held = _with_vector(held.join(crowds, ["band", "cell"]).withColumn("_heap", dealt).drop("_heaps"), "d")
+    asked = asked.join(crowds, ["band", "cell"]).withColumn("_heap", F.explode(F.expr("sequence(0L, _heaps - 1L)")))
+    asked = _with_vector(asked.drop("_heaps"), "o")
+    # A little more than the distance: rounding never loses a pair here, the distance itself decides.
+    product = sum((F.col(f"_o_{a}") * F.col(f"_d_{a}") for a in "xyz"), F.lit(0.0))
+    near = product >= math.cos(min(miles / rating.EARTH_RADIUS_MILES, math.pi)) - 1e-9
     apart = rating.haversine_miles(*[F.col(c).cast("double") for c in ("o_lat", "o_lon", "d_lat", "d_lon")])
-    return asked.join(held, ["band", "cell"]).withColumn("miles", apart).where(F.col("miles") <= miles).drop("band", "cell")
+    found = asked.join(held, ["band", "cell", "_heap"]).where(near).withColumn("miles", apart).where(F.col("miles") <= miles)
+    return found.drop("band", "cell", "_heap", *[f"_{p}_{a}" for p in "od" for a in "xyz"])
 
 
 def lanes_within(loc: DataFrame, miles: float) -> DataFrame:

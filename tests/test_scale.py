@@ -215,3 +215,12 @@ def test_bitmaps_are_made_after_the_shuffle(skewed):
 
 def test_larger_tables_have_more_buckets():
     assert [bucketed.buckets_for(n, 8) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
+
+
+def test_a_crowded_cell_is_dealt_out(spark, monkeypatch):
+    """Places that all lie in one cell of the grid meet in many tasks."""
+    monkeypatch.setattr(joins, "PLACES_PER_HEAP", 3, raising=False)
+    places = spark.createDataFrame([(i, 90.0 - i % 7 / 1000, float(i)) for i in range(60)], "loc_id long, lat double, lon double")
+    found = joins.places_within(places, places, 50)
+    assert found.count() == 3600 and found.columns == ["o_loc_id", "o_lat", "o_lon", "d_loc_id", "d_lat", "d_lon", "miles"]
+    assert "_heap" in plan(found)
