@@ -1,24 +1,31 @@
 """Stupid-backoff language model scores, as joins.
 
-1. Words are counted over all documents; the most frequent ones get numbers, all others share number 0.
-2. N-grams of numbers are counted in each task, then by hash over tasks.  Those with at least ``least`` occurrences make
-   up the tables, one per order, with the log of the count over the count of the context.
+1. Words are counted over all documents; the most frequent ones get numbers, all others have number 0 and their text.
+2. N-grams, of numbers and of the text of the words that have none, are counted in each task, then by hash over tasks.
+   Those with at least ``least`` occurrences make up the tables, one per order, with the log of the count over the count
+   of the context.
 3. Documents are exploded to n-grams, and each row meets the table of its order.  A row that finds nothing goes on one
    order lower, at the price of log(``backoff``); single words always have a score.  Scores are summed per document.
 
 An n-gram that makes up more than one in ``HOT_SHARE`` of all of its order is hot.  There are fewer than ``HOT_SHARE`` of
 them, so their scores are broadcast and added up where documents are read; what is exploded has no large group left.
+
+No word is left out of the model: numbers only make the keys of most n-grams short.  A word without a number that ends an
+n-gram is looked up as a single word by a row of its own, beside the n-gram.  Its row gives what the single word gives
+after backing off, and a table entry that ends in such a word holds the difference to that; so one join does for both.
+Documents are scored in ``SLICES`` jobs, one after another, so that the exploded rows of all never lie on disk at once.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import id_and_text, materialize
@@ -29,6 +36,8 @@ VOCABULARY, ORDER, LEAST, BACKOFF = (1 << BITS) - 1, 2, 2, 0.4
 HOT_SHARE = 400_000
 #: Distinct words that a task counts before it hands them on.
 TASK_WORDS = 500_000
+#: Jobs that score a share of the documents each.
+SLICES = 3
 
 
 def split(text: str) -> list[bytes]:
@@ -58,31 +67,34 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Numbers of the most frequent words, and the log share of each number; 0 is all other words."""
+    """Numbers of the most frequent words, and the log share of each number; 0 is any other word."""
 
     def __init__(self, words: list[bytes], counts: list[int], total: int):
         self.numbers = {w: i + 1 for i, w in enumerate(words)}
         self.counts = np.array([total - sum(counts), *counts], np.int64)
         self.scores = np.log(np.maximum(self.counts, 0.5) / max(total, 1))
 
-    def read(self, text: str) -> np.ndarray:
-        get = self.numbers.get
-        return np.array([get(w, 0) for w in split(text)], np.int64)
+    def read(self, text: str) -> tuple[np.ndarray, list[bytes]]:
+        """The numbers of a text's words, and the words that have none, empty where there is a number."""
+        get, words = self.numbers.get, split(text)
+        ids = [get(w, 0) for w in words]
+        return np.array(ids, np.int64), [b"" if i else w for i, w in zip(ids, words)]
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY, least: int = LEAST) -> Vocabulary:
-    """The most frequent words, at most ``size`` (65,535 at most), and the total of all.
+def vocabulary(docs: DataFrame, size: int = VOCABULARY, least: int = LEAST) -> tuple[Vocabulary, DataFrame]:
+    """The most frequent words, at most ``size`` (65,535 at most), with the total of all; and all other words that occur
+    twice or more (word, n), which stay a table.
 
-    Words below the ``least`` count, and all words of the count at which ``size`` would be exceeded, are left out; so
+    Words below the ``least`` count, and all words of the count at which ``size`` would be exceeded, get no number; so
     what comes to the driver is the vocabulary, not a list of candidates from every task.
     """
     if not 0 < size <= VOCABULARY:
         raise ValueError(f"the vocabulary holds 1 to {VOCABULARY} words")
     counts = word_counts(docs)
-    # Rare words keep their count but not their text.
-    counts = materialize(counts.withColumn("word", F.when(F.col("n") >= least, F.col("word"))), "words")
+    # Words that occur once keep their count but not their text: a word that is not found occurs once.
+    counts = materialize(counts.withColumn("word", F.when((F.col("n") > 1) | (F.lit(least) <= 1), F.col("word"))), "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known = counts.where("word is not null")
+    known = counts.where((F.col("n") >= least) & F.col("word").isNotNull())
     # The lowest count that fits: first by powers of two, then among the counts of one power.
     power = F.floor(F.log2("n")).cast("int")
     room, low = size, 0
@@ -96,7 +108,26 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY, least: int = LEAST) -> V
             break
         room -= r["count"]
     top = known.where(F.col("n") >= low).orderBy(F.desc("n"), "word").collect()
-    return Vocabulary([bytes(r["word"]) for r in top], [r["n"] for r in top], total)
+    tail = counts.where((F.col("n") > 1) & (F.col("n") < max(low, least)))
+    words = Vocabulary([bytes(r["word"]) for r in top], [r["n"] for r in top], total)
+    return words, tail.select(F.col("word").cast("string").alias("word"), "n")
+
+
+def _rest(words: list[bytes], keys: np.ndarray, order: int) -> tuple[np.ndarray, list[bytes]]:
+    """Where n-grams hold words without a number, and these words of each, a space between them."""
+    bare = np.zeros(len(keys), bool)
+    for k in range(order):
+        bare |= (keys >> (BITS * k)) & VOCABULARY == 0
+    at = np.flatnonzero(bare)
+    return at, [b" ".join(filter(None, words[i : i + order])) for i in at.tolist()]
+
+
+def _texts(size: int, at: np.ndarray, words: list[bytes]) -> pa.Array:
+    """An Arrow column of ``size`` texts that are empty but at some rising positions."""
+    lengths = np.zeros(size + 1, np.int32)
+    lengths[at + 1] = np.fromiter(map(len, words), np.int32, len(words))
+    ends = np.cumsum(lengths, dtype=np.int32)
+    return pa.StringArray.from_buffers(size, pa.py_buffer(ends), pa.py_buffer(b"".join(words)))
 
 
 def _keys(ids: np.ndarray, order: int) -> np.ndarray:
@@ -108,23 +139,34 @@ def _keys(ids: np.ndarray, order: int) -> np.ndarray:
 
 
 def ngram_counts(docs: DataFrame, words: Vocabulary, order: int) -> DataFrame:
-    """key (numbers of ``order`` words, BITS bits each) and n, over all texts; n-grams do not cross documents."""
+    """key (numbers of ``order`` words, BITS bits each), words (the text of those with number 0) and n, over all texts;
+    n-grams do not cross documents."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (texts,) in chunks(batches, ("text",)):
-            keys, n = np.unique(np.concatenate([_keys(shared.value.read(t), order) for t in texts]), return_counts=True)
-            yield pa.record_batch([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+            plain, bare, rest = [], [], []
+            for text in texts:
+                ids, own = shared.value.read(text)
+                keys = _keys(ids, order)
+                at, some = _rest(own, keys, order)
+                plain.append(np.delete(keys, at))
+                bare.append(keys[at])
+                rest += some
+            keys, n = np.unique(np.concatenate(plain), return_counts=True)
+            keys, n = np.concatenate([keys, *bare]), np.concatenate([n, np.ones(len(rest), np.int64)])
+            text = _texts(len(keys), np.arange(len(keys) - len(rest), len(keys)), rest)
+            yield pa.record_batch([pa.array(keys), text, pa.array(n.astype(np.int64))], names=["key", "words", "n"])
 
-    counted = id_and_text(docs).select("text").mapInArrow(count, "key long, n long")
-    return counted.groupBy("key").agg(F.sum("n").alias("n"))
+    counted = id_and_text(docs).select("text").mapInArrow(count, "key long, words string, n long")
+    return counted.groupBy("key", "words").agg(F.sum("n").alias("n"))
 
 
 class Hot:
     """Sorted keys of the hot n-grams of one order, and their scores."""
 
     def __init__(self, table: DataFrame):
-        rows = table.select("key", "score").toPandas().sort_values("key")
+        rows = table.where("words = ''").select("key", "score").toPandas().sort_values("key")
         self.keys, self.scores = rows["key"].to_numpy(np.int64), rows["score"].to_numpy(float)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, float]:
@@ -136,19 +178,43 @@ class Hot:
         return keys[~hot], float(self.scores[at[hot]].sum())
 
 
-def train(docs: DataFrame, words: Vocabulary, order: int, least: int) -> tuple[dict[int, DataFrame], dict[int, Hot]]:
-    """Tables (key, n, score) of orders 2 to ``order``, written to the shared folder, and their hot rows."""
-    spark = docs.sparkSession
+def _singles(rows: DataFrame, number: Column, word: Column, words: Vocabulary, tail: DataFrame, name: str) -> DataFrame:
+    """Add the count of a single word, given by its number or, where that is 0, by its text."""
+    counts = [(i, int(n)) for i, n in enumerate(words.counts) if i]
+    few = rows.sparkSession.createDataFrame(counts, f"_id long, {name} long")  # VOCABULARY rows at most
+    rest = tail.select(F.col("word").alias("_id"), F.col("n").alias("_n"))
+    known = rows.where(number != 0).join(F.broadcast(few), number == F.col("_id")).drop("_id")
+    others = rows.where(number == 0).join(rest, word == F.col("_id"), "left")
+    return known.unionByName(others.withColumn(name, F.coalesce("_n", F.lit(1).cast("long"))).drop("_id", "_n"))
+
+
+def train(
+    docs: DataFrame, words: Vocabulary, tail: DataFrame, order: int, least: int, backoff: float
+) -> tuple[dict[int, DataFrame], dict[int, Hot]]:
+    """Tables (key, words, n, score) of orders 2 to ``order``, written to the shared folder, and their hot rows.
+
+    The score of an entry whose last word has no number is what it adds to that of its last word after backing off.
+    """
     tables, hot = {}, {}
-    single = [(i, int(n)) for i, n in enumerate(words.counts)]
-    below = spark.createDataFrame(single, "context long, of long")  # VOCABULARY + 1 rows at most
+    total = int(words.counts.sum())
+    final = F.col("key").bitwiseAND(F.lit(VOCABULARY))
+    last = F.substring_index("words", " ", -1)
+    first = F.expr("substr(words, 1, length(words) - length(substring_index(words, ' ', -1)) - 1)")
+    before = F.when(final != 0, F.col("words")).otherwise(first)
     for k in range(2, order + 1):
-        counts = ngram_counts(docs, words, k).where(F.col("n") >= least)
-        shorter = F.broadcast(below) if k == 2 else below
-        scored = counts.withColumn("context", F.shiftright("key", BITS)).join(shorter, "context")
-        tables[k] = materialize(scored.select("key", "n", F.log(F.col("n") / F.col("of")).alias("score")), f"grams-{k}")
-        below = tables[k].select(F.col("key").alias("context"), F.col("n").alias("of"))
-        total = int(words.counts.sum())
+        counts = materialize(ngram_counts(docs, words, k).where(F.col("n") >= least), f"counts-{k}")
+        rows = counts.select("*", F.shiftright("key", BITS).alias("_key"), before.alias("_words"))
+        if k == 2:
+            rows = _singles(rows, F.col("_key"), F.col("_words"), words, tail, "of")
+        else:
+            below = tables[k - 1].select(F.col("key").alias("_key"), F.col("words").alias("_words"), F.col("n").alias("of"))
+            rows = rows.join(below, ["_key", "_words"])
+        score = F.log(F.col("n") / F.col("of"))
+        rows = rows.select("key", "words", "n", score.alias("score"))
+        ends = _singles(rows.where(final == 0), F.lit(0), last, words, tail, "_single")
+        less = F.log(F.col("_single") / F.lit(float(total))) + (k - 1) * log(backoff)
+        rows = rows.where(final != 0).unionByName(ends.withColumn("score", F.col("score") - less).drop("_single"))
+        tables[k] = materialize(rows, f"grams-{k}")
         hot[k] = Hot(tables[k].where(F.col("n") > total / HOT_SHARE))
     return tables, hot
 
@@ -162,16 +228,30 @@ def score(
 ) -> DataFrame:
     """One row per doc_id: n_words, logprob (natural log, summed over words) and per_word.
 
-    The model is counted over ``docs``.  ``order`` is 2 or 3.  A word with fewer words before it than ``order`` - 1 is
-    scored with what it has.  Rows that share a doc_id, null included, are scored as one document.  No words: 0 and a
-    null ``per_word``.
+    The model is counted over ``docs``, every word of them; ``size`` bounds the words with a number, and does not change
+    the result.  ``order`` is 2 or 3.  A word with fewer words before it than ``order`` - 1 is scored with what it has.
+    Rows that share a doc_id, null included, are scored as one document.  No words: 0 and a null ``per_word``.
     """
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
+    words, tail = vocabulary(docs, size, least)
+    tables, hot = train(docs, words, tail, order, least, backoff)
+    shared = docs.sparkSession.sparkContext.broadcast((words, hot))
+    rows = id_and_text(docs)
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))
+    parts = [
+        materialize(_scored(rows.where(dealt == i), shared, words, tail, tables, order, backoff), f"scores-{i}")
+        for i in range(SLICES)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _scored(
+    docs: DataFrame, shared, words: Vocabulary, tail: DataFrame, tables: dict[int, DataFrame], order: int, backoff: float
+) -> DataFrame:
+    """The scores of some documents, all rows of a doc_id among them."""
     spark = docs.sparkSession
-    words = vocabulary(docs, size, least)
-    tables, hot = train(docs, words, order, least)
-    shared = spark.sparkContext.broadcast((words, hot))
+    total = max(int(words.counts.sum()), 1)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows to look up, with their order as level, and one row per document with what is known already: its level is
@@ -179,22 +259,37 @@ def score(
         words, hot = shared.value
         spread = 0
         for doc_ids, texts in chunks(batches, ("doc_id", "text"), limit=2_000_000):
-            keys, levels, sizes, known = [], [], [], []
+            keys, levels, sizes, known, places, rest, begin = [], [], [], [], [], [], 0
             for text in texts:
-                ids = words.read(text)
-                sure = float(words.scores[ids[0]]) if len(ids) else 0.0
-                size = 1
+                ids, own = words.read(text)
+                sure = float(words.scores[ids[0]]) if len(ids) and ids[0] else 0.0
+                size = 0
                 for k in range(2, order + 1):
-                    own, some = hot[k].find(_keys(ids[:k] if k < order else ids, k))
-                    sure += some
-                    keys.append(own)
-                    levels.append(np.full(len(own), k, np.int32))
-                    size += len(own)
+                    some = ids[:k] if k < order else ids
+                    grams = _keys(some, k)
+                    at, text_of = _rest(own, grams, k)
+                    bare = grams[at]
+                    seek, found = hot[k].find(np.delete(grams, at))
+                    sure += found
+                    keys += [seek, bare]
+                    levels.append(np.full(len(seek) + len(bare), k, np.int32))
+                    places.append(begin + size + len(seek) + np.arange(len(bare)))
+                    rest += text_of
+                    size += len(seek) + len(bare)
+                # Words without a number: each is a row of its own, and has paid for backing off.
+                alone = np.flatnonzero(ids == 0)
+                sure += float(np.minimum(alone, order - 1).sum()) * log(backoff)
+                keys.append(np.zeros(len(alone), np.int64))
+                levels.append(np.ones(len(alone), np.int32))
+                places.append(begin + size + np.arange(len(alone)))
+                rest += [own[i] for i in alone.tolist()]
+                size += len(alone) + 1
                 spread += 1
                 keys.append(np.array([-1 - (spread * 0x9E3779B1 & 0x7FFFFFFF)]))
                 levels.append(np.array([-len(ids)], np.int32))
                 sizes.append(size)
                 known.append(sure)
+                begin += size
             ends = np.cumsum(sizes)
             sums = np.zeros(int(ends[-1]))
             sums[ends - 1] = known
@@ -205,28 +300,46 @@ def score(
                 [
                     pa.array(doc_ids, pa.int64()).take(at),
                     pa.array(np.concatenate(keys)),
+                    _texts(len(sums), np.concatenate(places), rest),
                     pa.array(np.concatenate(levels)),
                     pa.array(sums, mask=mask),
                 ],
-                names=["doc_id", "key", "level", "found"],
+                names=["doc_id", "key", "words", "level", "found"],
             )
 
-    rows = id_and_text(docs).mapInArrow(explode, "doc_id long, key long, level int, found double")
+    rows = docs.mapInArrow(explode, "doc_id long, key long, words string, level int, found double")
+    final = F.col("key").bitwiseAND(F.lit(VOCABULARY))
+    open_end = (F.col("key") >= 0) & (final == 0)
+    single = tail.select(
+        F.lit(0).cast("long").alias("key"), F.col("word").alias("words"), F.log(F.col("n") / F.lit(float(total))).alias("score")
+    )
     for k in range(order, 1, -1):
-        seek = F.col("key")
+        seek, text = F.col("key"), F.col("words")
         if order > 2:
             # Rows of other levels, or found already, get keys of their own below zero, which spread and find nothing.
-            apart = -1 - F.shiftrightunsigned(F.xxhash64("doc_id", "key"), 1)
+            apart = -1 - F.shiftrightunsigned(F.xxhash64("doc_id", "key", "words"), 1)
             suffix = F.col("key").bitwiseAND(F.lit((1 << (BITS * k)) - 1))
-            seek = F.when(F.col("found").isNull() & (F.col("level") >= k), suffix).otherwise(apart)
-        price = F.lit(0.0) if k == order else F.when(F.col("level") > k, (F.col("level") - k) * log(backoff)).otherwise(0.0)
-        table = tables[k].select(F.col("key").alias("_key"), F.col("score").alias("_score"))
-        rows = rows.withColumn("_seek", seek).join(table, F.col("_seek") == F.col("_key"), "left")
-        rows = rows.select("doc_id", "key", "level", F.coalesce("found", F.col("_score") + price).alias("found"))
+            due = F.col("found").isNull() & ((F.col("level") >= k) | ((F.col("level") == 1) & F.lit(k == order)))
+            seek = F.when(due, suffix).otherwise(apart)
+            # The words without a number among the last k, of all that the row holds.
+            bare = sum(
+                F.when(F.shiftright("key", BITS * i).bitwiseAND(F.lit(VOCABULARY)) == 0, 1).otherwise(0) for i in range(k)
+            )
+            text = F.when(F.col("level") > k, F.call_function("substring_index", F.col("words"), F.lit(" "), -bare)).otherwise(F.col("words"))
+        price = F.lit(0.0)
+        if k < order:
+            price = F.when((F.col("level") > k) & ~open_end, (F.col("level") - k) * log(backoff)).otherwise(0.0)
+        table = tables[k].select("key", "words", "score")
+        table = (table.unionByName(single) if k == order else table).toDF("_key", "_words", "_score")
+        rows = rows.withColumns({"_seek": seek, "_text": text})
+        rows = rows.join(table, (F.col("_seek") == F.col("_key")) & (F.col("_text") == F.col("_words")), "left")
+        rows = rows.select("doc_id", "key", "words", "level", F.coalesce("found", F.col("_score") + price).alias("found"))
     last = spark.createDataFrame([(i, float(s)) for i, s in enumerate(words.scores)], "_word long, _single double")
-    word = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))
-    rows = rows.join(F.broadcast(last), word == F.col("_word"), "left")
-    logprob = F.sum(F.coalesce("found", F.col("_single") + (F.col("level") - 1) * log(backoff)))
+    rows = rows.join(F.broadcast(last), final == F.col("_word"), "left")
+    # A word that is in no table occurs once; where an n-gram ends in a word without a number, that word's row counts.
+    once = F.when(F.col("level") == 1, F.lit(log(1 / total))).otherwise(0.0)
+    backed = F.col("_single") + (F.col("level") - 1) * log(backoff)
+    logprob = F.sum(F.coalesce("found", F.when(open_end, once).otherwise(backed)))
     n_words = F.sum(F.when(F.col("level") <= 0, -F.col("level").cast("long")))
     sums = rows.groupBy("doc_id").agg(n_words.alias("n_words"), logprob.alias("logprob"))
     return sums.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("logprob") / F.col("n_words")))

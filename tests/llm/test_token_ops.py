@@ -268,7 +268,6 @@ def test_language_model(docs, order, share, monkeypatch):
     low = min((c for c in set(total.values()) if c >= 2 and sum(v >= c for v in total.values()) <= 8), default=10**9)
     top = {w for w in total if total[w] >= low}
     assert 3 <= len(top) <= 8
-    split = [[w if w in top else None for w in s] for s in split]
     grams = {k: Counter(tuple(s[i : i + k]) for s in split for i in range(len(s) - k + 1)) for k in (1, 2, 3)}
     n = sum(total.values())
 
@@ -287,6 +286,16 @@ def test_language_model(docs, order, share, monkeypatch):
     assert language_model.score(docs([]), order=order).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_tells_words_beyond_its_vocabulary_apart(docs, order):
+    texts = ["a a a rare pair a", "a a rare pair rare", "pair rare a a a once", "rare rare a pair", "once more"]
+    wide, narrow = (
+        {r.doc_id: (r.n_words, round(r.logprob, 9)) for r in language_model.score(docs(texts), order=order, size=n).collect()}
+        for n in (100, 1)
+    )
+    assert wide == narrow
+
+
 def test_url_filter(spark):
     day = lambda n: date(2024, 1, 1) + timedelta(days=n)
     urls = ["http://user:pw@A.b.Example.com:80/x/y?q#f", "https://example.com", "http://other.org/x", None, "nonsense", "http://localhost/",
