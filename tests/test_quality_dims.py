@@ -52,6 +52,18 @@ def failures(tables, *checks: str) -> dict[str, int]:
     return {k: v for k, v in found.items() if v}
 
 
+def test_keys_of_known_tables_are_dealt_before_they_are_counted(make, clean):
+    events = [{"shipment_id": f"S{n % 7}", "event_seq": n % 3} for n in range(30)] + [{}, {"event_seq": 1}, {}]
+    costs = [{"shipment_id": "S1", "rate_ref": r} for r in (None, "", "x")]
+    tables = star(make, clean, fact_event=events, fact_cost=costs)
+    plain = quality.pk_duplicates(tables)
+    dealt = quality.pk_duplicates(tables, {"fact_event": 30_000_000, "fact_cost": 10**9})
+    assert rows(plain) == rows(dealt) and ("FACT_EVENT", 10) in rows(dealt) and ("FACT_COST", 1) in rows(dealt)
+    text = dealt._jdf.queryExecution().executedPlan().toString()
+    for n in (15, quality.KEY_TASKS):
+        assert f", {n}), REPARTITION_BY_NUM" in text
+
+
 def test_clean_star_has_no_findings(make, clean):
     tables = star(make, clean)
     assert failures(tables) == {}
