@@ -197,6 +197,31 @@ def test_a_merge_that_fails_half_way_is_completed_by_running_it_again(spark, mak
         assert found.count() == 10 and rows(found.filter("shipment_id = 'S0'"), "tender_ts") == [(at("2024-02-05"),)]
 
 
+def test_large_stored_merges_go_in_slices_of_keys(spark, make, tmp_path, monkeypatch):
+    first = make("fact_shipment", [leg(n, 1 + n % 3) for n in range(40)] + [{"leg_id": 1}])
+    batch = make("fact_shipment", [leg(n, 2, "2024-02-01") for n in range(30, 50)] + [{"leg_id": 2}])
+    saved, save = [], warehouse._save
+
+    def watch(rows, path, table, mode, overwrite="static"):
+        saved.append(plan(rows))
+        save(rows, path, table, mode, overwrite)
+
+    monkeypatch.setattr(warehouse, "_save", watch)
+    found = []
+    for most, jobs in ((1000, 1), (0, warehouse.SLICES)):
+        monkeypatch.setattr(warehouse, "SLICE_ROWS", most)
+        root = str(tmp_path / f"edw{most}")
+        saved.clear()
+        refreshing.merge_into(first, root, "fact_shipment", NOW, stored=True, unique=True)
+        # A first load meets no table: there is nothing to join, and unique keys need no window.
+        assert len(saved) == jobs and not any("Join" in p or "Window" in p for p in saved)
+        saved.clear()
+        refreshing.merge_into(batch, root, "fact_shipment", NOW, stored=True, unique=True)
+        assert len(saved) == jobs + 1
+        found.append(rows(warehouse.read_edw(spark, root, "fact_shipment")))
+    assert found[0] == found[1] and len(found[0]) == 52
+
+
 def test_landing_names(spark, make, tmp_path):
     zone = tmp_path / "zone"
     put(zone / "FACT_EVENT.csv.gz", "S1,1,Tendered,2024-01-01T05:00:00+00:00,7,x,,", compress=True)
