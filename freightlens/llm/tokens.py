@@ -5,9 +5,11 @@ the cuts are places where it always splits:
 
 * a single space or line feed between two other non-space characters, for byte-level rules, where a word carries its
   leading space and runs of white space belong together;
-* any space or line feed, for rules that drop white space.
+* any space or line feed, for rules that drop white space;
+* before common punctuation that follows a Latin letter.
 
-Words are looked up in a cache, misses are encoded by the library in one call.  Other tokenizers get whole texts.
+Cuts are found in the bytes of many texts at once.  Words are looked up in a cache, misses are encoded by the library.
+Other tokenizers get whole texts.
 """
 
 from __future__ import annotations
@@ -19,16 +21,30 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 #: Words a worker keeps, in two generations: half of it is filled while the half before is still looked up.
 CACHE_WORDS = 1_000_000
-_RUNS = re.compile(r"\s\s|^\s|\s$")
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
-_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Letters, but for U+0130: its small form ends in a mark, which is a part with the sign after it.
+_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-\u012f\u0131-ɏ]+")
 #: Characters that one call encodes at most, but for a single longer text: bounds a worker's memory.
 CHUNK = 4_000_000
 
+#: Kinds of bytes: plain letters, common punctuation, first bytes of characters that may be white space; from _SPACE on
+#: white space, of which only space and line feed are cut at.
+_OTHER, _LETTER, _STOP, _FIRST, _SPACE, _NO_CUT = range(6)
+_KINDS = bytearray(256)
+for _kind, _bytes in (
+    (_LETTER, b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
+    (_STOP, b".,!?;:#$%&*)"),
+    (_FIRST, b"\xc2\xe1\xe2\xe3"),
+    (_SPACE, b" \n"),
+    (_NO_CUT, b"\t\x0b\x0c\r\x1c\x1d\x1e\x1f"),
+):
+    for _byte in _bytes:
+        _KINDS[_byte] = _kind
+#: White space beyond ASCII, by the length of its UTF-8.
+_WIDE = {2: [0x85, 0xA0], 3: [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]}
+
 _ENCODERS: dict[tuple[str, int], "Encoder"] = {}
 
 
@@ -42,7 +58,7 @@ def encoder(path: str, cache_words: int = CACHE_WORDS) -> "Encoder":
 class Encoder:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -50,64 +66,106 @@ class Encoder:
         self.mode, self.cache_words = _mode(rules), cache_words
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.added = [t["content"] for t in rules.get("added_tokens", [])]
+        self.lowers = self.mode == "dropped" and any(
+            n["type"] == "Lowercase" for n in (rules.get("normalizer") or {}).get("normalizers", [])
+        )
+        # Plain letters are one part as they are, so the library's model can do without the rules; a mark tells words apart.
         self.mark = {"spaced": "\n", "dropped": "."}.get(self.mode, "")
-        ids = self.library.encode(self.mark, add_special_tokens=False).ids if self.mark else []
-        if len(ids) == 1:
-            self.mark_id = ids[0]
-        else:
+        if any(_LETTERS.fullmatch(t) for t in self.added):
             self.mark = ""
+        if self.mark:
+            self.ascii_mark = {"spaced": "Ċ", "dropped": "."}[self.mode]
+            self.model = Tokenizer(self.library.model)
+            self.model.pre_tokenizer = pre_tokenizers.Split(self.ascii_mark, "isolated")
+            ids = self.library.encode(self.mark, add_special_tokens=False).ids
+            if len(ids) == 1 and self.model.encode(self.ascii_mark, add_special_tokens=False).ids == ids:
+                self.mark_id = ids[0]
+            else:
+                self.mark = ""
 
-    def parts(self, text: str) -> str:
-        """``text`` cut by NUL characters into parts whose ids, in order, are the ids of ``text``.  It holds no NUL."""
+    def _parts(self, raw: bytes, bounds: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """Bytes of texts that begin at ``bounds`` (last entry: the end), cut into parts whose ids, in order, are the ids of
+        the texts: their bytes, where each begins (one more entry: the end), and how many there are before each text."""
         if self.mode == "whole":
-            return text
+            starts = np.unique(bounds)
+            return raw, starts, np.searchsorted(starts, bounds)
+        if self.lowers and b"\xcc" not in raw and b"\xcd" not in raw:
+            # The rules lower-case after composing: a capital with a mark may compose otherwise than a small letter.
+            lower = raw.lower()
+            if not any(t.encode() in lower for t in self.added):
+                raw = lower
+        kinds = np.frombuffer(raw.translate(_KINDS), np.uint8)
+        cut = np.zeros(len(raw) + 1, bool)
+        cut[bounds] = True
+        stops = np.flatnonzero(kinds[1:] == _STOP) + 1
+        cut[stops[kinds[stops - 1] == _LETTER]] = True
+        # U+00C0 to U+017F are letters, but for two signs, and U+0130, whose small form ends in a mark.
+        stops, data = stops[stops > 1], np.frombuffer(raw, np.uint8)
+        first, second = data[stops - 2], data[stops - 1]
+        cut[stops[(first >= 0xC3) & (first <= 0xC5) & ~np.isin(second, [0x97, 0xB0, 0xB7])]] = True
         if self.mode == "dropped":
-            return text.replace("\n", "\0").replace(" ", "\0")
-        if _RUNS.search(text):
-            return "\0".join(_CUT.split(text))
-        # Only single white space: each space opens a word, each line feed stands alone.
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ")
+            cut[:-1] |= kinds == _SPACE
+            starts = np.flatnonzero(cut)
+            gone = kinds[starts[:-1]] == _SPACE
+            before = np.searchsorted(starts, bounds)
+            starts[1:] -= np.cumsum(gone)
+            return raw.translate(None, b" \n"), starts, before
+        kinds = _with_wide_spaces(raw, kinds)
+        spaces = np.flatnonzero(kinds[1:-1] == _SPACE) + 1
+        spaces = spaces[(kinds[spaces - 1] < _SPACE) & (kinds[spaces + 1] < _SPACE)]
+        cut[spaces] = True
+        cut[spaces[data[spaces] == 10] + 1] = True
+        starts = np.flatnonzero(cut)
+        return raw, starts, np.searchsorted(starts, bounds)
 
     def _known(self, words: list[str]) -> list[bytes]:
-        """The ids of each word."""
+        """The ids of each of some distinct words."""
         if len(self.cache) > self.cache_words // 2:
             self.cache, self.old = {}, self.cache
         cache, old = self.cache, self.old
-        missing = [w for w in words if w not in cache]
-        cache.update((w, old[w]) for w in missing if w in old)
-        split = {w: self._stem(w) for w in missing if w not in cache}
-        parts = {part for stem in split.values() for part in stem if part not in cache}
-        cache.update((p, old[p]) for p in parts if p in old)
-        self._learn([p for p in parts if p not in cache])
-        for w, (stem, tail) in split.items():
-            cache[w] = cache[stem] + cache[tail]
-        found = [cache[w] for w in words]
+        found = list(map(cache.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in missing:
+            ids = old.get(words[i])
+            if ids is None:
+                new.append(words[i])
+            else:
+                cache[words[i]] = ids
+        self._learn(new)
+        for i in missing:
+            found[i] = cache[words[i]]
         if self.mode == "whole":
             self.cache = {}
         return found
 
-    def _stem(self, word: str) -> tuple[str, str]:
-        """A word without the full stop or comma after its last letter, and that: always two parts to the rules.
-
-        Rules that lower-case see no difference between cases of plain letters.
-        """
-        tail = ""
-        if self.mode != "whole" and len(word) > 1 and word[-1] in ".," and word[-2].isascii() and word[-2].isalpha():
-            word, tail = word[:-1], word[-1]
-        if self.mode == "dropped" and word.isascii() and word.isalpha():
-            word = word.lower()
-        return word, tail
-
     def _learn(self, words: list[str]) -> None:
         """Encode words; words of letters alone go in one text with a mark between them that is always a part."""
-        cache, plain, other = self.cache, [], [""]
+        plain, wide, other = [], [], [""]
         for w in words:
-            (plain if self.mark and _LETTERS.fullmatch(w) else other).append(w)
-        groups = [plain[at : at + 64] for at in range(0, len(plain), 64)]
-        texts = [self.mark.join(g) for g in groups]
+            if not self.mark or not _LETTERS.fullmatch(w):
+                other.append(w)
+            elif w.isascii():
+                plain.append(w)
+            else:
+                wide.append(w)
+        other += self._learn_letters(self.model, self.ascii_mark, plain, True) if plain else []
+        other += self._learn_letters(self.library, self.mark, wide, False)
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
+                self.cache[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn_letters(self, library, mark: str, words: list[str], prepared: bool) -> list[str]:
+        """Encode words of letters, and return those that the mark did not tell apart; ``prepared``: in the characters
+        that the rules make of them, which for plain letters are small letters or themselves, and a sign for a space."""
+        cache, groups, other = self.cache, [words[at : at + 64] for at in range(0, len(words), 64)], []
         for at in range(0, len(groups), 64):
-            encoded = self.library.encode_batch_fast(texts[at : at + 64], add_special_tokens=False)
-            for group, e in zip(groups[at : at + 64], encoded):
+            texts = [mark.join(g) for g in groups[at : at + 64]]
+            if prepared:
+                texts = [t.lower() for t in texts] if self.lowers else [t.replace(" ", "Ġ") for t in texts]
+            for group, e in zip(groups[at : at + 64], library.encode_batch_fast(texts, add_special_tokens=False)):
                 ids = np.array(e.ids, "<u4")
                 cuts = np.flatnonzero(ids == self.mark_id)
                 if len(cuts) != len(group) - 1:
@@ -116,31 +174,53 @@ class Encoder:
                 raw, begin = ids.tobytes(), [0, *(4 * cuts + 4).tolist()]
                 for w, a, z in zip(group, begin, [*(4 * cuts).tolist(), len(raw)]):
                     cache[w] = raw[a:z]
-        for at in range(0, len(other), 4096):
-            some = other[at : at + 4096]
-            for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
+        return other
+
+    def _looked_up(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """The parts of all texts as numbers of distinct words, the ids of these, and how many parts there are before each
+        text (one more entry: all)."""
+        each = [t.encode() for t in texts]
+        bounds = np.cumsum([0, *map(len, each)])
+        raw, starts, before = self._parts(b"".join(each), bounds)
+        buffers = [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(raw)]
+        words = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, buffers).dictionary_encode()
+        return words.indices, self._known(words.dictionary.to_pylist()), before
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text begins in it (one more entry: the end)."""
-        if not texts:
-            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
-        if any("\0" in t for t in texts):
-            each = [self._known([t])[0] if "\0" in t else self.encode([t])[0].tobytes() for t in texts]
-            ends = np.cumsum([0] + [len(b) // 4 for b in each])
-            return np.frombuffer(b"".join(each), "<u4"), ends
-        cut = [self.parts(t) for t in texts]
-        words = pc.split_pattern(pa.array(["\0".join(cut)], pa.large_string()), "\0").values.dictionary_encode()
-        known = self._known(words.dictionary.to_pylist())
+        if not any(texts):
+            return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        index, known, before = self._looked_up(texts)
+        ends = np.cumsum([0, *map(len, known)], dtype=np.int64)
+        flat = [None, pa.py_buffer(ends), pa.py_buffer(b"".join(known))]
+        _, ends, ids = pa.Array.from_buffers(pa.large_binary(), len(known), flat).take(index).buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(index) + 1] // 4
+        return np.frombuffer(ids, "<u4", int(ends[-1])) if ids else np.zeros(0, "<u4"), ends[before]
+
+    def lengths(self, texts: list[str]) -> np.ndarray:
+        """The number of ids of each text."""
+        if not any(texts):
+            return np.zeros(len(texts), np.int64)
+        index, known, before = self._looked_up(texts)
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat, at = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
-        index = words.indices.to_numpy(zero_copy_only=False)
-        n = size[index]
-        end = np.cumsum(n)
-        total = int(end[-1])
-        ids = flat[np.repeat(at[index] - (end - n), n) + np.arange(total)]
-        count = np.fromiter((c.count("\0") + 1 for c in cut), np.int64, len(cut))
-        return ids, np.concatenate(([0], end[np.cumsum(count) - 1]))
+        ends = np.concatenate(([0], np.cumsum(size[index.to_numpy()])))
+        return np.diff(ends[before])
+
+
+def _with_wide_spaces(raw: bytes, kinds: np.ndarray) -> np.ndarray:
+    """``kinds`` with the bytes of white space beyond ASCII marked as such."""
+    first = np.flatnonzero(kinds == _FIRST)
+    if not len(first):
+        return kinds
+    kinds, data = kinds.copy(), np.frombuffer(raw, np.uint8)
+    for size, spaces in _WIDE.items():
+        at = first[(data[first] == 0xC2) == (size == 2)]
+        code = data[at].astype(np.int32) & (0x1F if size == 2 else 0x0F)
+        for k in range(1, size):
+            code = (code << 6) | (data[at + k] & 0x3F)
+        for k in range(size):
+            kinds[at[np.isin(code, spaces)] + k] = _NO_CUT
+    return kinds
 
 
 def release() -> None:
@@ -173,7 +253,7 @@ def _mode(rules: dict) -> str:
     """Where a tokenizer file's rules allow cuts: spaced, dropped or whole."""
     pre, normal = rules.get("pre_tokenizer") or {}, rules.get("normalizer") or {}
     added = rules.get("added_tokens", [])
-    plain = not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in added)
+    plain = not any(t["lstrip"] or t["rstrip"] or re.search(r"\s|\w[.,!?;:#$%&*)]", t["content"]) for t in added)
     if not plain or rules.get("post_processor"):
         return "whole"
     if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not normal:

@@ -49,6 +49,34 @@ def test_encoder_equals_the_library(path):
         assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_encoder_cuts_bytes_where_the_rules_cut(path):
+    rng = random.Random(11)
+    bits = [" ", " ", "\n", "  ", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2009", "\u2028", "\u202f", "\u3000", "\u200b", "’", "…", "“a”",
+            "a", "Be", "É", "é", "ß", "ŉ", "ſ", "×", "÷", "Ж", "ж", "中", "\u0301", "J\u030c", "H\u0331", "İ", "K", ".", ",", "!!", "$$$", "&&&",
+            "***", ")", ":", "#1", "%", "'s", "'", "_", "0", "\0", "\t", "\U0001f600"]
+    for some in (bits, [b for b in bits if "\u030c" not in b and "\u0331" not in b and b != "\u0301"]):
+        texts = ["".join(rng.choice(some) for _ in range(rng.randrange(9))) for _ in range(4000)]
+        use = Encoder(path, cache_words=700)
+        for at in range(0, len(texts), 800):
+            part = texts[at : at + 800]
+            ids, ends = use.encode(part)
+            want = [e.ids for e in use.library.encode_batch(part, add_special_tokens=False)]
+            assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+            assert use.lengths(part).tolist() == [len(w) for w in want]
+    assert use.lengths([]).tolist() == [] and use.lengths(["", ""]).tolist() == [0, 0] and use.encode(["", ""])[1].tolist() == [0, 0, 0]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_encoder_learns_a_word_once_whatever_punctuation_follows(path):
+    use = Encoder(path)
+    text = "x" + "".join(f" {w}{mark}" for w in ("word", "früh", "été") for mark in ("", ".", ",", "!!", "$$$", "***", "&&&", "%%%", "###", ")."))
+    ids, _ = use.encode([text])
+    assert ids.tolist() == library_ids(path, text)
+    learned = {w.strip(" .,!$*&%#)") for w in use.cache} - {""}
+    assert learned == {"x", "word", "früh", "été"} and len([w for w in use.cache if w.strip(" ")[:1].isalpha()]) == 4
+
+
 def test_packing(docs):
     table = docs(TEXTS + ["again"] * 200)
     packed = packing.pack_documents(table, BYTES, end_id=0, window=64, shard_docs=50)
