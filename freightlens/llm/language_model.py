@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from freightlens.llm.common import id_and_text, materialize
 from freightlens.llm.tokens import chunks
 
-BITS = 16
+#: Bits of a word's number: three of them fit a long, and a worker holds the numbered words in about 70 MB.
+BITS = 19
 VOCABULARY, ORDER, LEAST, BACKOFF = (1 << BITS) - 1, 2, 2, 0.4
 HOT_SHARE = 400_000
 #: Distinct words that a task counts before it hands them on.
@@ -82,7 +83,7 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, size: int = VOCABULARY, least: int = LEAST) -> tuple[Vocabulary, DataFrame]:
-    """The most frequent words, at most ``size`` (65,535 at most), with the total of all; and all other words that occur
+    """The most frequent words, at most ``size`` (``VOCABULARY`` at most), with the total of all; and all other words that occur
     twice or more (word, n), which stay a table.
 
     Words below the ``least`` count, and all words of the count at which ``size`` would be exceeded, get no number; so
@@ -107,9 +108,9 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY, least: int = LEAST) -> t
                 room, low = room - c["count"], c["n"]
             break
         room -= r["count"]
-    top = known.where(F.col("n") >= low).orderBy(F.desc("n"), "word").collect()
+    top = known.where(F.col("n") >= low).orderBy(F.desc("n"), "word").select("word", "n").toArrow()
     tail = counts.where((F.col("n") > 1) & (F.col("n") < max(low, least)))
-    words = Vocabulary([bytes(r["word"]) for r in top], [r["n"] for r in top], total)
+    words = Vocabulary(top["word"].to_pylist(), top["n"].to_pylist(), total)
     return words, tail.select(F.col("word").cast("string").alias("word"), "n")
 
 
@@ -180,8 +181,8 @@ class Hot:
 
 def _singles(rows: DataFrame, number: Column, word: Column, words: Vocabulary, tail: DataFrame, name: str) -> DataFrame:
     """Add the count of a single word, given by its number or, where that is 0, by its text."""
-    counts = [(i, int(n)) for i, n in enumerate(words.counts) if i]
-    few = rows.sparkSession.createDataFrame(counts, f"_id long, {name} long")  # VOCABULARY rows at most
+    counts = pa.table({"_id": np.arange(1, len(words.counts)), name: words.counts[1:]})  # VOCABULARY rows at most
+    few = rows.sparkSession.createDataFrame(counts)
     rest = tail.select(F.col("word").alias("_id"), F.col("n").alias("_n"))
     known = rows.where(number != 0).join(F.broadcast(few), number == F.col("_id")).drop("_id")
     others = rows.where(number == 0).join(rest, word == F.col("_id"), "left")
@@ -334,7 +335,7 @@ def _scored(
         rows = rows.withColumns({"_seek": seek, "_text": text})
         rows = rows.join(table, (F.col("_seek") == F.col("_key")) & (F.col("_text") == F.col("_words")), "left")
         rows = rows.select("doc_id", "key", "words", "level", F.coalesce("found", F.col("_score") + price).alias("found"))
-    last = spark.createDataFrame([(i, float(s)) for i, s in enumerate(words.scores)], "_word long, _single double")
+    last = spark.createDataFrame(pa.table({"_word": np.arange(len(words.scores)), "_single": words.scores}))
     rows = rows.join(F.broadcast(last), final == F.col("_word"), "left")
     # A word that is in no table occurs once; where an n-gram ends in a word without a number, that word's row counts.
     once = F.when(F.col("level") == 1, F.lit(log(1 / total))).otherwise(0.0)
