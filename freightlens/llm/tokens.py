@@ -67,12 +67,16 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.added = [t["content"] for t in rules.get("added_tokens", [])]
-        self.lowers = self.mode == "dropped" and any(
-            n["type"] == "Lowercase" for n in (rules.get("normalizer") or {}).get("normalizers", [])
+        normal = (rules.get("normalizer") or {}).get("normalizers", [])
+        # Other replacements or patterns might change or split plain letters.
+        usual = self.mode != "dropped" or (
+            all(n["type"] != "Replace" or n["pattern"] == {"Regex": r"\s+"} for n in normal)
+            and r"[\p{L}]+" in rules["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", "")
         )
+        self.lowers = self.mode == "dropped" and usual and any(n["type"] == "Lowercase" for n in normal)
         # Plain letters are one part as they are, so the library's model can do without the rules; a mark tells words apart.
         self.mark = {"spaced": "\n", "dropped": "."}.get(self.mode, "")
-        if any(_LETTERS.fullmatch(t) for t in self.added):
+        if not usual or any(_LETTERS.fullmatch(t) for t in self.added):
             self.mark = ""
         if self.mark:
             self.ascii_mark = {"spaced": "Ċ", "dropped": "."}[self.mode]
