@@ -24,11 +24,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the cluster's shared folder and read it again: cuts lineage, and survives lost executors."""
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` below the cluster's shared folder and read it again: cuts lineage, and survives lost executors.
+
+    ``options`` go to the writer.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

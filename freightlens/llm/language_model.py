@@ -1,222 +1,236 @@
-"""Stupid-backoff language model scores, as joins.
-
-1. Words are counted over all documents; the most frequent ones get numbers, all others have number 0 and their text.
-2. N-grams, of numbers and of the text of the words that have none, are counted in each task, then by hash over tasks.
-   Those with at least ``least`` occurrences make up the tables, one per order, with the log of the count over the count
-   of the context.
-3. Documents are exploded to n-grams, and each row meets the table of its order.  A row that finds nothing goes on one
-   order lower, at the price of log(``backoff``); single words always have a score.  Scores are summed per document.
-
-An n-gram that makes up more than one in ``HOT_SHARE`` of all of its order is hot.  There are fewer than ``HOT_SHARE`` of
-them, so their scores are broadcast and added up where documents are read; what is exploded has no large group left.
-
-No word is left out of the model: numbers only make the keys of most n-grams short.  A word without a number that ends an
-n-gram is looked up as a single word by a row of its own, beside the n-gram.  Its row gives what the single word gives
-after backing off, and a table entry that ends in such a word holds the difference to that; so one join does for both.
-Documents are scored in ``SLICES`` jobs, one after another, so that the exploded rows of all never lie on disk at once.
+"""Stupid-backoff language model scores, as joins of pieces of text with blocks of counts.
+
+1. Texts are cut into words, a piece of a few million characters at a time.  A piece is a row: its distinct words with
+   their number, and which of them stands at each place.
+2. The distinct words of all pieces meet by hash in blocks.  A block counts them over all texts, numbers those with at
+   least ``least`` occurrences, and answers each piece with the number and the count of each of its words.
+3. So do n-grams, order by order.  The key of an n-gram is the number of the words but the last, and that of the last, so
+   n-grams differ whenever their words do.  One whose parts occur fewer than ``least`` times cannot be in a table of the
+   model and is not sent.
+4. Pieces and answers meet again, and each word is scored: by the log of the count over the count of the context; where
+   the n-gram has fewer than ``least`` occurrences, one order lower at the price of log(``backoff``).  Single words always
+   have a score.  Scores are summed per document.
+
+No word is left out of the model, and none is kept on the driver.  A piece sends a word or an n-gram once, however often it
+holds it, so a frequent one is a key per piece and no block is large for it.  Keys of a piece that go to the same block are
+one row, and so are the answers.  N-grams are counted in ``SLICES`` jobs, one after another, so that the keys of all never
+lie on disk at once.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 from math import log
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import id_and_text, materialize
 from freightlens.llm.tokens import chunks
 
-BITS = 16
-VOCABULARY, ORDER, LEAST, BACKOFF = (1 << BITS) - 1, 2, 2, 0.4
-HOT_SHARE = 400_000
-#: Distinct words that a task counts before it hands them on.
-TASK_WORDS = 500_000
-#: Jobs that score a share of the documents each.
+VOCABULARY, ORDER, LEAST, BACKOFF = (1 << 16) - 1, 2, 2, 0.4
+#: A block counts about one in so many words of text.  No n-gram is hot any more, so the name is older than the meaning.
+HOT_SHARE = 2_000_000
+#: Jobs that count a share of the n-grams of one order each.
 SLICES = 3
+_SPACE = b" \t\n\r\x0b\x0c"
+_IS_SPACE = bytes(b in _SPACE for b in range(256))
+#: An odd number: its product with a key, modulo 2^64, is another key for each, and its high bits spread.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_SENT = "block int, piece long, size int, keys binary, n binary"
+_ANSWER = "piece long, level int, block int, size int, top long, ids binary, n binary"
+
+
+def cut(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Words between white space, A-Z lower-cased, of all texts in one array, and how many each text has."""
+    each = [t.encode() for t in texts]
+    raw = b" " + b" ".join(each).lower() + b" "
+    space = np.frombuffer(raw.translate(_IS_SPACE), bool)
+    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    bounds = np.cumsum([1, *(len(t) + 1 for t in each)])
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw.translate(None, _SPACE))]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), np.diff(np.searchsorted(starts, bounds))
+
+
+def pieces(docs: DataFrame) -> DataFrame:
+    """piece, n_words, doc_ids and sizes (words of each text), words (distinct, by crc32, a space between them), n (how often
+    each occurs) and places (which of them stands at each place), written to the shared folder."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, texts in chunks(batches, ("doc_id", "text")):
+            words, sizes = cut(texts)
+            words = words.dictionary_encode()
+            own = words.dictionary.to_pylist()
+            by_hash = np.argsort(np.fromiter(map(crc32, own), np.uint32, len(own)), kind="stable")
+            rank = np.empty(len(own), np.int32)
+            rank[by_hash] = np.arange(len(own), dtype=np.int32)
+            places = rank[words.indices.to_numpy()]
+            n = np.bincount(places, minlength=len(own)).astype(np.int32)
+            yield pa.record_batch(
+                [
+                    pa.array([len(places)], pa.int64()),
+                    pa.array([doc_ids], pa.list_(pa.int64())),
+                    pa.array([sizes], pa.list_(pa.int32())),
+                    pa.array([b" ".join(own[i] for i in by_hash.tolist())], pa.binary()),
+                    pa.array([n.tobytes()], pa.binary()),
+                    pa.array([_packed(places)], pa.binary()),
+                ],
+                names=["n_words", "doc_ids", "sizes", "words", "n", "places"],
+            )
 
+    schema = "n_words long, doc_ids array<long>, sizes array<int>, words binary, n binary, places binary"
+    found = id_and_text(docs).mapInArrow(rows, schema)
+    return materialize(found.withColumn("piece", F.monotonically_increasing_id()), "pieces", compression="zstd")
 
-def split(text: str) -> list[bytes]:
-    """Words between white space, A-Z lower-cased."""
-    return text.encode().lower().split()
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed: the low bytes of all come first, then the next."""
+    return pa.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (UTF-8 bytes) and n, over all texts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    if not size:
+        return np.zeros(0, np.int32)
+    planes = np.frombuffer(pa.decompress(data, 4 * size, codec="zstd", asbytes=True), np.uint8)
+    return np.frombuffer(planes.reshape(4, size).T.tobytes(), np.int32)
 
-        def rows() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
-        for (texts,) in chunks(batches, ("text",)):
-            for text in texts:
-                seen.update(split(text))
-                if len(seen) > TASK_WORDS:
-                    yield rows()
-                    seen.clear()
-        yield rows()
+def _sent(piece: int, blocks: np.ndarray, keys, n: np.ndarray, join) -> pa.Table:
+    """A row for each block: the keys that go there, which follow each other, and how often the piece holds each."""
+    first = np.flatnonzero(np.diff(blocks, prepend=-1))
+    spans = list(zip(first.tolist(), [*first[1:].tolist(), len(blocks)]))
+    return pa.table(
+        {
+            "block": pa.array(blocks[first], pa.int32()),
+            "piece": pa.array([piece] * len(spans), pa.int64()),
+            "size": pa.array([b - a for a, b in spans], pa.int32()),
+            "keys": pa.array([join(keys[a:b]) for a, b in spans], pa.binary()),
+            "n": pa.array([n[a:b].tobytes() for a, b in spans], pa.binary()),
+        }
+    )
 
-    counted = id_and_text(docs).select("text").mapInArrow(count, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
+def _blocks(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of each 32-bit hash; blocks follow each other as hashes do."""
+    return (hashes.astype(np.uint64) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
 
-class Vocabulary:
-    """Numbers of the most frequent words, and the log share of each number; 0 is any other word."""
 
-    def __init__(self, words: list[bytes], counts: list[int], total: int):
-        self.numbers = {w: i + 1 for i, w in enumerate(words)}
-        self.counts = np.array([total - sum(counts), *counts], np.int64)
-        self.scores = np.log(np.maximum(self.counts, 0.5) / max(total, 1))
+def send_words(cut_up: DataFrame, blocks: int) -> DataFrame:
+    """The distinct words of each piece, dealt to blocks."""
 
-    def read(self, text: str) -> tuple[np.ndarray, list[bytes]]:
-        """The numbers of a text's words, and the words that have none, empty where there is a number."""
-        get, words = self.numbers.get, split(text)
-        ids = [get(w, 0) for w in words]
-        return np.array(ids, np.int64), [b"" if i else w for i, w in zip(ids, words)]
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, words, n in zip(*(batch.column(c) for c in ("piece", "words", "n"))):
+                own = words.as_py().split()
+                hashes = np.fromiter(map(crc32, own), np.uint32, len(own))
+                n = np.frombuffer(n.as_py(), np.int32)
+                yield from _sent(piece.as_py(), _blocks(hashes, blocks), own, n, b" ".join).to_batches()
 
+    return cut_up.select("piece", "words", "n").mapInArrow(rows, _SENT)
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY, least: int = LEAST) -> tuple[Vocabulary, DataFrame]:
-    """The most frequent words, at most ``size`` (65,535 at most), with the total of all; and all other words that occur
-    twice or more (word, n), which stay a table.
 
-    Words below the ``least`` count, and all words of the count at which ``size`` would be exceeded, get no number; so
-    what comes to the driver is the vocabulary, not a list of candidates from every task.
-    """
-    if not 0 < size <= VOCABULARY:
-        raise ValueError(f"the vocabulary holds 1 to {VOCABULARY} words")
-    counts = word_counts(docs)
-    # Words that occur once keep their count but not their text: a word that is not found occurs once.
-    counts = materialize(counts.withColumn("word", F.when((F.col("n") > 1) | (F.lit(least) <= 1), F.col("word"))), "words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known = counts.where((F.col("n") >= least) & F.col("word").isNotNull())
-    # The lowest count that fits: first by powers of two, then among the counts of one power.
-    power = F.floor(F.log2("n")).cast("int")
-    room, low = size, 0
-    for r in known.groupBy(power.alias("p")).count().orderBy(F.desc("p")).collect():
-        if r["count"] > room:
-            low = 1 << (r["p"] + 1)
-            for c in known.where(power == r["p"]).groupBy("n").count().orderBy(F.desc("n")).collect():
-                if c["count"] > room:
-                    break
-                room, low = room - c["count"], c["n"]
-            break
-        room -= r["count"]
-    top = known.where(F.col("n") >= low).orderBy(F.desc("n"), "word").collect()
-    tail = counts.where((F.col("n") > 1) & (F.col("n") < max(low, least)))
-    words = Vocabulary([bytes(r["word"]) for r in top], [r["n"] for r in top], total)
-    return words, tail.select(F.col("word").cast("string").alias("word"), "n")
-
-
-def _rest(words: list[bytes], keys: np.ndarray, order: int) -> tuple[np.ndarray, list[bytes]]:
-    """Where n-grams hold words without a number, and these words of each, a space between them."""
-    bare = np.zeros(len(keys), bool)
-    for k in range(order):
-        bare |= (keys >> (BITS * k)) & VOCABULARY == 0
-    at = np.flatnonzero(bare)
-    return at, [b" ".join(filter(None, words[i : i + order])) for i in at.tolist()]
-
-
-def _texts(size: int, at: np.ndarray, words: list[bytes]) -> pa.Array:
-    """An Arrow column of ``size`` texts that are empty but at some rising positions."""
-    lengths = np.zeros(size + 1, np.int32)
-    lengths[at + 1] = np.fromiter(map(len, words), np.int32, len(words))
-    ends = np.cumsum(lengths, dtype=np.int32)
-    return pa.StringArray.from_buffers(size, pa.py_buffer(ends), pa.py_buffer(b"".join(words)))
-
-
-def _keys(ids: np.ndarray, order: int) -> np.ndarray:
-    size = max(0, len(ids) - order + 1)
-    key = np.zeros(size, np.int64)
-    for k in range(order):
-        key = (key << BITS) | ids[k : k + size]
-    return key
-
-
-def ngram_counts(docs: DataFrame, words: Vocabulary, order: int) -> DataFrame:
-    """key (numbers of ``order`` words, BITS bits each), words (the text of those with number 0) and n, over all texts;
-    n-grams do not cross documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (texts,) in chunks(batches, ("text",)):
-            plain, bare, rest = [], [], []
-            for text in texts:
-                ids, own = shared.value.read(text)
-                keys = _keys(ids, order)
-                at, some = _rest(own, keys, order)
-                plain.append(np.delete(keys, at))
-                bare.append(keys[at])
-                rest += some
-            keys, n = np.unique(np.concatenate(plain), return_counts=True)
-            keys, n = np.concatenate([keys, *bare]), np.concatenate([n, np.ones(len(rest), np.int64)])
-            text = _texts(len(keys), np.arange(len(keys) - len(rest), len(keys)), rest)
-            yield pa.record_batch([pa.array(keys), text, pa.array(n.astype(np.int64))], names=["key", "words", "n"])
-
-    counted = id_and_text(docs).select("text").mapInArrow(count, "key long, words string, n long")
-    return counted.groupBy("key", "words").agg(F.sum("n").alias("n"))
-
-
-class Hot:
-    """Sorted keys of the hot n-grams of one order, and their scores."""
-
-    def __init__(self, table: DataFrame):
-        rows = table.where("words = ''").select("key", "score").toPandas().sort_values("key")
-        self.keys, self.scores = rows["key"].to_numpy(np.int64), rows["score"].to_numpy(float)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, float]:
-        """The keys that are not hot, and the sum of the scores of those that are."""
-        if not len(self.keys):
-            return keys, 0.0
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hot = self.keys[at] == keys
-        return keys[~hot], float(self.scores[at[hot]].sum())
-
-
-def _singles(rows: DataFrame, number: Column, word: Column, words: Vocabulary, tail: DataFrame, name: str) -> DataFrame:
-    """Add the count of a single word, given by its number or, where that is 0, by its text."""
-    counts = [(i, int(n)) for i, n in enumerate(words.counts) if i]
-    few = rows.sparkSession.createDataFrame(counts, f"_id long, {name} long")  # VOCABULARY rows at most
-    rest = tail.select(F.col("word").alias("_id"), F.col("n").alias("_n"))
-    known = rows.where(number != 0).join(F.broadcast(few), number == F.col("_id")).drop("_id")
-    others = rows.where(number == 0).join(rest, word == F.col("_id"), "left")
-    return known.unionByName(others.withColumn(name, F.coalesce("_n", F.lit(1).cast("long"))).drop("_id", "_n"))
-
-
-def train(
-    docs: DataFrame, words: Vocabulary, tail: DataFrame, order: int, least: int, backoff: float
-) -> tuple[dict[int, DataFrame], dict[int, Hot]]:
-    """Tables (key, words, n, score) of orders 2 to ``order``, written to the shared folder, and their hot rows.
-
-    The score of an entry whose last word has no number is what it adds to that of its last word after backing off.
+def send_ngrams(cut_up: DataFrame, answers: DataFrame, order: int, blocks: int, span: int, part: range) -> DataFrame:
+    """The distinct n-grams of each piece that may occur often enough and belong to some blocks, dealt to these."""
+
+    def rows(piece: pa.Table, own: pa.Table) -> pa.Table:
+        text = Piece(piece, own, order - 1, span)
+        keys, _, n = text.keys(order)
+        to = _blocks(keys >> np.uint64(32), blocks)
+        due = slice(*np.searchsorted(to, (part.start, part.stop)))
+        return _sent(text.piece, to[due], keys[due], n[due].astype(np.int32), np.ndarray.tobytes)
+
+    return _meet(cut_up, answers).applyInArrow(rows, _SENT)
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest of them needs."""
+    return values.astype(np.min_scalar_type(values.max())).tobytes()
+
+
+def count(sent: DataFrame, level: int, least: int, blocks: int, last: bool = False) -> DataFrame:
+    """Answers to all pieces, written to the shared folder: for each key sent, its number (from 1 on; 0 with fewer than
+    ``least`` occurrences) and its count over all texts (words: always; n-grams: 0 with fewer than ``least``).
+
+    ``top`` is a bound of the numbers.  The ``last`` order needs no numbers and has null.
     """
-    tables, hot = {}, {}
-    total = int(words.counts.sum())
-    final = F.col("key").bitwiseAND(F.lit(VOCABULARY))
-    last = F.substring_index("words", " ", -1)
-    first = F.expr("substr(words, 1, length(words) - length(substring_index(words, ' ', -1)) - 1)")
-    before = F.when(final != 0, F.col("words")).otherwise(first)
-    for k in range(2, order + 1):
-        counts = materialize(ngram_counts(docs, words, k).where(F.col("n") >= least), f"counts-{k}")
-        rows = counts.select("*", F.shiftright("key", BITS).alias("_key"), before.alias("_words"))
-        if k == 2:
-            rows = _singles(rows, F.col("_key"), F.col("_words"), words, tail, "of")
+
+    def rows(block: pa.Table) -> pa.Table:
+        number, sizes = block["block"][0].as_py(), block["size"].to_numpy()
+        n = np.frombuffer(b"".join(block["n"].to_pylist()), np.int32)
+        if level == 1:
+            keys = pa.array(b" ".join(block["keys"].to_pylist()).split(), pa.large_binary()).dictionary_encode()
+            index = keys.indices.to_numpy()
         else:
-            below = tables[k - 1].select(F.col("key").alias("_key"), F.col("words").alias("_words"), F.col("n").alias("of"))
-            rows = rows.join(below, ["_key", "_words"])
-        score = F.log(F.col("n") / F.col("of"))
-        rows = rows.select("key", "words", "n", score.alias("score"))
-        ends = _singles(rows.where(final == 0), F.lit(0), last, words, tail, "_single")
-        less = F.log(F.col("_single") / F.lit(float(total))) + (k - 1) * log(backoff)
-        rows = rows.where(final != 0).unionByName(ends.withColumn("score", F.col("score") - less).drop("_single"))
-        tables[k] = materialize(rows, f"grams-{k}")
-        hot[k] = Hot(tables[k].where(F.col("n") > total / HOT_SHARE))
-    return tables, hot
+            keys = np.frombuffer(b"".join(block["keys"].to_pylist()), np.uint64)
+            index = np.unique(keys, return_inverse=True)[1]
+        sums = np.bincount(index, weights=n).astype(np.int64)
+        often = sums >= least
+        ids = np.where(often, (np.cumsum(often) - 1) * blocks + number + 1, 0)
+        top = int(ids.max())
+        if level > 1:
+            sums = np.where(often, sums, 0)
+        ends = np.cumsum(sizes)[:-1]
+        return pa.table(
+            {
+                "piece": block["piece"],
+                "level": pa.array([level] * len(sizes), pa.int32()),
+                "block": block["block"],
+                "size": block["size"],
+                "top": pa.array([top] * len(sizes), pa.int64()),
+                "ids": pa.nulls(len(sizes), pa.binary()) if last else pa.array(list(map(_small, np.split(ids[index], ends))), pa.binary()),
+                "n": pa.array(list(map(_small, np.split(sums[index], ends))), pa.binary()),
+            }
+        )
+
+    label = "words" if level == 1 else f"grams-{level}"
+    return materialize(sent.groupBy("block").applyInArrow(rows, _ANSWER), label, compression="zstd")
+
+
+def _meet(cut_up: DataFrame, answers: DataFrame):
+    """Each piece with its answers."""
+    left = cut_up.select("piece", "n_words", "doc_ids", "sizes", "places")
+    return left.groupBy("piece").cogroup(answers.drop("top").groupBy("piece"))
+
+
+class Piece:
+    """A piece and its answers up to some order: the number and the count of the n-gram that begins at each place."""
+
+    def __init__(self, piece: pa.Table, answers: pa.Table, order: int, span: int):
+        row = piece.to_pylist()[0]
+        self.piece, self.doc_ids, self.span, words = row["piece"], row["doc_ids"], np.uint64(span), row["n_words"]
+        self.sizes = np.array(row["sizes"], np.int64)
+        #: How many words there are before each in its text.
+        self.before = np.arange(words) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        own = answers.sort_by([("level", "ascending"), ("block", "ascending")]).to_pydict()
+        self.numbers, self.counts = [], []
+        for k in range(1, order + 1):
+            at, index = (slice(None), _unpacked(row["places"], words)) if k == 1 else self.keys(k)[1]
+            for name, all_of in (("ids", self.numbers), ("n", self.counts)):
+                found = [
+                    np.frombuffer(x, f"<u{len(x) // size}")
+                    for x, size, level in zip(own[name], own["size"], own["level"])
+                    if level == k and x is not None
+                ]
+                values = np.zeros(words, np.int64)
+                if found:
+                    values[at] = np.concatenate(found, dtype=np.int64, casting="unsafe")[index]
+                all_of.append(values)
+
+    def keys(self, k: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Distinct keys of the n-grams of ``k`` words that may occur often enough; the places where these begin, and which
+        key each has; how often each key occurs."""
+        below, single = self.numbers[k - 2], self.numbers[0]
+        at = np.flatnonzero((below[:-1] > 0) & (below[1:] > 0) & (self.before[1:] > 0))
+        keys = (below[at].astype(np.uint64) * self.span + single[at + k - 1].astype(np.uint64)) * _SPREAD
+        keys, index, n = np.unique(keys, return_inverse=True, return_counts=True)
+        return keys, (at, index), n
 
 
 def score(
@@ -228,118 +242,48 @@ def score(
 ) -> DataFrame:
     """One row per doc_id: n_words, logprob (natural log, summed over words) and per_word.
 
-    The model is counted over ``docs``, every word of them; ``size`` bounds the words with a number, and does not change
-    the result.  ``order`` is 2 or 3.  A word with fewer words before it than ``order`` - 1 is scored with what it has.
-    Rows that share a doc_id, null included, are scored as one document.  No words: 0 and a null ``per_word``.
+    The model is counted over ``docs``, every word of them.  ``order`` is 2 or 3.  A word with fewer words before it than
+    ``order`` - 1 is scored with what it has.  Rows that share a doc_id, null included, are scored as one document.  No
+    words: 0 and a null ``per_word``.  ``size`` once bounded the words with short keys; it never changed the result, and
+    now nothing depends on it.
     """
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
-    words, tail = vocabulary(docs, size, least)
-    tables, hot = train(docs, words, tail, order, least, backoff)
-    shared = docs.sparkSession.sparkContext.broadcast((words, hot))
-    rows = id_and_text(docs)
-    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))
-    parts = [
-        materialize(_scored(rows.where(dealt == i), shared, words, tail, tables, order, backoff), f"scores-{i}")
-        for i in range(SLICES)
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _scored(
-    docs: DataFrame, shared, words: Vocabulary, tail: DataFrame, tables: dict[int, DataFrame], order: int, backoff: float
-) -> DataFrame:
-    """The scores of some documents, all rows of a doc_id among them."""
-    spark = docs.sparkSession
-    total = max(int(words.counts.sum()), 1)
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows to look up, with their order as level, and one row per document with what is known already: its level is
-        minus its number of words, and its key a number of its own below zero."""
-        words, hot = shared.value
-        spread = 0
-        for doc_ids, texts in chunks(batches, ("doc_id", "text"), limit=2_000_000):
-            keys, levels, sizes, known, places, rest, begin = [], [], [], [], [], [], 0
-            for text in texts:
-                ids, own = words.read(text)
-                sure = float(words.scores[ids[0]]) if len(ids) and ids[0] else 0.0
-                size = 0
-                for k in range(2, order + 1):
-                    some = ids[:k] if k < order else ids
-                    grams = _keys(some, k)
-                    at, text_of = _rest(own, grams, k)
-                    bare = grams[at]
-                    seek, found = hot[k].find(np.delete(grams, at))
-                    sure += found
-                    keys += [seek, bare]
-                    levels.append(np.full(len(seek) + len(bare), k, np.int32))
-                    places.append(begin + size + len(seek) + np.arange(len(bare)))
-                    rest += text_of
-                    size += len(seek) + len(bare)
-                # Words without a number: each is a row of its own, and has paid for backing off.
-                alone = np.flatnonzero(ids == 0)
-                sure += float(np.minimum(alone, order - 1).sum()) * log(backoff)
-                keys.append(np.zeros(len(alone), np.int64))
-                levels.append(np.ones(len(alone), np.int32))
-                places.append(begin + size + np.arange(len(alone)))
-                rest += [own[i] for i in alone.tolist()]
-                size += len(alone) + 1
-                spread += 1
-                keys.append(np.array([-1 - (spread * 0x9E3779B1 & 0x7FFFFFFF)]))
-                levels.append(np.array([-len(ids)], np.int32))
-                sizes.append(size)
-                known.append(sure)
-                begin += size
-            ends = np.cumsum(sizes)
-            sums = np.zeros(int(ends[-1]))
-            sums[ends - 1] = known
-            mask = np.ones(len(sums), bool)
-            mask[ends - 1] = False
-            at = pa.array(np.repeat(np.arange(len(texts)), sizes))
-            yield pa.record_batch(
-                [
-                    pa.array(doc_ids, pa.int64()).take(at),
-                    pa.array(np.concatenate(keys)),
-                    _texts(len(sums), np.concatenate(places), rest),
-                    pa.array(np.concatenate(levels)),
-                    pa.array(sums, mask=mask),
-                ],
-                names=["doc_id", "key", "words", "level", "found"],
-            )
-
-    rows = docs.mapInArrow(explode, "doc_id long, key long, words string, level int, found double")
-    final = F.col("key").bitwiseAND(F.lit(VOCABULARY))
-    open_end = (F.col("key") >= 0) & (final == 0)
-    single = tail.select(
-        F.lit(0).cast("long").alias("key"), F.col("word").alias("words"), F.log(F.col("n") / F.lit(float(total))).alias("score")
-    )
-    for k in range(order, 1, -1):
-        seek, text = F.col("key"), F.col("words")
-        if order > 2:
-            # Rows of other levels, or found already, get keys of their own below zero, which spread and find nothing.
-            apart = -1 - F.shiftrightunsigned(F.xxhash64("doc_id", "key", "words"), 1)
-            suffix = F.col("key").bitwiseAND(F.lit((1 << (BITS * k)) - 1))
-            due = F.col("found").isNull() & ((F.col("level") >= k) | ((F.col("level") == 1) & F.lit(k == order)))
-            seek = F.when(due, suffix).otherwise(apart)
-            # The words without a number among the last k, of all that the row holds.
-            bare = sum(
-                F.when(F.shiftright("key", BITS * i).bitwiseAND(F.lit(VOCABULARY)) == 0, 1).otherwise(0) for i in range(k)
-            )
-            text = F.when(F.col("level") > k, F.call_function("substring_index", F.col("words"), F.lit(" "), -bare)).otherwise(F.col("words"))
-        price = F.lit(0.0)
-        if k < order:
-            price = F.when((F.col("level") > k) & ~open_end, (F.col("level") - k) * log(backoff)).otherwise(0.0)
-        table = tables[k].select("key", "words", "score")
-        table = (table.unionByName(single) if k == order else table).toDF("_key", "_words", "_score")
-        rows = rows.withColumns({"_seek": seek, "_text": text})
-        rows = rows.join(table, (F.col("_seek") == F.col("_key")) & (F.col("_text") == F.col("_words")), "left")
-        rows = rows.select("doc_id", "key", "words", "level", F.coalesce("found", F.col("_score") + price).alias("found"))
-    last = spark.createDataFrame([(i, float(s)) for i, s in enumerate(words.scores)], "_word long, _single double")
-    rows = rows.join(F.broadcast(last), final == F.col("_word"), "left")
-    # A word that is in no table occurs once; where an n-gram ends in a word without a number, that word's row counts.
-    once = F.when(F.col("level") == 1, F.lit(log(1 / total))).otherwise(0.0)
-    backed = F.col("_single") + (F.col("level") - 1) * log(backoff)
-    logprob = F.sum(F.coalesce("found", F.when(open_end, once).otherwise(backed)))
-    n_words = F.sum(F.when(F.col("level") <= 0, -F.col("level").cast("long")))
-    sums = rows.groupBy("doc_id").agg(n_words.alias("n_words"), logprob.alias("logprob"))
+    if not 0 < size <= VOCABULARY:
+        raise ValueError(f"the vocabulary holds 1 to {VOCABULARY} words")
+    cut_up = pieces(docs)
+    total = cut_up.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + total // HOT_SHARE)
+    answers = count(send_words(cut_up, blocks), 1, least, blocks)
+    span = top = 1 + (answers.agg(F.max("top")).first()[0] or 0)
+    for k in range(2, order + 1):
+        if top * span >= 1 << 64:
+            raise OverflowError(f"{top} and {span} numbers do not fit a key")
+        found = [
+            count(send_ngrams(cut_up, answers, k, blocks, span, range(a, z)), k, least, blocks, last=k == order)
+            for a, z in pairwise(blocks * i // SLICES for i in range(SLICES + 1))
+        ]
+        answers = reduce(DataFrame.unionByName, found, answers)
+        top = 1 + (answers.agg(F.max("top")).first()[0] or 0)
+
+    def rows(piece: pa.Table, own: pa.Table) -> pa.Table:
+        text = Piece(piece, own, order, span)
+        scores = np.log(text.counts[0]) - log(max(total, 1))
+        for k in range(2, order + 1):
+            ends = np.flatnonzero(text.before >= k - 1)
+            n, of = text.counts[k - 1][ends - k + 1], text.counts[k - 2][ends - k + 1]
+            seen = n > 0
+            scores[ends[~seen]] += log(backoff)
+            scores[ends[seen]] = np.log(n[seen] / of[seen])
+        text_of = np.repeat(np.arange(len(text.sizes)), text.sizes)
+        return pa.table(
+            {
+                "doc_id": pa.array(text.doc_ids, pa.int64()),
+                "n_words": pa.array(text.sizes),
+                "logprob": pa.array(np.bincount(text_of, weights=scores, minlength=len(text.sizes))),
+            }
+        )
+
+    scored = _meet(cut_up, answers).applyInArrow(rows, "doc_id long, n_words long, logprob double")
+    sums = scored.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("logprob").alias("logprob"))
     return sums.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("logprob") / F.col("n_words")))

@@ -324,6 +324,34 @@ def test_language_model_tells_words_beyond_its_vocabulary_apart(docs, order):
     assert wide == narrow
 
 
+def test_language_model_cuts_words_as_white_space_does():
+    rng = random.Random(3)
+    bits = [" ", "  ", "\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", "\u2003", "A", "bC", "É", "\0", ".", "\U0001f600"]
+    texts = ["", " ", *("".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(500)), ""]
+    words, sizes = language_model.cut(texts)
+    want = [t.encode().lower().split() for t in texts]
+    assert words.to_pylist() == [w for ws in want for w in ws] and sizes.tolist() == [len(ws) for ws in want]
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_has_no_row_for_each_ngram(docs, order, monkeypatch):
+    """A row of its own for each word and n-gram, in shuffles and joins, took most of the time."""
+    rng = random.Random(order)
+    texts = [" ".join(f"w{int(1000 * rng.random() ** 2)}" for _ in range(1000)) for _ in range(20)]
+    rows, keep = [], language_model.materialize
+
+    def counted(df, label, **options):
+        out = keep(df, label, **options)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(language_model, "materialize", counted)
+    found = language_model.score(docs(texts), order=order)
+    assert found.count() == len(texts) and 0 < sum(rows) < 200
+    pairs = Counter(pair for t in texts for pair in zip(t.split(), t.split()[1:]))
+    assert sum(n >= 2 for n in pairs.values()) > 500  # so many in the model
+
+
 def test_url_filter(spark):
     day = lambda n: date(2024, 1, 1) + timedelta(days=n)
     urls = ["http://user:pw@A.b.Example.com:80/x/y?q#f", "https://example.com", "http://other.org/x", None, "nonsense", "http://localhost/",
