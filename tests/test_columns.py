@@ -162,3 +162,13 @@ def test_literal_now_type(spark):
     from freightlens.operators.shaping import now_literal
 
     assert spark.range(1).select(now_literal(datetime(2024, 1, 1)).alias("n")).dtypes == [("n", "timestamp_ntz")]
+
+
+def test_trimmed_text_is_what_a_regular_expression_leaves(spark):
+    ends = ["", " ", "\t", "\n", "\r\n", "\x0b", "\x0c", "\x85", " ", " ", "\xa0", "\x1c", " \x85", " \n", "\x85 \x85"]
+    texts = [None, *(f"{a}{x}{b}" for a in ends for b in ends for x in ("", "k", "k \n k"))]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    both = df.select("c", clean.trim_spaces(F.col("c")).alias("now"), F.regexp_replace("c", r"^\s+|\s+$", "").alias("was"))
+    assert [r for r in both.collect() if r.now != r.was] == []
+    padded = df.where("c = '\tk\n' OR c = ' k '").select(clean.trim_spaces(F.col("c")))
+    assert {r[0] for r in padded.collect()} == {"k"}
