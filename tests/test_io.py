@@ -402,3 +402,23 @@ def test_session_keeps_no_shuffle_files_of_finished_jobs(spark):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
     assert rows(grouped) == rows(grouped), "a frame that is run again makes its shuffle again"
+
+
+def test_a_large_batch_needs_no_key_index(spark, make, tmp_path, monkeypatch):
+    """Rows move out of months that the batch itself does not name, and a later small batch finds all keys."""
+    first = make("fact_shipment", [leg(n, 1 + n % 6) for n in range(60)] + [{"leg_id": 1}])
+    moved = make("fact_shipment", [leg(n, 7, "2024-02-01") for n in range(0, 60, 3)])
+    late = make("fact_shipment", [leg(n, 3, "2024-03-01") for n in (0, 1, 99)])
+    found = []
+    for most in (1000, 0):
+        monkeypatch.setattr(warehouse, "SLICE_ROWS", most)
+        root = str(tmp_path / f"edw{most}")
+        months = []
+        for batch in (first, moved):
+            months.append(refreshing.merge_into(batch, root, "fact_shipment", NOW, stored=True))
+        made = (tmp_path / f"edw{most}" / "fact_shipment_keys").exists()
+        assert made == (most == 1000)
+        monkeypatch.setattr(warehouse, "SLICE_ROWS", 1000)
+        refreshing.merge_into(late, root, "fact_shipment", NOW, stored=True)
+        found.append((months, rows(warehouse.read_edw(spark, root, "fact_shipment"))))
+    assert found[0] == found[1] and len(found[0][1]) == 62
