@@ -404,6 +404,28 @@ def test_session_keeps_no_shuffle_files_of_finished_jobs(spark):
     assert rows(grouped) == rows(grouped), "a frame that is run again makes its shuffle again"
 
 
+@pytest.mark.parametrize("repeats", [False, True])
+def test_facts_are_staged_without_meeting_by_key_unless_a_key_repeats(spark, make, tmp_path, monkeypatch, repeats):
+    seen, latest = [], refreshing.merge.latest_source
+    monkeypatch.setattr(refreshing.merge, "latest_source", lambda df, table: seen.append(table) or latest(df, table))
+    costs = [{"shipment_id": f"S{i}", "cost_type": "Base", "rate_ref": None, "currency": "old"} for i in range(9)]
+    costs += [{"shipment_id": "S3", "cost_type": "Base", "rate_ref": "", "currency": "new", "update_date": at("2024-01-02")}] * repeats
+    counts = refreshing.stage_latest(make("fact_cost", costs), str(tmp_path), "fact_cost").get
+    assert seen == ["fact_cost"] * repeats and counts["rows"] == 9
+    found = rows(warehouse.read_edw(spark, str(tmp_path), "fact_cost"), "shipment_id", "currency")
+    assert found == [(f"S{i}", "new" if repeats and i == 3 else "old") for i in range(9)]
+
+
+def test_staged_rows_and_landing_files_are_given_back(spark, make, tmp_path):
+    zone, left = tmp_path / "zone", []
+    for t in TABLES:
+        landing.write_csv(make(t, [{"shipment_id": "S1"}] if t == "fact_cost" else []), str(zone / f"{t}.csv"))
+    refreshing.refresh(spark, str(zone), str(tmp_path / "wh"), NOW, staged=left.append)
+    assert left == list(TABLES)
+    assert warehouse.read_edw(spark, str(tmp_path / "wh/stg"), "fact_cost").count() == 0
+    assert warehouse.read_edw(spark, str(tmp_path / "wh/edw"), "fact_cost").count() == 1
+
+
 def test_a_large_batch_needs_no_key_index(spark, make, tmp_path, monkeypatch):
     """Rows move out of months that the batch itself does not name, and a later small batch finds all keys."""
     first = make("fact_shipment", [leg(n, 1 + n % 6) for n in range(60)] + [{"leg_id": 1}])
