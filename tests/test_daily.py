@@ -135,3 +135,17 @@ def test_bucketed_costs_match_null_and_empty(spark, make, tmp_path):
     found = bucketed.read_bucketed(spark, root, "fact_cost", buckets=3)
     assert rows(found, "rate_ref", "currency") == [("a", "USD"), ("b", "EUR"), (None, "EUR")]
     assert set(KEYS["fact_cost"]) <= set(found.columns) and "key_rate_ref" not in found.columns
+
+
+def test_batches_are_merged_in_slices_from_files(spark, make, tmp_path, monkeypatch):
+    """A batch is computed once, and a large one is merged in slices as stored rows are."""
+    from freightlens.sources import warehouse
+
+    jobs, save = [], warehouse._save
+    monkeypatch.setattr(warehouse, "SLICE_ROWS", 0)
+    monkeypatch.setattr(warehouse, "_save", lambda *a, **k: jobs.append(a[1]) or save(*a, **k))
+    totals = DailyTotals(spark, str(tmp_path / "daily"))
+    legs = [{"shipment_id": f"S{n}", "leg_id": 1, "delivery_actual_ts": at("2024-01-02"), "tender_ts": at("2024-01-01")} for n in range(12)]
+    totals.merge("1", make("fact_shipment", legs), at("2024-06-01"))
+    assert len(jobs) == warehouse.SLICES
+    assert [r.n for r in totals.days().collect()] == [12]
